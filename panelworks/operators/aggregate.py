@@ -174,41 +174,43 @@ def histogram(
     of one around it.  Rows are assigned by position and then corrected against
     the printed edges, so counts and edges always agree.
     """
-    rows = df.where(F.col(spec.indicator) == indicator).select(
-        F.col(spec.value).alias("v")
-    )
-    extent = rows.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    rows = df.where(F.col(spec.indicator) == indicator).select(F.col(spec.value).alias("v"))
+    found = rows.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     flat = F.col("lo") == F.col("hi")
-    extent = extent.select(
-        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-    ).where(F.col("lo").isNotNull())
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    span = found.select(
+        F.struct(
+            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+        ).alias("span")
+    )
+    # a scalar subquery: the bounds become constants of the counting pass
+    bounds = span.scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
 
     def edge(i: Column) -> Column:
-        return F.when(i == bins, F.col("hi")).otherwise(F.col("lo") + i * width)
-
-    # the extent is a single row
-    placed = rows.join(F.broadcast(extent), F.lit(True), "inner").withColumn(
-        "i",
-        F.least(
-            F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins),
-            F.lit(bins - 1),
-        ),
-    )
+        inner = F.col("lo") + i * ((F.col("hi") - F.col("lo")) / F.lit(float(bins)))
+        return F.when(i == bins, F.col("hi")).otherwise(inner)
+
+    position = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
     i = F.col("i")
     settled = (
         F.when(F.col("v") < edge(i), i - 1)
         .when((F.col("v") >= edge(i + 1)) & (i != bins - 1), i + 1)
         .otherwise(i)
     )
-    counts = placed.groupBy(settled.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    grid = extent.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    ).select(
-        "bin",
-        edge(F.col("bin")).alias("low"),
-        edge(F.col("bin") + 1).alias("high"),
+    counts = (
+        rows.select("v", lo.alias("lo"), hi.alias("hi"))
+        .withColumn("i", F.least(position, F.lit(bins - 1)))
+        .groupBy(settled.cast("int").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    grid = (
+        span.select("span.*")
+        .where(F.col("lo").isNotNull())
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+        .select(
+            "bin", edge(F.col("bin")).alias("low"), edge(F.col("bin") + 1).alias("high")
+        )
     )
     # both sides have one row per bin
     return (

@@ -42,7 +42,7 @@ def count_chunks(
     """Add ``chunk``: rows of a shard in input order, ``size`` rows per chunk."""
     order = [c for c in spec.order if c in df.columns]
     numbered = number_rows(df, list(by), order, "_at", heavy_rows)
-    return numbered.withColumn("chunk", F.floor((F.col("_at") - 1) / size)).drop("_at")
+    return numbered.withColumn("chunk", F.expr(f"(_at - 1) div {int(size)}")).drop("_at")
 
 
 def _chunk_stats(chunked: DataFrame, by: list[str], spec: PanelSpec) -> DataFrame:

@@ -124,7 +124,10 @@ def dirty(spark: SparkSession, folder: str) -> DataFrame:
             .when(_every(23), F.concat(F.lit("_agg_"), F.col("indicator")))
             .when(_every(41), F.lit(""))
             .otherwise(F.col("indicator")),
-            "value": F.when(_every(11), nan).when(_every(29), inf).otherwise(F.col("value")),
+            "value": F.when(_every(11), nan)
+            .when(_every(29), inf)
+            .when(_every(43), F.lit(None))
+            .otherwise(F.col("value")),
         }
     )
 
@@ -137,7 +140,8 @@ DIRTY_SQL = f"""
            CASE WHEN seq % 19 = 0 THEN NULL WHEN seq % 23 = 0 THEN '_agg_' || indicator
                 WHEN seq % 41 = 0 THEN '' ELSE indicator END AS indicator,
            CASE WHEN seq % 11 = 0 THEN CAST('nan' AS DOUBLE)
-                WHEN seq % 29 = 0 THEN CAST('infinity' AS DOUBLE) ELSE value END AS value,
+                WHEN seq % 29 = 0 THEN CAST('infinity' AS DOUBLE)
+                WHEN seq % 43 = 0 THEN NULL ELSE value END AS value,
            collected_at, seq
     FROM ({OBS_SQL})
 """

@@ -836,11 +836,12 @@ def _zoned_records(df: DataFrame) -> DataFrame:
 @register(
     "scan_ndjson",
     f"""{WITH_DIRTY} SELECT region, federal_district, CAST(year AS BIGINT) AS year, indicator,
-    value, collected_at FROM dirty WHERE isfinite(value) AND NOT starts_with(indicator, '_agg_')""",
+    value, collected_at FROM dirty WHERE (value IS NULL OR isfinite(value))
+    AND NOT starts_with(indicator, '_agg_')""",
 )
 def scan_ndjson(spark, d):
     path = scratch(spark, "scan") + ".ndjson"
-    rows = adapters.dirty(spark, d).where("value not in (double('NaN'), double('Infinity'))")
+    rows = adapters.dirty(spark, d).where("value is null or value not in (double('NaN'), double('Infinity'))")
     sinks.append_ndjson(_zoned_records(rows), path)
     return _naive(sources.load_raw(spark, path), "collected_at")
 
