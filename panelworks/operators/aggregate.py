@@ -70,16 +70,9 @@ def median_stats(
     if heavy is None:
         return bounded_stats(df, by, spec, digits)
     light, hot = ranking.split_heavy(df, by, heavy)
-    medians = F.broadcast(
-        ranking.heavy_median(hot, by, spec.value, "_p50", heavy_rows).withColumnsRenamed(
-            {c: f"_{c}" for c in by}
-        )
-    )
-    on = F.lit(True)
-    for c in by:
-        on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    medians = ranking.heavy_median(hot, by, spec.value, "_p50", heavy_rows)
     stats = hot.groupBy(*by).agg(*_median_stats(spec, F.lit(None).alias("p50"), digits))
-    hot_stats = stats.join(medians, on, "left").select(
+    hot_stats = ranking.join_groups(stats, medians, by, "left").select(
         *by, "sum", "avg", "min", "max", "count", round_to(F.col("_p50"), digits).alias("p50")
     )
     return bounded_stats(light, by, spec, digits).unionByName(hot_stats)

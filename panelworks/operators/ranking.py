@@ -54,20 +54,23 @@ def heavy_groups(
     return df.sparkSession.createDataFrame(keys, schema), held
 
 
-def _same_group(left: DataFrame, right: DataFrame, by: Sequence[str]) -> Column:
-    condition = F.lit(True)
+def join_groups(
+    left: DataFrame, bounded: DataFrame, by: Sequence[str], how: str
+) -> DataFrame:
+    """Null-safe join on the group columns with a side of bounded size, which is
+    broadcast.  Its group columns do not show up in the result."""
+    renamed = F.broadcast(bounded.withColumnsRenamed({c: f"_key_{c}" for c in by}))
+    on = F.lit(True)
     for c in by:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
+        on = on & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
+    return left.join(renamed, on, how).drop(*[f"_key_{c}" for c in by])
 
 
 def split_heavy(
     df: DataFrame, by: Sequence[str], heavy: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """(ordinary rows, rows of heavy groups); ``heavy`` is bounded, so broadcast."""
-    keys = F.broadcast(heavy)
-    on = _same_group(df, keys, by)
-    return df.join(keys, on, "left_anti"), df.join(keys, on, "left_semi")
+    """(ordinary rows, rows of heavy groups)."""
+    return join_groups(df, heavy, by, "left_anti"), join_groups(df, heavy, by, "left_semi")
 
 
 def _ranges_for(df: DataFrame, rows_held: int, rows: int) -> int:
@@ -104,16 +107,12 @@ def _ranged_total(
         .select(*by, _PART, F.sum("_w").over(before).alias(_OFFSET))
         .where(F.col(_OFFSET) > 0)
     )
-    keyed = F.broadcast(offsets)
-    on = _same_group(frozen, keyed, [*by, _PART])
     local = (
         Window.partitionBy(_PART, *by)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = frozen.join(keyed, on, "left").select(
-        *[frozen[c] for c in df.columns], frozen["_w"], frozen[_PART], keyed[_OFFSET]
-    )
+    joined = join_groups(frozen, offsets, [*by, _PART], "left")
     return joined.withColumn(
         out, F.coalesce(F.col(_OFFSET), F.lit(0)) + F.sum("_w").over(local)
     ).drop("_w", _PART, _OFFSET)
@@ -175,10 +174,8 @@ def heavy_median(
     present = df.where(F.col(value).isNotNull())
     runs = present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_run"))
     ranked = running_total(runs, by, [value], "_upto", F.col("_run"), heavy_rows)
-    sizes = F.broadcast(present.groupBy(*by).agg(F.count(F.lit(1)).alias("_size")))
-    placed = ranked.join(sizes, _same_group(ranked, sizes, by), "inner").select(
-        *[ranked[c] for c in by], ranked[value], ranked["_run"], ranked["_upto"], sizes["_size"]
-    )
+    sizes = present.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    placed = join_groups(ranked, sizes, by, "inner")
 
     def at_rank(rank: Column) -> Column:
         here = (F.col("_upto") - F.col("_run") < rank) & (rank <= F.col("_upto"))
