@@ -10,59 +10,88 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelworks.operators.validate import (
-    all_errors,
-    indicator_error,
-    region_error,
-    value_error,
-    year_error,
+    Check,
+    indicator_check,
+    region_check,
+    value_check,
+    with_outcome,
+    year_check,
 )
 from panelworks.schema import DEMOGRAPHIC_RULES, RuleSet
 
-PARSED = "_parsed"
+_PARSED = "_parsed"
+_NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
 
 
-def parsed_lines(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Add the parsed VARIANT (null when the text is not JSON); skip blank lines."""
-    kept = lines.where(~F.col(text).rlike(r"^\s*$"))
-    return kept.withColumn(PARSED, F.try_parse_json(F.col(text)))
+def _is(kind: Column, *names: str) -> Column:
+    """Type test; DECIMAL(p,s) counts as DECIMAL."""
+    return F.substring_index(kind, "(", 1).isin(*names)
 
 
-def field(name: str, parsed: str = PARSED) -> Column:
-    return F.variant_get(F.col(parsed), f"$.{name}", "variant")
+def parsed_fields(lines: DataFrame, fields: list[str], text: str = "value") -> DataFrame:
+    """Parse each line once and add, per field, the value and its type.
+
+    ``_v_<field>`` is a VARIANT and ``_k_<field>`` its type: STRING, BIGINT,
+    DECIMAL(..), DOUBLE, BOOLEAN, VOID, OBJECT<..>, ARRAY<..>, or null if the field
+    is absent.  ``_kind`` is the type of the whole line, null if it is not JSON.
+    Blank lines are skipped.  Values and types are columns of their own so that
+    the rules read them instead of parsing again.
+    """
+    kept = lines.where(F.trim(F.col(text)) != "")
+    parsed = kept.withColumn(_PARSED, F.try_parse_json(F.col(text)))
+    split = parsed.select(
+        *lines.columns,
+        F.schema_of_variant(F.col(_PARSED)).alias("_kind"),
+        *[F.variant_get(F.col(_PARSED), f"$.{f}", "variant").alias(f"_v_{f}") for f in fields],
+    )
+    return split.withColumns({f"_k_{f}": F.schema_of_variant(F.col(f"_v_{f}")) for f in fields})
+
+
+def typed_value(field: str, as_type: str) -> Column:
+    return F.try_variant_get(F.col(f"_v_{field}"), "$", as_type)
 
 
-def kind(name: str, parsed: str = PARSED) -> Column:
-    """STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, VOID, OBJECT, ARRAY; null if absent."""
-    return F.regexp_extract(F.schema_of_variant(field(name, parsed)), r"^[A-Z]+", 0)
+def kind_is(field: str, *names: str) -> Column:
+    return _is(F.col(f"_k_{field}"), *names)
 
 
-def get(name: str, as_type: str, parsed: str = PARSED) -> Column:
-    return F.try_variant_get(F.col(parsed), f"$.{name}", as_type)
+FIELDS = ["region", "year", "indicator", "value"]
 
 
-def json_field_errors(rules: RuleSet = DEMOGRAPHIC_RULES) -> dict[str, Column]:
-    """Error text per field of the parsed record.  Booleans count as 0 and 1."""
-    code = F.when(kind("indicator") == "STRING", get("indicator", "string"))
-    whole = F.when(kind("year") == "BIGINT", get("year", "bigint")).when(
-        kind("year") == "BOOLEAN", get("year", "boolean").cast("bigint")
+def _typed(fields: DataFrame) -> DataFrame:
+    """Native columns where the type fits, else null.  Booleans count as 0 and 1."""
+    boolean = {f: kind_is(f, "BOOLEAN") for f in ("year", "value")}
+    return fields.withColumns(
+        {
+            "_region": F.when(kind_is("region", "STRING"), typed_value("region", "string")),
+            "_indicator": F.when(
+                kind_is("indicator", "STRING"), typed_value("indicator", "string")
+            ),
+            "_year": F.when(kind_is("year", "BIGINT"), typed_value("year", "bigint")).when(
+                boolean["year"], typed_value("year", "boolean").cast("bigint")
+            ),
+            "_value": F.when(kind_is("value", *_NUMBERS), typed_value("value", "double")).when(
+                boolean["value"], typed_value("value", "boolean").cast("double")
+            ),
+        }
     )
-    number = F.when(
-        kind("value").isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), get("value", "double")
-    ).when(kind("value") == "BOOLEAN", get("value", "boolean").cast("double"))
-    name = F.when(kind("region") == "STRING", get("region", "string"))
-
-    def staged(column: str, typed: Column, wanted: str, check: Column) -> Column:
-        return (
-            F.when(field(column).isNull(), F.lit(f"{column}: missing"))
-            .when(typed.isNull(), F.lit(f"{column}: must be {wanted}"))
-            .otherwise(check)
+
+
+def json_checks(rules: RuleSet = DEMOGRAPHIC_RULES) -> dict[str, Check]:
+    """Checks per field over the columns of :func:`parsed_fields`."""
+
+    def staged(field: str, wanted: str, check: Check) -> Check:
+        return check.after(
+            (F.col(f"_k_{field}").isNull(), F.lit(f"{field}: missing")),
+            (F.col(f"_{field}").isNull(), F.lit(f"{field}: must be {wanted}")),
         )
 
+    code = F.col("_indicator")
     return {
-        "region": staged("region", name, "string", region_error(name, rules)),
-        "year": staged("year", whole, "integer", year_error(whole, rules)),
-        "indicator": staged("indicator", code, "string", indicator_error(code, rules)),
-        "value": staged("value", number, "number", value_error(number, code, rules)),
+        "region": staged("region", "string", region_check(F.col("_region"), rules)),
+        "year": staged("year", "integer", year_check(F.col("_year"), rules)),
+        "indicator": staged("indicator", "string", indicator_check(code, rules)),
+        "value": staged("value", "number", value_check(F.col("_value"), code, rules)),
     }
 
 
@@ -73,14 +102,14 @@ def validate_json(
 
     Text that is not a JSON object is kept and rejected as ``record: malformed``.
     """
-    parsed = parsed_lines(lines, text)
-    is_object = F.schema_of_variant(F.col(PARSED)).startswith("OBJECT")
-    valid, errors = all_errors(json_field_errors(rules))
-    return parsed.withColumns(
-        {
-            "valid": F.coalesce(is_object & valid, F.lit(False)),
-            "errors": F.when(F.coalesce(is_object, F.lit(False)), errors).otherwise(
-                F.array(F.lit("record: malformed"))
-            ),
-        }
-    ).drop(PARSED)
+    whole = F.when(
+        ~F.coalesce(F.col("_kind").startswith("OBJECT"), F.lit(False)),
+        F.lit("record: malformed"),
+    )
+    checks = json_checks(rules)
+    # a malformed line is one error of its own; its fields are not looked at
+    checks = {
+        "record": Check(((whole.isNotNull(), whole),)),
+        **{name: check.unless(whole.isNotNull()) for name, check in checks.items()},
+    }
+    return with_outcome(_typed(parsed_fields(lines, FIELDS, text)), checks, lines.columns)

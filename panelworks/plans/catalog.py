@@ -265,8 +265,8 @@ def _field_query(field: str, sql: str) -> None:
     )
     def query(spark, d):
         rows = adapters.dirty(spark, d)
-        error = validate.field_errors(rows, RULES, SPEC)[field]
-        return rows.select("seq", error.alias("error")).where(F.col("error").isNotNull())
+        check = validate.field_checks(rows, RULES, SPEC)[field]
+        return rows.where(check.failed).select("seq", check.text.alias("error"))
 
 
 _field_query("region", REGION_ERROR_SQL)
@@ -281,8 +281,8 @@ _field_query("value", VALUE_ERROR_SQL)
     WHERE ({RANGE_ERROR_SQL}) IS NOT NULL""",
 )
 def validate_range(spark, d):
-    error = validate.value_error(F.col("value"), F.col("indicator"), RULES)
-    return panel(spark, d).select("seq", error.alias("error")).where(F.col("error").isNotNull())
+    check = validate.value_check(F.col("value"), F.col("indicator"), RULES)
+    return panel(spark, d).where(check.failed).select("seq", check.text.alias("error"))
 
 
 @register(

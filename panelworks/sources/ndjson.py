@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelworks.operators.clean import without_service_rows
-from panelworks.operators.validate_json import field, get, kind, parsed_lines
+from panelworks.operators.validate_json import kind_is, parsed_fields, typed_value
 from panelworks.schema import CORRUPT_COLUMN, RECORD_SCHEMA, SERVICE_PREFIX, PanelSpec
 
 _MODES = {"fail": "FAILFAST", "drop": "DROPMALFORMED", "keep": "PERMISSIVE"}
@@ -62,30 +62,34 @@ def lenient_records(lines: DataFrame, text: str = "value") -> DataFrame:
     and null fields become ``""`` and 0.  Types are checked on the parsed value,
     because a schema would read the number 42 as text without complaint.
     """
-    parsed = parsed_lines(lines, text)
-
-    def fits(name: str, *kinds: str):
-        return F.coalesce(kind(name).isin(*kinds, "VOID"), field(name).isNull())
-
-    shape = F.regexp_extract(F.schema_of_variant(F.col("_parsed")), r"^[A-Z]+", 0)
-    stamp = F.try_to_timestamp(get("collected_at", "string"))
-    good = (
-        shape.isin("OBJECT", "VOID")
-        & fits("region", "STRING")
-        & fits("federal_district", "STRING")
-        & fits("year", "BIGINT")
-        & fits("indicator", "STRING")
-        & fits("value", "BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
-        & fits("collected_at", "STRING")
-        & (stamp.isNotNull() | F.coalesce(kind("collected_at") == "VOID", F.lit(True)))
+    kinds = {
+        "region": ("STRING",),
+        "federal_district": ("STRING",),
+        "year": ("BIGINT",),
+        "indicator": ("STRING",),
+        "value": ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"),
+        "collected_at": ("STRING",),
+    }
+    fields = parsed_fields(lines, list(kinds), text).withColumn(
+        "_at", F.try_to_timestamp(typed_value("collected_at", "string"))
     )
-    records = parsed.where(F.coalesce(good, F.lit(False))).select(
-        F.coalesce(get("region", "string"), F.lit("")).alias("region"),
-        F.coalesce(get("federal_district", "string"), F.lit("")).alias("federal_district"),
-        F.coalesce(get("year", "bigint"), F.lit(0)).alias("year"),
-        F.coalesce(get("indicator", "string"), F.lit("")).alias("indicator"),
-        F.coalesce(get("value", "double"), F.lit(0.0)).alias("value"),
-        stamp.alias("collected_at"),
+    # the line "null" is an empty record, any other text but an object is not one
+    good = F.col("_kind").startswith("OBJECT") | (F.col("_kind") == "VOID")
+    for name, allowed in kinds.items():
+        good = good & F.coalesce(kind_is(name, *allowed, "VOID"), F.lit(True))
+    good = good & (F.col("_at").isNotNull() | ~F.coalesce(kind_is("collected_at", "STRING"),
+                                                          F.lit(False)))
+
+    def filled(name: str, as_type: str, default) -> Column:
+        return F.coalesce(typed_value(name, as_type), F.lit(default)).alias(name)
+
+    records = fields.where(good).select(
+        filled("region", "string", ""),
+        filled("federal_district", "string", ""),
+        filled("year", "bigint", 0),
+        filled("indicator", "string", ""),
+        filled("value", "double", 0.0),
+        F.col("_at").alias("collected_at"),
     )
     return without_service_rows(records)
 
