@@ -35,4 +35,5 @@ def truncated_to_millis(x: Column) -> Column:
 
 
 def name_stamp(x: Column) -> Column:
+    """Time stamp for file and folder names, e.g. 20240101_000000_000000."""
     return F.date_format(x, "yyyyMMdd_HHmmss_SSSSSS")

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelworks.functions import label_of, mean, min_max_score, round_to
+from panelworks.functions import (
+    label_of,
+    mean,
+    min_max_score,
+    round_to,
+    truncated_to_millis,
+)
 from panelworks.schema import ABSENT_LABEL, FilterSpec, PanelSpec
 
 
@@ -34,7 +41,7 @@ def fetch(df: DataFrame, want: FilterSpec, spec: PanelSpec = PanelSpec()) -> Dat
         F.col(spec.indicator),
         F.col(spec.value),
         # back to the column's own type: truncation yields a zoned time stamp
-        F.date_trunc("millisecond", F.col(spec.at)).cast(df.schema[spec.at].dataType).alias(spec.at),
+        truncated_to_millis(F.col(spec.at)).cast(df.schema[spec.at].dataType).alias(spec.at),
     ]
     return df.where(matches(want, spec)).select(*shaped)
 
@@ -47,6 +54,29 @@ def fetch_metrics(fetched: DataFrame, batch_rows: int = 1000) -> DataFrame:
     )
 
 
+def arrow_footprint(fetched: DataFrame, batch_rows: int = 1000) -> DataFrame:
+    """Rows, Arrow batches and their bytes as each task would send them.
+
+    Only the sizes leave a task.  ``fetched.toArrow()`` is the client call that
+    brings the rows themselves to the driver.
+    """
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [batch.slice(i, batch_rows) for i in range(0, batch.num_rows, batch_rows)]
+            yield pa.RecordBatch.from_pydict(
+                {"rows": [p.num_rows for p in parts], "bytes": [p.nbytes for p in parts]},
+                schema=pa.schema([("rows", pa.int64()), ("bytes", pa.int64())]),
+            )
+
+    sizes = fetched.mapInArrow(measure, "rows bigint, bytes bigint")
+    return sizes.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.count(F.lit(1)).alias("batches"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("arrow_bytes"),
+    )
+
+
 def fetch_group_stats(fetched: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
     value = F.col(spec.value)
     return (

@@ -58,8 +58,9 @@ def _chunk_stats(chunked: DataFrame, by: list[str], spec: PanelSpec) -> DataFram
             "window_end": F.max(spec.at).over(whole),
         }
     )
-    keys = [*by, "window_start", "window_end", spec.entity, spec.indicator]
-    return bounded_stats(bounded, keys, spec)
+    # the shard may be the entity itself
+    keys = dict.fromkeys([*by, "window_start", "window_end", spec.entity, spec.indicator])
+    return bounded_stats(bounded, list(keys), spec)
 
 
 def count_windows(

@@ -18,11 +18,13 @@ from panelworks.sinks import write_parquet, write_rejected
 
 @dataclass(frozen=True)
 class Analysis:
-    """Result frames of a batch run; ``valid`` and ``rejected`` read stored data."""
+    """Result frames of a batch run.  They read the table at ``staged``, which is the
+    caller's to delete once they are no longer needed."""
 
     valid: DataFrame
     rejected: DataFrame
     by_group: DataFrame
+    staged: str
 
 
 def flagship(df: DataFrame, rules: RuleSet, spec: PanelSpec = PanelSpec()) -> DataFrame:
@@ -58,7 +60,8 @@ def analyze(
         write_parquet(valid, output)
     if rejected_output:
         write_rejected(rejected, rejected_output)
-    return Analysis(valid, rejected, group_stats(valid, [spec.group, spec.indicator], spec))
+    by_group = group_stats(valid, [spec.group, spec.indicator], spec)
+    return Analysis(valid, rejected, by_group, staged)
 
 
 def reports(

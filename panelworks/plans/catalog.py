@@ -970,7 +970,7 @@ def _message_stream(spark: SparkSession, d: str) -> DataFrame:
     seq = F.get_json_object("value", "$.seq").cast("bigint")
     cut = F.when(seq % 97 == 0, F.substring("value", 1, 25)).otherwise(F.col("value"))
     texts.select(cut.alias("value")).write.text(path)
-    return sources.text_stream(spark, path)
+    return sources.text_stream(spark, path).select("value")
 
 
 @register(

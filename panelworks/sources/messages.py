@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 from panelworks.schema import CORRUPT_COLUMN, MESSAGE_TOPIC, RECORD_SCHEMA
 
 
+# Column with the time a message came in.
+ARRIVED = "arrived"
+
+
 def broker_options(
     brokers: str,
     topic: str = MESSAGE_TOPIC,
@@ -34,17 +38,21 @@ def broker_options(
 
 
 def broker_stream(spark: SparkSession, brokers: str, **options) -> DataFrame:
-    """Unbounded ``value`` texts of a topic."""
+    """Unbounded texts of a topic with the broker's time stamp as arrival time."""
     reader = spark.readStream.format("kafka").options(**broker_options(brokers, **options))
-    return reader.load().select(F.col("value").cast("string").alias("value"))
+    return reader.load().select(
+        F.col("value").cast("string").alias("value"), F.col("timestamp").alias(ARRIVED)
+    )
 
 
 def text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The file twin of :func:`broker_stream`: one message per line."""
+    """The file twin of :func:`broker_stream`: one message per line, arriving when
+    its file was written."""
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(path)
+    written = F.col("_metadata.file_modification_time")
+    return reader.text(path).select("value", written.alias(ARRIVED))
 
 
 def _parsed(text: Column, schema: T.StructType) -> Column:
@@ -56,10 +64,15 @@ def _parsed(text: Column, schema: T.StructType) -> Column:
 def parse_messages(
     messages: DataFrame, schema: T.StructType = RECORD_SCHEMA, keep_bad: bool = False
 ) -> DataFrame:
-    """Records of JSON messages; unreadable ones are skipped, or marked in ``bad``."""
-    parsed = messages.select("value", _parsed(F.col("value"), schema).alias("_r"))
+    """Records of JSON messages; unreadable ones are skipped, or marked in ``bad``.
+
+    Other columns of the messages, such as the arrival time, are carried along.
+    """
+    carried = [c for c in messages.columns if c != "value"]
+    parsed = messages.select("value", *carried, _parsed(F.col("value"), schema).alias("_r"))
     bad = F.col("_r").isNull() | F.col(f"_r.{CORRUPT_COLUMN}").isNotNull()
     fields = [F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields]
+    fields += [F.col(c) for c in carried]
     if keep_bad:
         return parsed.select(*fields, bad.alias("bad"))
     return parsed.where(~bad).select(*fields)

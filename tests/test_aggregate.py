@@ -178,6 +178,14 @@ def test_fetch_metrics(panel_small):
     assert (none.rows, none.batches) == (0, 0)
 
 
+def test_arrow_footprint(panel_small):
+    fetched = reports.fetch(panel_small.coalesce(1), FilterSpec())
+    got = reports.arrow_footprint(fetched, batch_rows=10).first()
+    assert (got.rows, got.batches) == (48, 5) and got.arrow_bytes > 48 * 8
+    none = reports.arrow_footprint(reports.fetch(panel_small, FilterSpec("none"))).first()
+    assert tuple(none) == (0, 0, 0)
+
+
 def test_panel_filter_drops_null_groups(spark, panel_small):
     nulls = panel_small.selectExpr("* except (federal_district)", "null as federal_district")
     both = panel_small.unionByName(nulls)

@@ -66,3 +66,15 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_root(spark) == root
     first, second = session.scratch(spark, "x"), session.scratch(spark, "x")
     assert first != second and first.startswith(root)
+
+
+def test_command_line_analyze_and_fetch(spark, tmp_path, panel_small, capsys):
+    from panelworks.__main__ import main
+
+    raw, out = str(tmp_path / "raw.ndjson"), str(tmp_path / "clean.parquet")
+    panel_small.drop("seq").write.json(raw)
+    main(["analyze", "--input", raw, "--output", out, "--rejected", str(tmp_path / "rej.ndjson")])
+    assert spark.read.parquet(out).count() == 48
+    main(["fetch", "--source", out, "--year-from", "2023"])
+    shown = capsys.readouterr().out
+    assert "Татарстан" in shown and "federal_district" in shown

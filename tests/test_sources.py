@@ -198,6 +198,20 @@ def test_layout_by_indicator_prunes(spark, tmp_path, panel_small):
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(indicator" in plan
     assert part.count() == 8
+    assert all(len(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("ind"))
+
+
+def test_hot_indicator_is_split_over_files(spark, tmp_path):
+    path = str(tmp_path / "hot.parquet")
+    rows = spark.range(200_000).selectExpr("'hot' as indicator", "rand(1) as value")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "200k")
+    try:
+        sinks.write_by_indicator(rows, path)
+    finally:
+        spark.conf.unset(size)
+    files = [f for f in os.listdir(f"{path}/indicator=hot") if f.endswith(".parquet")]
+    assert len(files) > 1 and spark.read.parquet(path).count() == 200_000
 
 
 def test_rejected_sink(spark, tmp_path, panel_small):

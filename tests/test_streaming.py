@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelworks import sources, streaming
 from panelworks.operators import windows
+from panelworks.schema import PanelSpec
 from tests.conftest import rows_of
 from tests.test_windows import SCHEMA, events
 
@@ -87,6 +88,25 @@ def test_bad_messages_are_counted(spark, tmp_path):
     assert [sum(m[i] for m in seen) for i in range(3)] == [3, 2, 1]
 
 
+def test_windows_on_arrival_time(spark, tmp_path):
+    path = tmp_path / "texts"
+    path.mkdir()
+    texts = ['{"region":"A","indicator":"x","value":1.0,"collected_at":"1999-01-01T00:00:00Z"}',
+             '{"region":"A","indicator":"x","value":3.0,"collected_at":"2030-01-01T00:00:00Z"}']
+    for i, when in enumerate((1_704_067_200, 1_704_067_200 + 7200)):
+        file = path / f"{i}.txt"
+        file.write_text("\n".join(texts) + "\n")
+        os.utime(file, (when, when))
+    records = sources.parse_messages(sources.text_stream(spark, str(path), max_files=1))
+    means = streaming.sliding_stream(
+        records, "x", "1 hour", "1 hour", "0 seconds", PanelSpec(at="arrived")
+    )
+    out = str(tmp_path / "out")
+    streaming.to_parquet(means, out, str(tmp_path / "cp")).awaitTermination()
+    (row,) = spark.read.parquet(out).collect()
+    assert (row.window_start, row.avg_value, row.n) == (datetime(2024, 1, 1), 2.0, 2)
+
+
 def test_closed_tumbling_windows_equal_the_batch_form(spark, source):
     rows = events(300)
     for part in range(3):

@@ -78,6 +78,12 @@ def test_count_windows(stream, heavy_rows):
         assert all(k == 50 for _, k in chunks[:-1]) and sum(k for _, k in chunks) == n
 
 
+def test_shard_may_be_the_entity(stream):
+    got = windows.count_windows(stream, 50, ["region"])
+    assert got.columns.count("region") == 1
+    assert got.agg(F.sum("count")).first()[0] == len(events())
+
+
 def test_tumbling_covers_every_row_once(stream):
     got = windows.tumbling(stream, "10 seconds")
     assert got.agg(F.sum("count")).first()[0] == len(events())
