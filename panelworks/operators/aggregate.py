@@ -70,7 +70,8 @@ def median_stats(
     if heavy is None:
         return bounded_stats(df, by, spec, digits)
     light, hot = ranking.split_heavy(df, by, heavy)
-    medians = ranking.heavy_median(hot, by, spec.value, "_p50", heavy_rows)
+    runs = ranking.value_runs(hot, by, spec.value)
+    medians = ranking.heavy_median(runs, by, spec.value, "n", "_p50", heavy_rows)
     stats = hot.groupBy(*by).agg(*_median_stats(spec, F.lit(None).alias("p50"), digits))
     hot_stats = ranking.join_groups(stats, medians, by, "left").select(
         *by, "sum", "avg", "min", "max", "count", round_to(F.col("_p50"), digits).alias("p50")
@@ -78,6 +79,52 @@ def median_stats(
     return bounded_stats(light, by, spec, digits).unionByName(hot_stats)
 
 
+def _run_totals(spec: PanelSpec, count: str, median: Column, digits: int) -> list[Column]:
+    value, n = F.col(spec.value), F.col(count)
+    if spec.scale is None:
+        added = F.sum(value * n)
+    else:
+        added = F.sum(value.cast(f"decimal(18,{spec.scale})") * n.cast("decimal(18,0)"))
+    added = added.cast("double")
+    present = F.sum(F.when(value.isNotNull(), n)).cast("double")
+    return [
+        round_to(added, digits).alias("sum"),
+        round_to(F.try_divide(added, present), digits).alias("avg"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+        F.sum(n).alias("count"),
+        median,
+    ]
+
+
+def run_stats(
+    runs: DataFrame,
+    by: Sequence[str],
+    count: str = "n",
+    spec: PanelSpec = PanelSpec(),
+    digits: int = 2,
+    heavy_rows: int = ranking.HEAVY_ROWS,
+) -> DataFrame:
+    """:func:`median_stats` of rows that were already folded into value runs."""
+
+    def weighted(part: DataFrame) -> DataFrame:
+        median = F.percentile(F.col(spec.value), 0.5, F.col(count))
+        return part.groupBy(*by).agg(
+            *_run_totals(spec, count, round_to(median, digits).alias("p50"), digits)
+        )
+
+    heavy, _ = ranking.heavy_groups(runs, by, heavy_rows)
+    if heavy is None:
+        return weighted(runs)
+    light, hot = ranking.split_heavy(runs, by, heavy)
+    medians = ranking.heavy_median(hot, by, spec.value, count, "_p50", heavy_rows)
+    totals = hot.groupBy(*by).agg(*_run_totals(spec, count, F.lit(None).alias("p50"), digits))
+    hot_stats = ranking.join_groups(totals, medians, by, "left").select(
+        *by, "sum", "avg", "min", "max", "count", round_to(F.col("_p50"), digits).alias("p50")
+    )
+    return weighted(light).unionByName(hot_stats)
+
+
 def average_since(
     df: DataFrame, since: int, limit: int = 20, spec: PanelSpec = PanelSpec()
 ) -> DataFrame:

@@ -162,23 +162,32 @@ def number_rows(
     return running_total(df, by, order, out, heavy_rows=heavy_rows)
 
 
+def value_runs(df: DataFrame, by: Sequence[str], value: str, count: str = "n") -> DataFrame:
+    """How often each value occurs per group; combines map-side."""
+    return df.groupBy(*by, value).agg(F.count(F.lit(1)).alias(count))
+
+
 def heavy_median(
-    df: DataFrame, by: Sequence[str], value: str, out: str, heavy_rows: int = HEAVY_ROWS
+    runs: DataFrame,
+    by: Sequence[str],
+    value: str,
+    count: str,
+    out: str,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Exact median per group by rank selection, for the rows of heavy groups.
+    """Exact median per heavy group by rank selection over its value runs.
 
-    Equal values are counted before the shuffle, so neither many copies of one
-    value nor many distinct values ever meet in one task.  Expects at most
-    ``HEAVY_GROUPS`` groups, which bounds the broadcast table of group sizes.
+    Runs are distinct per (group, value), so neither many copies of one value nor
+    many distinct values ever meet in one task.  Expects at most ``HEAVY_GROUPS``
+    groups, which bounds the broadcast table of group sizes.
     """
-    present = df.where(F.col(value).isNotNull())
-    runs = present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_run"))
-    ranked = running_total(runs, by, [value], "_upto", F.col("_run"), heavy_rows)
-    sizes = present.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    present = runs.where(F.col(value).isNotNull())
+    ranked = running_total(present, by, [value], "_upto", F.col(count), heavy_rows)
+    sizes = present.groupBy(*by).agg(F.sum(count).alias("_size"))
     placed = join_groups(ranked, sizes, by, "inner")
 
     def at_rank(rank: Column) -> Column:
-        here = (F.col("_upto") - F.col("_run") < rank) & (rank <= F.col("_upto"))
+        here = (F.col("_upto") - F.col(count) < rank) & (rank <= F.col("_upto"))
         return F.max(F.when(here, F.col(value)))
 
     lower = F.floor((F.col("_size") + 1) / 2)

@@ -1,8 +1,8 @@
 """Panel views over star-schema and event tables.
 
 ``obs`` reads orders as a panel (nation, world region, year, priority, price),
-``shipments`` does the same with line items, ``ev`` reads events as a stream of
-records.  Joins carry no hints: dimensions are small by statistics, not by
+``customers`` takes the customer as entity, ``shipments`` reads line items, ``ev``
+reads events as a stream of records.  Joins carry no hints: dimensions are small by statistics, not by
 promise, so the planner decides from their actual size.
 """
 
@@ -52,6 +52,22 @@ OBS_SQL = """
 """
 
 
+def customers(spark: SparkSession, folder: str) -> DataFrame:
+    """A sparse panel: the customer is the entity."""
+    return table(spark, folder, "orders").select(
+        F.col("o_custkey").cast("string").alias("region"),
+        F.year("o_orderdate").alias("year"),
+        F.col("o_orderpriority").alias("indicator"),
+        F.col("o_totalprice").alias("value"),
+    )
+
+
+CUSTOMERS_SQL = """
+    SELECT CAST(o_custkey AS VARCHAR) AS region, CAST(year(o_orderdate) AS INTEGER) AS year,
+           o_orderpriority AS indicator, o_totalprice AS value FROM orders
+"""
+
+
 def shipments(spark: SparkSession, folder: str) -> DataFrame:
     supplier = table(spark, folder, "supplier").join(
         _places(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")

@@ -12,7 +12,15 @@ from panelworks import sinks, sources, streaming
 from panelworks.operators import aggregate, clean, reports, shape, validate, windows
 from panelworks.operators.validate_json import validate_json
 from panelworks.plans import adapters, analyze
-from panelworks.plans.adapters import DIRTY_SQL, EV_SQL, JSON_SQL, OBS_SQL, SHIPMENTS_SQL, SPEC
+from panelworks.plans.adapters import (
+    CUSTOMERS_SQL,
+    DIRTY_SQL,
+    EV_SQL,
+    JSON_SQL,
+    OBS_SQL,
+    SHIPMENTS_SQL,
+    SPEC,
+)
 from panelworks.schema import (
     DIMENSION_SCHEMA,
     RECORD_SCHEMA,
@@ -620,7 +628,7 @@ def hash_partition(spark, d):
 
 GRID_YEARS = (1995, 2002)
 GRID_CODES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-GRID_SQL = f"""{WITH_OBS}, part AS (SELECT * FROM obs WHERE value > 450000),
+GRID_SQL = f"""WITH part AS ({CUSTOMERS_SQL}),
     grid AS (SELECT region, CAST(y AS INTEGER) AS year, indicator
       FROM (SELECT DISTINCT region FROM part), range(1995, 2003) AS t(y),
       (VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('4-NOT SPECIFIED'), ('5-LOW'))
@@ -628,17 +636,13 @@ GRID_SQL = f"""{WITH_OBS}, part AS (SELECT * FROM obs WHERE value > 450000),
     cells AS (SELECT DISTINCT region, year, indicator FROM part)"""
 
 
-def _sparse(spark: SparkSession, d: str) -> DataFrame:
-    return panel(spark, d).where(F.col("value") > 450_000)
-
-
 @register(
     "panel_coverage",
     f"""{GRID_SQL} SELECT region, 40 AS expected, CAST(count(*) AS INTEGER) AS present,
     CAST(40 - count(*) AS INTEGER) AS missing FROM cells GROUP BY region""",
 )
 def panel_coverage(spark, d):
-    return shape.coverage(_sparse(spark, d), GRID_YEARS, GRID_CODES, SPEC)
+    return shape.coverage(adapters.customers(spark, d), GRID_YEARS, GRID_CODES, SPEC)
 
 
 @register(
@@ -647,7 +651,7 @@ def panel_coverage(spark, d):
     EXCEPT SELECT region, year, indicator FROM cells""",
 )
 def panel_gaps(spark, d):
-    return shape.gaps(_sparse(spark, d), GRID_YEARS, GRID_CODES, SPEC)
+    return shape.gaps(adapters.customers(spark, d), GRID_YEARS, GRID_CODES, SPEC)
 
 
 BASELINE = Baseline(
@@ -1008,15 +1012,28 @@ CLOSED_SQL = """window_end <= (SELECT date_trunc('milliseconds', max(collected_a
     f"""{WITH_EV}, w AS (
       SELECT time_bucket(INTERVAL '10 seconds', collected_at) AS window_start,
       time_bucket(INTERVAL '10 seconds', collected_at) + INTERVAL '10 seconds' AS window_end,
-      region, indicator, {sum2()} AS sum, {avg2()} AS avg, min(value) AS min, max(value) AS max,
-      count(*) AS count, {median()} AS p50 FROM ev GROUP BY 1, 2, 3, 4)
+      region, indicator, {STATS_SQL} FROM ev GROUP BY 1, 2, 3, 4)
     SELECT * FROM w WHERE {CLOSED_SQL.format("ev")}""",
 )
 def stream_tumbling(spark, d):
     path, checkpoint = _folders(spark, "tumbling")
-    closed = streaming.tumbling_stream(adapters.ev_stream(spark, d), spec=SPEC)
-    _finish(streaming.to_parquet(closed, path, checkpoint))
-    return _naive(spark.read.parquet(path), "window_start", "window_end")
+    _finish(streaming.tumbling_stream(adapters.ev_stream(spark, d), path, checkpoint, spec=SPEC))
+    return _naive(spark.read.parquet(path).drop("batch_id"), "window_start", "window_end")
+
+
+@register(
+    "stream_tumbling_day",
+    f"""{SHARDED_CTE}, w AS (
+      SELECT time_bucket(INTERVAL '1 day', collected_at) AS window_start,
+      time_bucket(INTERVAL '1 day', collected_at) + INTERVAL '1 day' AS window_end,
+      region, indicator, {STATS_SQL} FROM s GROUP BY 1, 2, 3, 4)
+    SELECT * FROM w WHERE {CLOSED_SQL.format("s")}""",
+)
+def stream_tumbling_day(spark, d):
+    path, checkpoint = _folders(spark, "tumbling-day")
+    rows = _with_shard(adapters.ev_stream(spark, d))
+    _finish(streaming.tumbling_stream(rows, path, checkpoint, "1 day", spec=SPEC))
+    return _naive(spark.read.parquet(path).drop("batch_id"), "window_start", "window_end")
 
 
 CLICKS_SQL = "(SELECT * FROM ev WHERE indicator = 'click')"

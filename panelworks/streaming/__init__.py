@@ -8,6 +8,7 @@ from panelworks.streaming.flows import (
     tee_stream,
     to_parquet,
     top_stream,
+    tumbling_runs,
     tumbling_stream,
     with_event_time,
 )
@@ -22,6 +23,7 @@ __all__ = [
     "tee_stream",
     "to_parquet",
     "top_stream",
+    "tumbling_runs",
     "tumbling_stream",
     "with_event_time",
 ]

@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from panelworks.functions import mean, total
+from panelworks.functions import mean
+from panelworks.operators.aggregate import run_stats
+from panelworks.operators.ranking import HEAVY_ROWS
 from panelworks.operators.windows import hybrid_windows, top_per_window
 from panelworks.schema import PanelSpec
 
@@ -27,42 +30,32 @@ def with_event_time(
     return zoned.withWatermark(spec.at, delay)
 
 
-def tumbling_stream(
+WINDOW = ["window_start", "window_end"]
+
+
+def tumbling_runs(
     df: DataFrame,
     duration: str = "10 seconds",
     delay: str = "1 minute",
     spec: PanelSpec = PanelSpec(),
-    exact_median: bool = True,
 ) -> DataFrame:
-    """Window statistics by (window, entity, indicator); late rows are dropped.
+    """Value counts by (window, entity, indicator, value), emitted when a window closes.
 
-    The exact median keeps the distinct values of an open window in state.
-    ``exact_median=False`` uses a sketch of fixed size instead.
+    The value is part of the key, so the state of a hot group is spread over all
+    tasks instead of growing in one buffer.  Late rows are dropped.
     """
-    value = F.col(spec.value)
-    median = F.percentile(value, 0.5) if exact_median else F.percentile_approx(value, 0.5)
+    slot = F.window(spec.at, duration).alias("w")
     return (
         with_event_time(df, delay, spec)
-        .groupBy(F.window(spec.at, duration).alias("w"), spec.entity, spec.indicator)
-        .agg(
-            total(value, spec.scale).alias("sum"),
-            mean(value, spec.scale).alias("avg"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-            F.count(F.lit(1)).alias("count"),
-            median.alias("p50"),
-        )
+        .groupBy(slot, spec.entity, spec.indicator, spec.value)
+        .agg(F.count(F.lit(1)).alias("n"))
         .select(
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),
             spec.entity,
             spec.indicator,
-            "sum",
-            "avg",
-            "min",
-            "max",
-            "count",
-            "p50",
+            spec.value,
+            "n",
         )
     )
 
@@ -196,6 +189,35 @@ def top_stream(
     return for_each_batch(means, body, checkpoint, every)
 
 
+def tumbling_stream(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    duration: str = "10 seconds",
+    delay: str = "1 minute",
+    every: str | None = None,
+    spec: PanelSpec = PanelSpec(),
+    heavy_rows: int = HEAVY_ROWS,
+) -> StreamingQuery:
+    """Window statistics with the exact median by (window, entity, indicator).
+
+    All value counts of a window arrive in the micro-batch that closes it, so
+    each batch is turned into statistics by the batch code.
+    """
+    keys = [*WINDOW, spec.entity, spec.indicator]
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        # used twice: for the group sizes and for the statistics
+        held = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            stats = run_stats(held, keys, "n", spec, heavy_rows=heavy_rows)
+            stats.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        finally:
+            held.unpersist()
+
+    return for_each_batch(tumbling_runs(df, duration, delay, spec), body, checkpoint, every)
+
+
 def tee_stream(
     df: DataFrame,
     raw_path: str,

@@ -9,7 +9,7 @@ from collections import defaultdict
 import pytest
 
 from panelworks.operators import ranking
-from panelworks.operators.aggregate import median_stats
+from panelworks.operators.aggregate import median_stats, run_stats
 from panelworks.schema import PanelSpec
 
 
@@ -77,6 +77,15 @@ def test_exact_median_on_both_paths(skewed_df, heavy_rows):
         assert p50 == pytest.approx(statistics.median(values), abs=0.0051)
 
 
+@pytest.mark.parametrize("heavy_rows", [10_000, 40])
+def test_statistics_from_value_runs(skewed_df, heavy_rows):
+    spec = PanelSpec(value="v", scale=1)
+    runs = ranking.value_runs(skewed_df, ["k"], "v")
+    got = run_stats(runs, ["k"], "n", spec, heavy_rows=heavy_rows).collect()
+    want = median_stats(skewed_df, ["k"], spec).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
+
+
 def test_many_copies_of_one_value(spark):
     rows = [("hot", 5.0)] * 900 + [("hot", float(i)) for i in range(101)]
     df = spark.createDataFrame(rows, "k string, v double")
