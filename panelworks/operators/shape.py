@@ -51,19 +51,36 @@ def with_partition(
     return df.withColumn(out, key_partition(F.col(spec.entity), partitions))
 
 
-def _present_cells(
+# Cells per bitmap word; below 63 so that words stay positive.
+_WORD = 62
+
+
+def _div(x: Column, by: int) -> Column:
+    return F.floor(x / by).cast("int")
+
+
+def _cell_words(
     df: DataFrame, years: tuple[int, int], indicators: Sequence[str], spec: PanelSpec
 ) -> DataFrame:
-    """Per entity the set of its grid cells, numbered year-major.
+    """Per entity a bitmap of its grid cells (numbered year-major) in ``_words``.
 
-    The set is bounded by the size of one entity's grid and built map-side, so
+    Bitmaps have the fixed size of one entity's grid and are or-ed map-side, so
     neither the dense grid nor the raw rows are shuffled.
     """
     codes = {name: i for i, name in enumerate(indicators)}
-    cell = (F.col(spec.year) - years[0]) * len(indicators) + lookup(F.col(spec.indicator), codes)
     inside = F.col(spec.year).between(*years) & F.col(spec.indicator).isin(*indicators)
-    return df.groupBy(spec.entity).agg(
-        F.collect_set(F.when(inside, cell.cast("int"))).alias("cells")
+    cell = (F.col(spec.year) - years[0]) * len(indicators) + lookup(F.col(spec.indicator), codes)
+    placed = df.select(spec.entity, F.when(inside, cell.cast("int")).alias("_cell"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_cell") % _WORD)
+    words = [
+        F.coalesce(
+            F.bit_or(F.when(_div(F.col("_cell"), _WORD) == i, bit)), F.lit(0).cast("bigint")
+        ).alias(f"_word{i}")
+        for i in range(-(-grid_size(years, indicators) // _WORD))
+    ]
+    names = [f"_word{i}" for i in range(len(words))]
+    return placed.groupBy(spec.entity).agg(*words).select(
+        spec.entity, F.array(*names).alias("_words")
     )
 
 
@@ -79,11 +96,14 @@ def coverage(
 ) -> DataFrame:
     """Cells expected, present and missing per entity."""
     expected = grid_size(years, indicators)
-    return _present_cells(df, years, indicators, spec).select(
+    present = F.aggregate(
+        "_words", F.lit(0), lambda total, word: (total + F.bit_count(word)).cast("int")
+    )
+    return _cell_words(df, years, indicators, spec).select(
         spec.entity,
         F.lit(expected).alias("expected"),
-        F.size("cells").alias("present"),
-        (F.lit(expected) - F.size("cells")).alias("missing"),
+        present.alias("present"),
+        (F.lit(expected) - present).alias("missing"),
     )
 
 
@@ -100,13 +120,18 @@ def gaps(
     every = F.sequence(F.lit(0), F.lit(grid_size(years, indicators) - 1))
     names = F.array(*[F.lit(i) for i in indicators])
     width = len(indicators)
-    missing = _present_cells(df, years, indicators, spec).select(
-        spec.entity, F.explode(F.array_except(every, F.col("cells"))).alias("cell")
-    )
-    return missing.select(
-        spec.entity,
-        (F.floor(F.col("cell") / width) + years[0]).cast("int").alias(spec.year),
-        F.get(names, F.col("cell") % width).alias(spec.indicator),
+    cell = F.col("_cell")
+    word = F.get("_words", _div(cell, _WORD))
+    taken = F.call_function("shiftright", word, cell % _WORD) % 2 == 1
+    return (
+        _cell_words(df, years, indicators, spec)
+        .select(spec.entity, "_words", F.explode(every).alias("_cell"))
+        .where(~taken)
+        .select(
+            spec.entity,
+            (_div(cell, width) + years[0]).alias(spec.year),
+            F.get(names, cell % width).alias(spec.indicator),
+        )
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from panelworks.functions import mean
+from panelworks.functions import common_pane
 from panelworks.operators.aggregate import run_stats
 from panelworks.operators.ranking import HEAVY_ROWS
 from panelworks.operators.windows import hybrid_windows, top_per_window
@@ -68,21 +68,27 @@ def sliding_stream(
     delay: str = "1 minute",
     spec: PanelSpec = PanelSpec(),
 ) -> DataFrame:
-    """Mean and count by (sliding window, entity), emitted when a window closes."""
+    """Mean and count by (sliding window, entity), emitted when a window closes.
+
+    Rows are folded into panes first and panes into windows, as in the batch
+    form: only pane sums are copied into the overlapping windows.
+    """
     rows = with_event_time(df, delay, spec).where(F.col(spec.value).isNotNull())
     if indicator is not None:
         rows = rows.where(F.col(spec.indicator) == indicator)
+    kind = "double" if spec.scale is None else f"decimal(18,{spec.scale})"
+    pane = F.window(spec.at, common_pane(duration, slide))
+    panes = rows.groupBy(pane.alias("pane"), spec.entity).agg(
+        F.sum(F.col(spec.value).cast(kind)).alias("s"), F.count(F.lit(1)).alias("n")
+    )
     return (
-        rows.groupBy(F.window(spec.at, duration, slide).alias("w"), spec.entity)
-        .agg(
-            mean(F.col(spec.value), spec.scale).alias("avg_value"),
-            F.count(F.lit(1)).alias("n"),
-        )
+        panes.groupBy(F.window("pane", duration, slide).alias("w"), spec.entity)
+        .agg(F.sum("s").cast("double").alias("s"), F.sum("n").alias("n"))
         .select(
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),
             spec.entity,
-            "avg_value",
+            (F.col("s") / F.col("n").cast("double")).alias("avg_value"),
             "n",
         )
     )
