@@ -21,18 +21,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _places(spark: SparkSession, folder: str) -> DataFrame:
+def _with_places(rows: DataFrame, spark: SparkSession, folder: str, nation_key: str) -> DataFrame:
+    """Add nation and world region.
+
+    Joined one table at a time onto the rows: each right side is then a scan whose
+    size is known, whereas the size of a joined dimension is only guessed (as a
+    product) and the large side might be shuffled or even broadcast for it.
+    """
     nation = table(spark, folder, "nation")
     region = table(spark, folder, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.join(nation, F.col(nation_key) == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
+    )
 
 
 def obs(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
-    customer = table(spark, folder, "customer").join(
-        _places(spark, folder), F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+    customer = table(spark, folder, "customer")
+    placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    return _with_places(placed, spark, folder, "c_nationkey").select(
         F.col("n_name").alias("region"),
         F.col("r_name").alias("federal_district"),
         F.year("o_orderdate").alias("year"),
@@ -69,11 +76,10 @@ CUSTOMERS_SQL = """
 
 
 def shipments(spark: SparkSession, folder: str) -> DataFrame:
-    supplier = table(spark, folder, "supplier").join(
-        _places(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")
-    )
     lines = table(spark, folder, "lineitem")
-    return lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    supplier = table(spark, folder, "supplier")
+    placed = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    return _with_places(placed, spark, folder, "s_nationkey").select(
         F.col("n_name").alias("region"),
         F.col("r_name").alias("federal_district"),
         F.year("l_shipdate").alias("year"),
