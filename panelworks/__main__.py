@@ -66,7 +66,7 @@ def parser() -> argparse.ArgumentParser:
     batch.add_argument("--input", required=True)
     batch.add_argument("--output", required=True)
     batch.add_argument("--rejected", required=True)
-    batch.add_argument("--on-bad", choices=["fail", "drop"], default="fail")
+    batch.add_argument("--on-bad", choices=["fail", "drop", "keep"], default="fail")
     batch.set_defaults(run=run_analyze)
 
     query = commands.add_parser("fetch", help="filtered rows and their group statistics")

@@ -13,14 +13,23 @@ from panelworks.operators.ranking import HEAVY_ROWS, number_rows
 from panelworks.schema import PanelSpec
 
 
+def _slot(spec: PanelSpec, duration: str, offset: str | None) -> Column:
+    return F.window(F.col(spec.at), duration, duration, offset or "0 seconds")
+
+
 def tumbling(
     df: DataFrame,
     duration: str = "10 seconds",
     spec: PanelSpec = PanelSpec(),
     heavy_rows: int = HEAVY_ROWS,
+    offset: str | None = None,
 ) -> DataFrame:
-    """Statistics by (window, entity, indicator) over fixed event-time windows."""
-    slot = F.window(F.col(spec.at), duration)
+    """Statistics by (window, entity, indicator) over fixed event-time windows.
+
+    Windows are aligned to the epoch, or shifted from it by ``offset`` (shorter than
+    ``duration``).
+    """
+    slot = _slot(spec, duration, offset)
     placed = df.select(
         slot.start.alias("window_start"),
         slot.end.alias("window_end"),
@@ -82,13 +91,14 @@ def hybrid_chunks(
     shard: Sequence[str] = (),
     spec: PanelSpec = PanelSpec(),
     heavy_rows: int = HEAVY_ROWS,
+    offset: str | None = None,
 ) -> DataFrame:
     """Add ``tick`` and ``chunk`` of windows that close on a timer or when full.
 
     The timer is not restarted by a full window and both ways of closing empty
     the buffer, so a window is exactly (timer bucket, chunk within the bucket).
     """
-    ticked = df.withColumn("tick", F.window(F.col(spec.at), duration).start)
+    ticked = df.withColumn("tick", _slot(spec, duration, offset).start)
     return count_chunks(ticked, size, [*shard, "tick"], spec, heavy_rows)
 
 
@@ -99,9 +109,10 @@ def hybrid_windows(
     shard: Sequence[str] = (),
     spec: PanelSpec = PanelSpec(),
     heavy_rows: int = HEAVY_ROWS,
+    offset: str | None = None,
 ) -> DataFrame:
     """Statistics over windows that close on a timer or after ``size`` rows."""
-    chunked = hybrid_chunks(df, duration, size, shard, spec, heavy_rows)
+    chunked = hybrid_chunks(df, duration, size, shard, spec, heavy_rows, offset)
     return _chunk_stats(chunked, [*shard, "tick", "chunk"], spec)
 
 

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelworks.operators.aggregate import average_since, dynamics, group_stats, histogram
-from panelworks.operators.clean import clean
+from panelworks.operators.clean import clean, typed
 from panelworks.operators.reports import top_slice
 from panelworks.operators.validate import validate
-from panelworks.schema import DEMOGRAPHIC_RULES, PanelSpec, RuleSet
+from panelworks.schema import CORRUPT_COLUMN, DEMOGRAPHIC_RULES, PanelSpec, RuleSet
 from panelworks.session import scratch
 from panelworks.sinks import write_parquet, write_rejected
 
@@ -43,16 +43,27 @@ def analyze(
 ) -> Analysis:
     """Run the whole pipeline.
 
-    The dedup shuffle happens once: its validated result is written to a table
+    Lines that ``load_raw(..., on_bad="keep")`` could not read are rejected with
+    their text.  The dedup shuffle happens once: its validated result is written to a table
     in the shared folder, split by outcome, and both halves are read from there.
     The table outlives lost executors, which a cache would not.
     """
     staged = scratch(spark, "validated")
-    checked = validate(clean(raw, spec, rules.year_range), rules, spec)
-    columns = [c for c in checked.columns if c not in ("valid", "errors")]
+    readable = raw
+    if CORRUPT_COLUMN in raw.columns:
+        readable = raw.where(F.col(CORRUPT_COLUMN).isNull())
+    checked = validate(clean(readable, spec, rules.year_range), rules, spec)
+    if readable is not raw:
+        unreadable = typed(raw, spec).where(F.col(CORRUPT_COLUMN).isNotNull())
+        checked = checked.unionByName(
+            unreadable.withColumns(
+                {"valid": F.lit(False), "errors": F.array(F.lit("record: malformed"))}
+            )
+        )
     checked.write.partitionBy("valid").parquet(staged)
     stored = spark.read.schema(checked.schema).parquet(staged)
-    valid = stored.where(F.col("valid")).select(*columns)
+    columns = [c for c in checked.columns if c not in ("valid", "errors")]
+    valid = stored.where(F.col("valid")).select(*[c for c in columns if c != CORRUPT_COLUMN])
     rejected = stored.where(~F.col("valid")).select(
         F.struct(*[F.col(c) for c in columns]).alias("record"), "errors"
     )

@@ -902,8 +902,7 @@ def latest_dataset(spark, d):
     sinks.write_parquet(rows.where("year = 2000"), f"{root}/rejected.parquet")
     found = sources.latest_dataset(spark, root)
     counted = sources.load_latest(spark, root).agg(F.count(F.lit(1)).alias("rows"))
-    # both sides are single rows
-    return found.select("dataset").join(F.broadcast(counted), F.lit(True))
+    return found.select("dataset", counted.scalar().alias("rows"))
 
 
 RECORDS_SQL = f"""{WITH_OBS} SELECT region, federal_district, CAST(year AS BIGINT) AS year,

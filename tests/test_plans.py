@@ -8,7 +8,8 @@ from panelworks import session
 from panelworks.operators.clean import clean
 from panelworks.plans.analyze import analyze, flagship, reports
 from panelworks.plans.dashboard import dashboard
-from panelworks.schema import DEMOGRAPHIC_RULES
+from panelworks.schema import DEMOGRAPHIC_RULES, PanelSpec
+from panelworks.sources import load_raw
 from tests.conftest import rows_of
 
 
@@ -43,6 +44,19 @@ def test_clean_run_writes_no_rejected_file(spark, tmp_path, panel_small):
     assert run.rejected.count() == 0 and run.valid.columns[0] == "region"
 
 
+def test_unreadable_lines_are_rejected_with_their_text(spark, tmp_path):
+    path = tmp_path / "raw.ndjson"
+    good = '{"region":"Москва","year":2020,"indicator":"birth_rate","value":10.5}'
+    path.write_text(f'{good}\n{{cut\n{good.replace("2020", "2021")}\n', encoding="utf-8")
+    raw = load_raw(spark, str(path), on_bad="keep", numbered=True)
+    run = analyze(spark, raw, rejected_output=str(tmp_path / "rej.ndjson"),
+                  spec=PanelSpec(order=("seq",)))
+    assert run.valid.count() == 2 and "_corrupt_record" not in run.valid.columns
+    (row,) = run.rejected.collect()
+    assert row.record._corrupt_record == "{cut" and row.errors == ["record: malformed"]
+    assert spark.read.json(str(tmp_path / "rej.ndjson")).count() == 1
+
+
 def test_report_frames(panel_small):
     got = reports(clean(panel_small), "life_expectancy", 2023, 2019)
     assert {k: v.count() for k, v in got.items()} == {

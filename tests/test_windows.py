@@ -65,6 +65,18 @@ def test_hybrid_windows_equal_the_replayed_loop(stream, seconds, size, heavy_row
     assert {tuple(r) for r in got.select(*columns).collect()} == expected
 
 
+def test_ticks_may_start_off_the_epoch(stream):
+    got = windows.hybrid_chunks(stream, "1 minute", 7, offset="7 seconds")
+    assert {r.tick.second for r in got.select("tick").collect()} == {7}
+    shifted = windows.tumbling(stream, "1 minute", offset="7 seconds")
+    counts = defaultdict(int)
+    for region, code, _, when, _ in events():
+        minute = int(((when - T0).total_seconds() - 7) // 60)
+        counts[T0 + timedelta(seconds=7 + 60 * minute), region, code] += 1
+    columns = ["window_start", "region", "indicator", "count"]
+    assert rows_of(shifted, *columns) == sorted((*k, n) for k, n in counts.items())
+
+
 @pytest.mark.parametrize("heavy_rows", [100_000, 30])
 def test_count_windows(stream, heavy_rows):
     got = windows.count_chunks(stream, 50, ["region"], heavy_rows=heavy_rows)
