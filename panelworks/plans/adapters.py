@@ -1,7 +1,7 @@
 """Panel views over star-schema and event tables.
 
 ``obs`` reads orders as a panel (nation, world region, year, priority, price),
-``customers`` takes the customer as entity, ``shipments`` reads line items, ``ev``
+``orders_panel`` is the same without places, ``customers`` takes the customer as entity, ``shipments`` reads line items, ``ev``
 reads events as a stream of records.  Joins carry no hints: dimensions are small by statistics, not by
 promise, so the planner decides from their actual size.
 """
@@ -59,6 +59,24 @@ OBS_SQL = """
 """
 
 
+def orders_panel(spark: SparkSession, folder: str) -> DataFrame:
+    """``obs`` without places, for reports that ask for none: no join at all."""
+    return table(spark, folder, "orders").select(
+        F.year("o_orderdate").alias("year"),
+        F.col("o_orderpriority").alias("indicator"),
+        F.col("o_totalprice").alias("value"),
+        F.col("o_orderdate").alias("collected_at"),
+        F.col("o_orderkey").alias("seq"),
+    )
+
+
+ORDERS_SQL = """
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS indicator,
+           o_totalprice AS value, o_orderdate AS collected_at, o_orderkey AS seq
+    FROM orders
+"""
+
+
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """A sparse panel: the customer is the entity."""
     return table(spark, folder, "orders").select(

@@ -18,6 +18,7 @@ from panelworks.plans.adapters import (
     EV_SQL,
     JSON_SQL,
     OBS_SQL,
+    ORDERS_SQL,
     SHIPMENTS_SQL,
     SPEC,
 )
@@ -64,6 +65,7 @@ RULES = RuleSet(
 ALLOWED_SQL = '["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]'
 
 WITH_OBS = f"WITH obs AS ({OBS_SQL})"
+WITH_ORDERS = f"WITH obs AS ({ORDERS_SQL})"
 WITH_EV = f"WITH ev AS ({EV_SQL})"
 WITH_DIRTY = f"WITH dirty AS ({DIRTY_SQL})"
 
@@ -106,6 +108,10 @@ def panel(spark: SparkSession, d: str) -> DataFrame:
     return adapters.obs(spark, d)
 
 
+def orders(spark: SparkSession, d: str) -> DataFrame:
+    return adapters.orders_panel(spark, d)
+
+
 # --- filters and projections -------------------------------------------------
 
 
@@ -177,11 +183,11 @@ LABELS = {"1-URGENT": "Urgent", "2-HIGH": "High", "5-LOW": "Low"}
 
 @register(
     "indicator_labels",
-    f"""{WITH_OBS} SELECT DISTINCT indicator, CASE indicator WHEN '1-URGENT' THEN 'Urgent'
+    f"""{WITH_ORDERS} SELECT DISTINCT indicator, CASE indicator WHEN '1-URGENT' THEN 'Urgent'
     WHEN '2-HIGH' THEN 'High' WHEN '5-LOW' THEN 'Low' ELSE indicator END AS label FROM obs""",
 )
 def indicator_labels(spark, d):
-    codes = panel(spark, d).select("indicator").distinct()
+    codes = orders(spark, d).select("indicator").distinct()
     return reports.with_labels(codes, LABELS, SPEC)
 
 
@@ -226,9 +232,9 @@ def clean_report(spark, d):
     return clean.clean_report(adapters.dirty(spark, d), SPEC)
 
 
-@register("distinct_years", f"{WITH_OBS} SELECT DISTINCT year FROM obs")
+@register("distinct_years", f"{WITH_ORDERS} SELECT DISTINCT year FROM obs")
 def distinct_years(spark, d):
-    return reports.sorted_distinct(panel(spark, d), "year")
+    return reports.sorted_distinct(orders(spark, d), "year")
 
 
 @register("distinct_groups", f"{WITH_OBS} SELECT DISTINCT federal_district FROM obs")
@@ -285,12 +291,12 @@ _field_query("value", VALUE_ERROR_SQL)
 
 @register(
     "validate_range",
-    f"""{WITH_OBS} SELECT seq, {RANGE_ERROR_SQL} AS error FROM obs
+    f"""{WITH_ORDERS} SELECT seq, {RANGE_ERROR_SQL} AS error FROM obs
     WHERE ({RANGE_ERROR_SQL}) IS NOT NULL""",
 )
 def validate_range(spark, d):
     check = validate.value_check(F.col("value"), F.col("indicator"), RULES)
-    return panel(spark, d).where(check.failed).select("seq", check.text.alias("error"))
+    return orders(spark, d).where(check.failed).select("seq", check.text.alias("error"))
 
 
 @register(
@@ -476,39 +482,39 @@ LATEST_SQL = """FROM obs WHERE indicator = '{0}'
 
 @register(
     "kpi_total",
-    f"""{WITH_OBS} SELECT max(year) AS year, {sum2()} AS total,
+    f"""{WITH_ORDERS} SELECT max(year) AS year, {sum2()} AS total,
     {sum2()} / CAST(1000000 AS DOUBLE) AS total_in_units {LATEST_SQL.format("1-URGENT")}""",
 )
 def kpi_total(spark, d):
-    return aggregate.kpi_total(panel(spark, d), "1-URGENT", spec=SPEC)
+    return aggregate.kpi_total(orders(spark, d), "1-URGENT", spec=SPEC)
 
 
 @register(
     "kpi_mean",
-    f"""{WITH_OBS} SELECT max(year) AS year, {avg2()} AS avg {LATEST_SQL.format("2-HIGH")}""",
+    f"""{WITH_ORDERS} SELECT max(year) AS year, {avg2()} AS avg {LATEST_SQL.format("2-HIGH")}""",
 )
 def kpi_mean(spark, d):
-    return aggregate.kpi_mean(panel(spark, d), "2-HIGH", SPEC)
+    return aggregate.kpi_mean(orders(spark, d), "2-HIGH", SPEC)
 
 
 @register(
     "kpi_negative",
-    f"""{WITH_OBS} SELECT max(year) AS year, CAST(count_if(value - 250000 < 0) AS BIGINT) AS n
+    f"""{WITH_ORDERS} SELECT max(year) AS year, CAST(count_if(value - 250000 < 0) AS BIGINT) AS n
     {LATEST_SQL.format("3-MEDIUM")}""",
 )
 def kpi_negative(spark, d):
-    shifted = panel(spark, d).withColumn("value", F.col("value") - 250_000)
+    shifted = orders(spark, d).withColumn("value", F.col("value") - 250_000)
     return aggregate.kpi_negative(shifted, "3-MEDIUM", SPEC)
 
 
 @register(
     "kpi_empty",
-    f"""{WITH_OBS}, rows AS (SELECT * FROM obs WHERE indicator = 'none')
+    f"""{WITH_ORDERS}, rows AS (SELECT * FROM obs WHERE indicator = 'none')
     SELECT kpi, CASE WHEN (SELECT count(*) FROM rows) = 0 THEN '—' ELSE 'x' END AS label
     FROM (VALUES ('total'), ('mean'), ('negative')) AS v(kpi)""",
 )
 def kpi_empty(spark, d):
-    rows = panel(spark, d)
+    rows = orders(spark, d)
     labels = {
         "total": reports.total_label(aggregate.kpi_total(rows, "none", spec=SPEC)),
         "mean": reports.mean_label(aggregate.kpi_mean(rows, "none", SPEC)),
@@ -520,7 +526,7 @@ def kpi_empty(spark, d):
 
 @register(
     "histogram40",
-    f"""{WITH_OBS}, v AS (SELECT value AS v FROM obs WHERE indicator = '2-HIGH'),
+    f"""{WITH_ORDERS}, v AS (SELECT value AS v FROM obs WHERE indicator = '2-HIGH'),
     x AS (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
                  CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi FROM v),
     e AS (SELECT i, CASE WHEN i = 40 THEN hi
@@ -531,16 +537,16 @@ def kpi_empty(spark, d):
     FROM b LEFT JOIN v ON v >= low AND (v < high OR (i = 39 AND v <= high)) GROUP BY 1, 2, 3""",
 )
 def histogram40(spark, d):
-    return aggregate.histogram(panel(spark, d), "2-HIGH", 40, SPEC)
+    return aggregate.histogram(orders(spark, d), "2-HIGH", 40, SPEC)
 
 
 @register(
     "panel_extent",
-    f"""{WITH_OBS} SELECT count(*) AS rows, min(year) AS first_year, max(year) AS last_year
+    f"""{WITH_ORDERS} SELECT count(*) AS rows, min(year) AS first_year, max(year) AS last_year
     FROM obs""",
 )
 def panel_extent(spark, d):
-    return aggregate.extent(panel(spark, d), SPEC)
+    return aggregate.extent(orders(spark, d), SPEC)
 
 
 # --- sort, top-k, scores -----------------------------------------------------
@@ -691,14 +697,14 @@ BOUNDS = {"1-URGENT": (10_000.0, 400_000.0), "3-MEDIUM": (50_000.0, None)}
 
 @register(
     "clamp_round",
-    f"""{WITH_OBS}, c AS (SELECT seq, CASE indicator
+    f"""{WITH_ORDERS}, c AS (SELECT seq, CASE indicator
       WHEN '1-URGENT' THEN greatest(CAST(10000 AS DOUBLE), least(value, CAST(400000 AS DOUBLE)))
       WHEN '3-MEDIUM' THEN greatest(CAST(50000 AS DOUBLE), value) ELSE value END AS value
       FROM obs)
     SELECT seq, {r("value", 1)} AS value FROM c""",
 )
 def clamp_round(spark, d):
-    return shape.clamp_round(panel(spark, d), BOUNDS, 1, SPEC).select("seq", "value")
+    return shape.clamp_round(orders(spark, d), BOUNDS, 1, SPEC).select("seq", "value")
 
 
 # --- windows -----------------------------------------------------------------
