@@ -50,8 +50,8 @@ def key_partition(key: Column, partitions: int) -> Column:
     """Message partition of a text key: 32-bit FNV-1a of its bytes, as a signed
     number, absolute remainder by ``partitions``.
 
-    This is the published hash-by-key rule of the usual Go message client, so
-    keys land where that client would have sent them.
+    This is a published hash-by-key rule of message clients, so keys land where
+    such a client would have sent them.
     """
     # FNV-1a 32-bit offset basis and prime.
     basis, prime = 2166136261, 16777619

@@ -1,9 +1,10 @@
 """Panel views over star-schema and event tables.
 
-``obs`` reads orders as a panel (nation, world region, year, priority, price),
-``orders_panel`` is the same without places, ``customers`` takes the customer as entity, ``shipments`` reads line items, ``ev``
-reads events as a stream of records.  Joins carry no hints: dimensions are small by statistics, not by
-promise, so the planner decides from their actual size.
+``obs`` reads orders as a panel (nation, world region, year, priority, price) and
+``orders_panel`` is the same without places; ``customers`` takes the customer as
+entity, ``shipments`` reads line items, ``ev`` reads events as a stream of records.
+Joins carry no hints: dimensions are small by statistics, not by promise, so the
+planner decides from their actual size.
 """
 
 from __future__ import annotations

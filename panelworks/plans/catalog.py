@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelworks import sinks, sources, streaming
+from panelworks.functions import is_finite
 from panelworks.operators import aggregate, clean, reports, shape, validate, windows
 from panelworks.operators.validate_json import validate_json
 from panelworks.plans import adapters, analyze
@@ -785,8 +786,9 @@ def window_sliding(spark, d):
     return windows.sliding_means(events(spark, d), "click", spec=SPEC)
 
 
-TOP5_SQL = """SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY window_start, window_end
-    ORDER BY avg_value DESC, region) AS INTEGER) AS rank FROM {0}) WHERE rank <= 5"""
+TOP5_SQL = """SELECT * FROM (SELECT *, CAST(row_number() OVER (
+      PARTITION BY window_start, window_end ORDER BY avg_value DESC, region) AS INTEGER) AS rank
+    FROM {0}) WHERE rank <= 5"""
 
 
 @register("window_top5", f"{SLIDING_CTE} {TOP5_SQL.format('means')}")
@@ -846,13 +848,14 @@ def _zoned_records(df: DataFrame) -> DataFrame:
 @register(
     "scan_ndjson",
     f"""{WITH_DIRTY} SELECT region, federal_district, CAST(year AS BIGINT) AS year, indicator,
-    value, collected_at FROM dirty WHERE (value IS NULL OR isfinite(value))
-    AND NOT starts_with(indicator, '_agg_')""",
+    CASE WHEN isfinite(value) THEN value END AS value, collected_at
+    FROM dirty WHERE NOT starts_with(indicator, '_agg_')""",
 )
 def scan_ndjson(spark, d):
     path = scratch(spark, "scan") + ".ndjson"
-    rows = adapters.dirty(spark, d).where("value is null or value not in (double('NaN'), double('Infinity'))")
-    sinks.append_ndjson(_zoned_records(rows), path)
+    # JSON has no NaN or infinity: such values are written as absent
+    value = F.when(is_finite(F.col("value")), F.col("value"))
+    sinks.append_ndjson(_zoned_records(adapters.dirty(spark, d).withColumn("value", value)), path)
     return _naive(sources.load_raw(spark, path), "collected_at")
 
 

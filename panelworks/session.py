@@ -16,6 +16,8 @@ SETTINGS = {
     # the JIT compiler skips methods above 8000 bytes of code; the long CASE chains of the
     # rule checks then run several times slower than without whole-stage code
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # drop the checkpoints of the hot-group path once nothing refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # keep window state off the heap
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

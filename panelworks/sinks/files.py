@@ -12,7 +12,11 @@ def append_ndjson(df: DataFrame, path: str) -> None:
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
-    """Write zstd Parquet; an empty frame writes nothing.  True if it was written."""
+    """Write zstd Parquet; an empty frame writes nothing.  True if it was written.
+
+    The emptiness test runs the frame up to its first row, so store the outcome
+    of a costly plan first (as ``analyze`` does) and write from there.
+    """
     if df.isEmpty():
         return False
     df.write.mode(mode).option("compression", "zstd").parquet(path)

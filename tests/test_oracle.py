@@ -40,7 +40,11 @@ def comparable(rows):
         return "nan" if isinstance(x, float) and math.isnan(x) else x
 
     fixed = [tuple(cell(x) for x in row) for row in rows]
-    return sorted(fixed, key=lambda row: [(x is None, str(type(x)), 0 if x is None else x) for x in row])
+
+    def place(row):
+        return [(x is None, str(type(x)), 0 if x is None else x) for x in row]
+
+    return sorted(fixed, key=place)
 
 
 def test_every_query_has_a_twin():
