@@ -1,6 +1,13 @@
 """Column expressions shared by the operators."""
 
-from panelworks.functions.moments import common_pane, name_stamp, rfc3339, truncated_to_millis
+from panelworks.functions.moments import (
+    common_pane,
+    name_stamp,
+    rfc3339,
+    truncated_to_millis,
+    utc_instant,
+    utc_naive,
+)
 from panelworks.functions.numeric import (
     clamp,
     is_finite,
@@ -29,4 +36,6 @@ __all__ = [
     "round_to",
     "total",
     "truncated_to_millis",
+    "utc_instant",
+    "utc_naive",
 ]

@@ -37,3 +37,13 @@ def truncated_to_millis(x: Column) -> Column:
 def name_stamp(x: Column) -> Column:
     """Time stamp for file and folder names, e.g. 20240101_000000_000000."""
     return F.date_format(x, "yyyyMMdd_HHmmss_SSSSSS")
+
+
+def utc_instant(x: Column) -> Column:
+    """Zoned time of a time stamp without zone, read as UTC in any session time zone."""
+    return F.from_utc_timestamp(x.cast("timestamp"), F.current_timezone())
+
+
+def utc_naive(x: Column) -> Column:
+    """The UTC wall time of a zoned time stamp; inverse of :func:`utc_instant`."""
+    return F.to_utc_timestamp(x, F.current_timezone()).cast("timestamp_ntz")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelworks.functions import clamp, key_partition, lookup, round_to
 from panelworks.operators.ranking import HEAVY_ROWS, number_rows
-from panelworks.schema import Baseline, PanelSpec
+from panelworks.schema import MESSAGE_PARTITIONS, Baseline, PanelSpec
 
 
 def assign_shards(
@@ -45,7 +45,10 @@ def shard_of(
 
 
 def with_partition(
-    df: DataFrame, partitions: int, spec: PanelSpec = PanelSpec(), out: str = "partition"
+    df: DataFrame,
+    partitions: int = MESSAGE_PARTITIONS,
+    spec: PanelSpec = PanelSpec(),
+    out: str = "partition",
 ) -> DataFrame:
     """Add the message partition of the entity key; a column, so nothing moves."""
     return df.withColumn(out, key_partition(F.col(spec.entity), partitions))

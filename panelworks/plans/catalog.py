@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelworks import sinks, sources, streaming
-from panelworks.functions import is_finite
+from panelworks.functions import is_finite, utc_naive
 from panelworks.operators import aggregate, clean, reports, shape, validate, windows
 from panelworks.operators.validate_json import validate_json
 from panelworks.plans import adapters, analyze
@@ -1011,6 +1011,11 @@ def ingest_metrics(spark, d):
     return spark.read.parquet(path).agg(*streaming.counters(parsed))
 
 
+def _closed(df: DataFrame) -> DataFrame:
+    """Closed windows with their bounds as UTC wall time."""
+    return df.withColumns({c: utc_naive(F.col(c)) for c in streaming.WINDOW})
+
+
 CLOSED_SQL = """window_end <= (SELECT date_trunc('milliseconds', max(collected_at)) FROM {0})
     - INTERVAL '1 minute'"""
 
@@ -1026,7 +1031,7 @@ CLOSED_SQL = """window_end <= (SELECT date_trunc('milliseconds', max(collected_a
 def stream_tumbling(spark, d):
     path, checkpoint = _folders(spark, "tumbling")
     _finish(streaming.tumbling_stream(adapters.ev_stream(spark, d), path, checkpoint, spec=SPEC))
-    return _naive(spark.read.parquet(path).drop("batch_id"), "window_start", "window_end")
+    return _closed(spark.read.parquet(path).drop("batch_id"))
 
 
 @register(
@@ -1041,7 +1046,7 @@ def stream_tumbling_day(spark, d):
     path, checkpoint = _folders(spark, "tumbling-day")
     rows = _with_shard(adapters.ev_stream(spark, d))
     _finish(streaming.tumbling_stream(rows, path, checkpoint, "1 day", spec=SPEC))
-    return _naive(spark.read.parquet(path).drop("batch_id"), "window_start", "window_end")
+    return _closed(spark.read.parquet(path).drop("batch_id"))
 
 
 CLICKS_SQL = "(SELECT * FROM ev WHERE indicator = 'click')"
@@ -1058,7 +1063,7 @@ def _sliding(spark: SparkSession, d: str) -> DataFrame:
 def stream_sliding(spark, d):
     path, checkpoint = _folders(spark, "sliding")
     _finish(streaming.to_parquet(_sliding(spark, d), path, checkpoint))
-    return _naive(spark.read.parquet(path), "window_start", "window_end")
+    return _closed(spark.read.parquet(path))
 
 
 @register(
@@ -1070,7 +1075,7 @@ def stream_top5(spark, d):
     path, checkpoint = _folders(spark, "top5")
     _finish(streaming.top_stream(_sliding(spark, d), path, checkpoint, 5, spec=SPEC))
     stored = spark.read.parquet(path).drop("batch_id")
-    return _naive(stored, "window_start", "window_end")
+    return _closed(stored)
 
 
 @register("stream_flush", f"{WITH_EV} SELECT * FROM ev")

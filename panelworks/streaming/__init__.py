@@ -1,4 +1,5 @@
 from panelworks.streaming.flows import (
+    WINDOW,
     counters,
     emergency_path,
     flush_batch,
@@ -14,6 +15,7 @@ from panelworks.streaming.flows import (
 )
 
 __all__ = [
+    "WINDOW",
     "counters",
     "emergency_path",
     "flush_batch",

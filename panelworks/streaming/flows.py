@@ -13,9 +13,10 @@ from collections.abc import Callable, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from panelworks.functions import common_pane
+from panelworks.functions import common_pane, utc_instant
 from panelworks.operators.aggregate import run_stats
 from panelworks.operators.ranking import HEAVY_ROWS
 from panelworks.operators.windows import hybrid_windows, top_per_window
@@ -25,9 +26,13 @@ from panelworks.schema import PanelSpec
 def with_event_time(
     df: DataFrame, delay: str = "0 seconds", spec: PanelSpec = PanelSpec()
 ) -> DataFrame:
-    """Zoned event time with a watermark (time stamps without zone are refused)."""
-    zoned = df.withColumn(spec.at, F.col(spec.at).cast("timestamp"))
-    return zoned.withWatermark(spec.at, delay)
+    """Zoned event time with a watermark.
+
+    Streaming refuses time stamps without zone; they are read as UTC.
+    """
+    if isinstance(df.schema[spec.at].dataType, T.TimestampNTZType):
+        df = df.withColumn(spec.at, utc_instant(F.col(spec.at)))
+    return df.withWatermark(spec.at, delay)
 
 
 WINDOW = ["window_start", "window_end"]
