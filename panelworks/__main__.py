@@ -85,8 +85,8 @@ def parser() -> argparse.ArgumentParser:
     live.add_argument("--indicator", default="birth_rate")
     live.add_argument("--window-seconds", type=int, default=300)
     live.add_argument("--tick-seconds", type=int, default=30)
-    live.add_argument("--flush-threshold", type=int, default=1000)
-    live.add_argument("--max-per-trigger", type=int)
+    live.add_argument("--flush-threshold", type=int, help="rows per Parquet file at most")
+    live.add_argument("--max-per-trigger", type=int, help="records per micro-batch at most")
     live.set_defaults(run=run_consume)
     return top
 

@@ -167,10 +167,15 @@ def flush_stream(
     df: DataFrame,
     path: str,
     checkpoint: str,
-    max_rows: int | None = 1000,
+    max_rows: int | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Flush each micro-batch to Parquet; batch size is set by the source's rate limit."""
+    """Flush each micro-batch to Parquet.
+
+    The batch size is set by the trigger and the source's rate limit, whichever
+    comes first.  ``max_rows`` caps the rows per file; leave it unset where many
+    small files would hurt.
+    """
 
     def body(batch: DataFrame, batch_id: int) -> None:
         flush_batch(batch, batch_id, path, max_rows)
