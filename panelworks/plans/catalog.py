@@ -1104,12 +1104,12 @@ PIPELINE_CLEANED = CLEAN_CTE.replace(
 
 
 @register(
-    "pipeline",
+    "panel_pipeline",
     f"""{PIPELINE_CLEANED}, checked AS (SELECT *, {ERRORS_SQL} AS errors FROM cleaned)
     SELECT federal_district, indicator, {GROUP_STATS_SQL} FROM checked WHERE errors = ''
     GROUP BY 1, 2""",
 )
-def pipeline(spark, d):
+def panel_pipeline(spark, d):
     return analyze.flagship(adapters.dirty(spark, d), RULES, SPEC)
 
 
