@@ -1113,7 +1113,7 @@ def panel_pipeline(spark, d):
     return analyze.flagship(adapters.dirty(spark, d), RULES, SPEC)
 
 
-@register("pipeline_stored", ORACLES["pipeline"])
+@register("pipeline_stored", ORACLES["panel_pipeline"])
 def pipeline_stored(spark, d):
     return analyze.analyze(spark, adapters.dirty(spark, d), rules=RULES, spec=SPEC).by_group
 
