@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelworks.llm import exact, packing, sharding
+from panelworks.llm import exact, packing, partenum, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,3 +58,30 @@ def op7_feistel_shards(spark, folder):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@register(
+    "op10_partenum_join",
+    r"""WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS ws FROM documents),
+      lists AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
+            WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+            ELSE list_distinct([array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)])
+            END AS items FROM w),
+      sizes AS (SELECT doc_id, len(items) AS n FROM lists),
+      items AS (SELECT doc_id, unnest(items) AS s FROM lists),
+      common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM items a JOIN items b USING (s)
+            WHERE a.doc_id < b.doc_id GROUP BY ALL),
+      links AS (SELECT x, y FROM common JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id
+            WHERE 100 * i >= 80 * (p.n + q.n - i)),
+      both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+      reach(doc_id, other) AS (SELECT doc_id, doc_id FROM sizes
+            UNION SELECT r.doc_id, e.y FROM reach r JOIN both_ways e ON r.other = e.x)
+    SELECT r.doc_id, any_value(n) AS n_shingles, min(other) AS component_id
+    FROM reach r JOIN sizes USING (doc_id) GROUP BY r.doc_id""",
+)
+def op10_partenum_join(spark, folder):
+    found = partenum.jaccard_components(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
