@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelworks.llm import exact, packing, partenum, sharding
+from panelworks.llm import exact, packing, partenum, quality, sharding, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,3 +85,64 @@ def op7_feistel_shards(spark, folder):
 def op10_partenum_join(spark, folder):
     found = partenum.jaccard_components(table(spark, folder, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@register("op8_line_dedup")
+def op8_line_dedup(spark, folder):
+    done = substrings.remove_repeats(table(spark, folder, "documents"), keep=["doc_id"])
+    return done.select("row.doc_id", "clean_text", "spans", "n_removed_chars")
+
+
+@register(
+    "op9_line_frequency",
+    r"""WITH d AS (
+        SELECT doc_id, source, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+      windows AS (SELECT doc_id, i, ws[i:i + 4] AS w
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d)),
+      twice AS (SELECT doc_id, i FROM windows
+            QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1),
+      covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+            SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id),
+      raw_lines AS (SELECT doc_id, source, t, unnest(string_split(t, chr(10))) AS l FROM d),
+      lines AS (SELECT doc_id, source, md5(t) AS document, l,
+            array_to_string(regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') AS line,
+            len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n FROM raw_lines),
+      held AS (SELECT source, line, count(DISTINCT document) AS documents FROM lines
+            WHERE n > 0 GROUP BY ALL),
+      hosts AS (SELECT source, count(DISTINCT md5(t)) AS everything FROM d GROUP BY source),
+      frequent AS (SELECT held.source, line FROM held
+            JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source
+            WHERE documents > 20 AND documents > everything * 0.05),
+      gone AS (SELECT doc_id, sum(n) AS words FROM lines WHERE EXISTS (SELECT 1 FROM frequent
+            WHERE frequent.source IS NOT DISTINCT FROM lines.source AND frequent.line = lines.line)
+            GROUP BY doc_id),
+      own AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines WHERE n > 0
+            GROUP BY doc_id),
+      counted AS (SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+            CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+            CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+            CAST(coalesce(own.n, 0) AS BIGINT) AS n_dup_lines,
+            CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+            len(ws) - coalesce(gone.words, 0) AS words_left
+            FROM d LEFT JOIN own USING (doc_id) LEFT JOIN covered USING (doc_id)
+            LEFT JOIN gone USING (doc_id)),
+      judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+            FROM counted)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND words_left >= 10 AND words_left >= 0.3 * n_words AS kept
+    FROM judged""",
+)
+def op9_line_frequency(spark, folder):
+    judged = quality.judge(table(spark, folder, "documents"), keep=["doc_id"])
+    return judged.select(
+        "row.doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
