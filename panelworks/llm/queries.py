@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelworks.llm import exact, packing, partenum, quality, sharding, substrings
+from panelworks.llm import bpe, exact, packing, partenum, quality, sharding, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Rank file of the tokenizer; the path is the same on every worker.
+RANKS = "byte_bpe_50k.tiktoken"
+
+
+@register("op2_byte_bpe")
+def op2_byte_bpe(spark, folder):
+    import public_tokenizers
+
+    done = bpe.round_trip(table(spark, folder, "documents"), public_tokenizers.path(RANKS))
+    return done.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @register("op3_length_buckets")
 def op3_length_buckets(spark, folder):
     return packing.pack(table(spark, folder, "documents"))
