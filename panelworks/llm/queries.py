@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelworks.llm import bpe, exact, packing, partenum, quality, sharding, substrings
+from panelworks.llm import bpe, exact, language, packing, partenum, quality, sharding, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,15 @@ def op3_length_buckets(spark, folder):
     return packing.pack(table(spark, folder, "documents"))
 
 
+@register("op4_language_id")
+def op4_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    net = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    return language.identify(docs, net).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @register(
     "op6_exact_dedup",
     r"""SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id,
