@@ -12,6 +12,13 @@ empty projection could lose a partner that way; such sets emit the signatures of
 second partition as well, then of a third and so on, and at last one signature for
 emptiness itself.  Two sets both meet the condition or one of them has fewer
 empty parts than agreeing ones, so no pair is lost.
+
+Candidates are settled in two steps.  First a set is compared with a few leads of its
+buckets, which gathers most near copies into components.  Then only buckets whose members are in
+different components remain.  They tie sets into families, and a family's sets are
+compared in blocks: the sets of two blocks meet in one task, which returns just the links.
+Similar sets share not one but many signatures, so each set may leave out some of its
+buckets, those of common phrases, before families are formed.
 """
 
 from __future__ import annotations
@@ -24,10 +31,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelworks.llm.common import batch, map_batches, mix, slices, stage
+from panelworks.llm.common import batch, map_batches, mix, ship, slices, stage
 from panelworks.llm.components import connected
 from panelworks.llm.shingles import WIDTH, distinct_shingles, set_keys
 
@@ -35,6 +42,12 @@ from panelworks.llm.shingles import WIDTH, distinct_shingles, set_keys
 SIMILARITY = (80, 100)
 # Partitions tried before a set falls back to the signature for emptiness.
 PARTITIONS = 8
+# Leads a set is compared with first; what they do not settle is settled afterwards.
+LEADS = 4
+# Bounds of a block of sets, and columns of a matrix product, when families are compared.
+BLOCK_SETS = 512
+BLOCK_ITEMS = 250_000
+COLUMNS = 8192
 # Ids that are sent to all executors to select documents; beyond it a shuffle join does.
 BROADCAST_IDS = 1_000_000
 
@@ -108,10 +121,13 @@ def signatures(
         if band.distance == 0:  # only equal sets can match
             continue
         rows = np.flatnonzero(band_no == number)
+        used = parts_used(sizes, band, similarity)
         for seed in range(PARTITIONS):
             if not rows.size:
                 break
-            found, sigs, risky = _one_partition(shingles, starts, sizes, rows, number, band, seed)
+            found, sigs, risky = _one_partition(
+                shingles, starts, used, rows, number, band, seed
+            )
             sets_out.append(found)
             sigs_out.append(sigs)
             rows = rows[risky]
@@ -123,14 +139,55 @@ def signatures(
     return np.concatenate(sets_out), np.concatenate(sigs_out)
 
 
-def _one_partition(shingles, starts, sizes, rows, number, band, seed):
-    """Signatures of the sets ``rows`` under one partition, and which sets need another."""
-    length = sizes[rows]
+def parts_used(sizes: np.ndarray, band: Band, similarity=SIMILARITY) -> np.ndarray:
+    """Parts each set needs: with plain parts the first ones suffice, in excess of the largest
+    distance to a partner of that set by as many as the band's parts are of its distance."""
+    if band.spare:
+        return np.full(len(sizes), band.parts)
+    a, b = similarity
+    partner = np.minimum(band.high, sizes * b // a)
+    return np.minimum((sizes + partner) * (b - a) // (b + a) + band.agreeing, band.parts)
+
+
+def _cells(shingles, starts, rows, number, band, seed):
+    """Elements of the sets ``rows`` and the cell (set, part, subpart) of each."""
+    length = (starts[1:] - starts[:-1])[rows]
     owner = np.repeat(np.arange(len(rows)), length)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)
     elements = shingles[np.repeat(starts[rows], length) + inside]
     cells = band.parts * band.subparts
-    at = owner * cells + _partition(elements, number, seed, cells)
+    return elements, owner * cells + _partition(elements, number, seed, cells)
+
+
+def slack(shingles: np.ndarray, starts: np.ndarray, similarity=SIMILARITY) -> np.ndarray:
+    """How many signatures each set is sure to share with any similar set, at least.
+
+    In excess of the distance ``agreeing`` parts agree, and only empty ones say nothing.
+    """
+    sizes = np.diff(starts)
+    table = bands(similarity)
+    out = np.full(len(sizes), np.iinfo(np.int32).max)
+    for band_no in band_numbers(sizes, similarity):
+        for number in np.unique(band_no[band_no >= 0]):
+            band = table[number]
+            rows = np.flatnonzero(band_no == number)
+            if band.distance == 0:
+                continue
+            if band.spare:
+                out[rows] = 1
+                continue
+            used = parts_used(sizes, band, similarity)[rows]
+            _, at = _cells(shingles, starts, rows, number, band, 0)
+            held = np.bincount(at, minlength=len(rows) * band.parts).reshape(len(rows), -1)
+            empty = (held == 0) & (np.arange(band.parts) < used[:, None])
+            out[rows] = np.minimum(out[rows], band.agreeing - empty.sum(1))
+    return np.maximum(out, 1)
+
+
+def _one_partition(shingles, starts, used, rows, number, band, seed):
+    """Signatures of the sets ``rows`` under one partition, and which sets need another."""
+    elements, at = _cells(shingles, starts, rows, number, band, seed)
+    cells = band.parts * band.subparts
     held = np.bincount(at, minlength=len(rows) * cells)
     sums = np.zeros(len(rows) * cells, np.uint64)
     np.add.at(sums, at, mix(elements + np.uint64(seed)))
@@ -139,18 +196,21 @@ def _one_partition(shingles, starts, sizes, rows, number, band, seed):
     some_empty = np.zeros(shape[:2], bool)
     found, sigs = [], []
     part_no = np.arange(band.parts, dtype=np.uint64)
+    unused = np.arange(band.parts) >= used[rows, None]
     for c, choice in enumerate(band.choices):
         chosen = list(choice)
         empty = held[:, :, chosen].sum(2) == 0
-        some_empty |= empty
+        some_empty |= empty & ~unused
         label = mix(
             (np.uint64(number) << np.uint64(40)) + np.uint64(seed << 36)
             + (part_no << np.uint64(8)) + np.uint64(c)
         )
         value = mix(sums[:, :, chosen].sum(2, dtype=np.uint64) ^ label)
-        set_no, part = np.nonzero(~empty)
+        set_no, part = np.nonzero(~(empty | unused))
         found.append(rows[set_no])
-        sigs.append(value[set_no, part])
+        # the last bit tells signatures of one element, which are the least specific
+        single = held[:, :, chosen].sum(2) == 1
+        sigs.append(((value & ~np.uint64(1)) | single.astype(np.uint64))[set_no, part])
     risky = some_empty.sum(1) >= band.agreeing
     return np.concatenate(found), np.concatenate(sigs), risky
 
@@ -170,7 +230,14 @@ def band_numbers(sizes: np.ndarray, similarity=SIMILARITY) -> tuple[np.ndarray,
 
 _CLASS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())])
 _SIG = pa.schema([("sig", pa.int64()), ("k1", pa.int64())])
-_SET = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("items", pa.list_(pa.int64()))])
+_SET = pa.schema(
+    [
+        ("k1", pa.int64()),
+        ("k2", pa.int64()),
+        ("items", pa.list_(pa.int64())),
+        ("slack", pa.int64()),
+    ]
+)
 _BUCKET = pa.schema([("sig", pa.int64()), ("lead", pa.int64()), ("node", pa.int64())])
 
 
@@ -240,8 +307,8 @@ def buckets(sigs: DataFrame) -> DataFrame:
     )
 
 
-def _shingle_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """k1, k2, items of the documents with the given ids."""
+def _shingle_sets(docs: DataFrame, ids: DataFrame, width: int, similarity) -> DataFrame:
+    """k1, k2, items and :func:`slack` of the documents with the given ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in slices(batches):
@@ -250,11 +317,13 @@ def _shingle_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(
                 pa.array(starts, pa.int32()), pa.array(items.view(np.int64))
             )
-            yield batch(_SET, k1=k1, k2=k2, items=lists)
+            yield batch(
+                _SET, k1=k1, k2=k2, items=lists, slack=slack(items, starts, similarity)
+            )
 
     small = ids.count() <= BROADCAST_IDS
     wanted = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    return map_batches(wanted, run, "k1 bigint, k2 bigint, items array<bigint>")
+    return map_batches(wanted, run, "k1 bigint, k2 bigint, items array<bigint>, slack bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -273,6 +342,147 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
     )
 
 
+def _families(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """(family, rep, label, n): sets tied by the buckets whose members are still apart.
+
+    Two similar sets share ``slack`` buckets of either at least, so less than half of
+    that may be left out by each; those of single elements and of many members go first.
+    """
+    placed = members.join(labels, members.rep == labels.node, "left").select(
+        "sig", "rep", F.coalesce("label", "rep").alias("label")
+    )
+    mixed = (
+        placed.groupBy("sig")
+        .agg(
+            F.min("label").alias("least"), F.max("label").alias("most"), F.count("rep").alias("m")
+        )
+        .where("least <> most")
+        .select("sig", "m")
+    )
+    common = Window.partitionBy("rep").orderBy(
+        F.col("sig").bitwiseAND(F.lit(1)).desc(), F.desc("m"), "sig"
+    )
+    rest = stage(
+        placed.join(mixed, "sig")
+        .join(sets.select("rep", "slack", "n"), "rep")
+        .withColumn("place", F.row_number().over(common))
+        .where(F.col("place") > F.expr("(slack - 1) div 2"))
+        .select("sig", "rep", "label", "n"),
+        "rest",
+    )
+    ties = rest.join(rest.groupBy("sig").agg(F.min("rep").alias("v")), "sig")
+    tied = connected(ties.select(F.col("rep").alias("u"), "v"))
+    return (
+        tied.withColumnRenamed("label", "family")
+        .join(rest.select("rep", "label", "n").distinct(), F.col("node") == F.col("rep"))
+        .select("family", "rep", "label", "n")
+    )
+
+
+def _blocks(families: DataFrame, growth: float) -> tuple[DataFrame, DataFrame]:
+    """(family, block, rep, label) and the pairs of blocks (family, left, right) to compare.
+
+    Blocks are cut by size first, and blocks of sizes too far apart do not meet.  A component that
+    fills blocks has blocks of its own, which are not compared with each other; small
+    components share blocks.
+    """
+
+    def wanted(rows: str, items: str):
+        return F.ceil(F.greatest(F.col(rows) / BLOCK_SETS, F.col(items) / BLOCK_ITEMS, F.lit(1.0)))
+
+    sized = families.withColumn("scale", F.floor(F.log(F.col("n")) / math.log(growth)))
+    parts = sized.groupBy("family", "scale", "label").agg(
+        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("items")
+    )
+    parts = parts.withColumn("own", wanted("sets", "items")).withColumn("large", F.col("own") > 1)
+    several = parts.groupBy("family").agg(F.countDistinct("label").alias("labels"))
+    small = parts.where("not large").groupBy("family", "scale")
+    shared = small.agg(F.sum("sets").alias("sets"), F.sum("items").alias("items"))
+    parts = (
+        parts.select("family", "scale", "label", "own", "large")
+        .join(several.where("labels > 1").select("family"), "family")
+        .join(
+            shared.select("family", "scale", wanted("sets", "items").alias("shared")),
+            ["family", "scale"],
+            "left",
+        )
+    )
+    own = F.struct("label", F.pmod(F.xxhash64("rep"), F.col("own")).alias("no"))
+    together = F.struct(
+        F.lit(None).cast("bigint").alias("label"),
+        F.pmod(F.xxhash64("label"), F.col("shared")).alias("no"),
+    )
+    block = F.when(F.col("large"), own).otherwise(together)
+    placed = stage(
+        sized.join(parts, ["family", "scale", "label"]).select(
+            "family", F.struct("scale", block.alias("part")).alias("block"), "rep", "label"
+        ),
+        "blocks",
+    )
+    one = placed.select("family", F.col("block").alias("left")).distinct()
+    other = placed.select("family", F.col("block").alias("right")).distinct()
+    apart = F.col("left.part.label").isNull() | ~F.col("left.part.label").eqNullSafe(
+        F.col("right.part.label")
+    )
+    near = F.abs(F.col("left.scale") - F.col("right.scale")) <= 1
+    pairs = one.join(other, "family").where((F.col("left") <= F.col("right")) & apart & near)
+    return placed, stage(pairs, "block_pairs")
+
+
+def _block_links(families: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Links (u, v) between sets of one family in different components, by blocks."""
+    a, b = similarity
+    # a little more than the largest ratio of sizes, so that rounding loses no pair
+    placed, pairs = _blocks(stage(families, "families"), 1.01 * b / a)
+
+    def meet(group: pa.Table) -> pa.Table:
+        rep, label = group["rep"].to_numpy(), group["label"].to_numpy()
+        lists = group["items"].combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        u, v = similar_pairs(lists.flatten().to_numpy(), bounds, label, a, b)
+        return pa.table({"u": rep[u], "v": rep[v]})
+
+    of = pairs.select(F.col("family").alias("of"), "left", "right")
+    ends = of.select("of", "left", "right", F.col("left").alias("end")).union(
+        of.where(~F.col("left").eqNullSafe(F.col("right"))).select("of", "left", "right", F.col("right").alias("end"))
+    )
+    here = (F.col("family") == F.col("of")) & F.col("block").eqNullSafe(F.col("end"))
+    rows = placed.join(ends, here).select("of", "left", "right", "rep", "label")
+    rows = rows.join(sets.select("rep", "items"), "rep")
+    ship(rows.sparkSession)
+    return rows.groupBy("of", "left", "right").applyInArrow(meet, "u bigint, v bigint")
+
+
+def similar_pairs(items: np.ndarray, bounds: np.ndarray, label: np.ndarray, a: int, b: int):
+    """Index pairs of sets with similarity a / b or more and different labels.
+
+    ``items`` holds the sets one after the other.  Elements of a single set cannot be
+    common; over the others, products of 0/1 matrices count the common elements.
+    """
+    size = np.diff(bounds)
+    count = len(size)
+    owner = np.repeat(np.arange(count), size)
+    order = np.argsort(items, kind="stable")
+    ordered, owner = items[order], owner[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    element = np.cumsum(new) - 1
+    often = np.bincount(element) > 1 if len(element) else np.zeros(0, bool)
+    keep = often[element]
+    owner, element = owner[keep], (np.cumsum(often) - 1)[element[keep]]
+    common = np.zeros((count, count), np.float32)
+    for at in range(0, int(often.sum()), COLUMNS):
+        here = (element >= at) & (element < at + COLUMNS)
+        matrix = np.zeros((count, COLUMNS), np.float32)
+        matrix[owner[here], element[here] - at] = 1
+        common += matrix @ matrix.T
+    common = np.rint(common).astype(np.int64)
+    union = size[:, None] + size[None, :] - common
+    linked = (b * common >= a * union) & (label[:, None] != label[None, :])
+    u, v = np.nonzero(np.triu(linked, 1))
+    return u, v
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -288,9 +498,9 @@ def jaccard_components(
     linked with nothing; a row without an id belongs to its class but never names it.
     Rows that repeat an id count as one document.
 
-    The smallest key of a bucket is compared with the others first; afterwards only
-    members of a bucket that are still in different components are.  So no links are
-    missed, and a group of near copies costs a comparison per member, not per pair.
+    Each set is first compared with the few leads it shares most buckets with.  Afterwards
+    only members of families that are still in different components are, block by
+    block, so no link between components is missed and no list of pairs is made.
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     classes = stage(set_classes(docs, width), "classes")
@@ -301,58 +511,41 @@ def jaccard_components(
         "reps",
     )
     found = stage(buckets(signature_rows(docs, width, similarity)), "buckets")
-    named = reps.select(F.col("k1").alias("node"), F.col("rep"), F.col("n"))
+    named = reps.select(F.col("k1").alias("node"), "rep")
+    leads = named.select(F.col("node").alias("lead"), F.col("rep").alias("u"))
+    most = Window.partitionBy("node").orderBy(F.desc("shared"), "lead")
+    pairs = stage(
+        found.groupBy("lead", "node")
+        .agg(F.count(F.lit(1)).alias("shared"))
+        .withColumn("place", F.row_number().over(most))
+        .where(F.col("place") <= LEADS)
+        .join(leads, "lead")
+        .join(named.withColumnRenamed("rep", "v"), "node")
+        .where("u <> v")
+        .select("u", "v")
+        .distinct(),
+        "pairs",
+    )
     members = stage(
-        found.select("sig", "node", F.lit(False).alias("first"))
-        .union(found.select("sig", F.col("lead").alias("node"), F.lit(True)).distinct())
+        found.select("sig", "node")
+        .union(found.select("sig", F.col("lead").alias("node")).distinct())
         .join(named, "node")
-        .select("sig", "rep", "n", "first"),
+        .select("sig", "rep"),
         "members",
     )
-    leads = named.select(F.col("node").alias("lead"), F.col("rep").alias("u"), F.col("n").alias("nu"))
-    to_lead = (
-        found.select("lead", "node")
-        .distinct()
-        .join(leads, "lead")
-        .join(named.select("node", F.col("rep").alias("v"), F.col("n").alias("nv")), "node")
-    )
-    a, b = similarity
-    close = (F.col("nu") * b >= F.col("nv") * a) & (F.col("nv") * b >= F.col("nu") * a)
-    apart = F.col("u") != F.col("v")
-    pairs = stage(to_lead.where(close & apart).select("u", "v").distinct(), "pairs")
     involved = stage(members.select(F.col("rep").alias("doc_id")).distinct(), "involved")
     sets = stage(
-        _shingle_sets(docs, involved, width)
+        _shingle_sets(docs, involved, width, similarity)
         .dropDuplicates(["k1", "k2"])
         .join(reps, ["k1", "k2"])
-        .select("rep", "items"),
+        .drop("k1", "k2"),
         "sets",
     )
     links = stage(_verified(pairs, sets, similarity), "links")
     labels = stage(connected(links), "labels")
-
-    # what is left: members of one bucket in different components
-    placed = members.join(labels, members.rep == labels.node, "left").select(
-        "sig", "rep", "n", "first", F.coalesce("label", "rep").alias("label")
-    )
-    mixed = (
-        placed.groupBy("sig")
-        .agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("m"))
-        .where("a <> b and m > 2")
-        .select("sig")
-    )
-    rest = stage(placed.where("not first").join(mixed, "sig"), "rest")
-    other = rest.select(
-        "sig", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("label").alias("label_v")
-    )
-    more = (
-        rest.select("sig", F.col("rep").alias("u"), F.col("n").alias("nu"), "label")
-        .join(other, "sig")
-        .where((F.col("u") < F.col("v")) & (F.col("label") != F.col("label_v")) & close)
-        .select("u", "v")
-        .distinct()
+    further = stage(
+        _block_links(_families(members, labels, sets), sets, similarity), "links"
     )
-    further = stage(_verified(stage(more, "pairs"), sets, similarity), "links")
     if not further.isEmpty():
         labels = stage(connected(links.union(further)), "labels")
     component = F.when(F.col("n") > 0, F.coalesce("label", "rep", "doc_id")).otherwise(

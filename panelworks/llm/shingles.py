@@ -54,14 +54,16 @@ def distinct_shingles(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray,
     first = (ends - counts)[doc] + place
     value = np.zeros(len(first), np.uint64)
     for k in range(width):
-        value = mix(value * _FACTOR + hashes[first + k])
+        value = value * _FACTOR + hashes[first + k]
+    value = mix(value)
     short = np.flatnonzero((counts > 0) & (counts < width))
     if short.size:
-        whole = np.zeros(len(short), np.uint64)
-        for n, i in enumerate(short):
-            for h in hashes[ends[i] - counts[i] : ends[i]]:
-                whole[n : n + 1] = mix(whole[n : n + 1] * _FACTOR + h)
-            whole[n : n + 1] = mix(whole[n : n + 1] + np.uint64(counts[i]))
+        whole = counts[short].astype(np.uint64)  # sequences of other lengths differ
+        for k in range(width - 1):
+            longer = counts[short] > k
+            at = (ends - counts)[short][longer] + k
+            whole[longer] = whole[longer] * _FACTOR + hashes[at]
+        whole = mix(mix(whole))
         doc, value = np.concatenate([doc, short]), np.concatenate([value, whole])
         order = np.argsort(doc, kind="stable")
         doc, value = doc[order], value[order]
@@ -69,7 +71,12 @@ def distinct_shingles(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray,
     sizes = np.zeros(len(counts), np.int64)
     bounds = np.searchsorted(doc, np.arange(len(counts) + 1))
     for i in np.flatnonzero(np.diff(bounds)):
-        own = np.unique(value[bounds[i] : bounds[i + 1]])
+        own = np.sort(value[bounds[i] : bounds[i + 1]])
+        new = np.empty(len(own), bool)
+        new[0] = True
+        np.not_equal(own[1:], own[:-1], out=new[1:])
+        if not new.all():
+            own = own[new]
         sizes[i] = len(own)
         parts.append(own)
     starts = np.concatenate([[0], np.cumsum(sizes)])
