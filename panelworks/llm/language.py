@@ -182,8 +182,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample_windows(labelled: DataFrame, documents: int = DOCUMENTS, windows: int = WINDOWS):
-    """(lang, windows): hashed positions of the ``documents`` rows of each language whose id
-    hashes lowest.  ``labelled`` has doc_id, text and lang."""
+    """(lang, doc_id, windows): hashed positions of the ``documents`` rows of each language
+    whose id hashes lowest.  ``labelled`` has doc_id, text and lang.
+
+    Ids are chosen without reading texts.  The table of chosen ids, and so its broadcast, is
+    bounded by ``documents`` for each language.
+    """
+    lowest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = (
+        labelled.where("lang is not null and doc_id is not null")
+        .select("lang", "doc_id")
+        .withColumn("place", F.row_number().over(lowest))
+        .where(F.col("place") <= documents)
+        .select(F.col("lang").alias("_lang"), F.col("doc_id").alias("_id"))
+        .distinct()
+    )
     text = F.col("text").cast("binary")
     last = F.greatest(F.length(text) - WINDOW, F.lit(0))
     cuts = [
@@ -194,14 +207,13 @@ def sample_windows(labelled: DataFrame, documents: int = DOCUMENTS, windows: int
         )
         for i in range(windows)
     ]
-    lowest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     return (
-        labelled.where("text is not null and lang is not null and doc_id is not null")
+        labelled.join(
+            F.broadcast(chosen),
+            (F.col("lang") == F.col("_lang")) & (F.col("doc_id") == F.col("_id")),
+        )
         .where(F.col("text").rlike(r"\p{L}"))
         .select("lang", "doc_id", F.array(*cuts).alias("windows"))
-        .withColumn("place", F.row_number().over(lowest))
-        .where(F.col("place") <= documents)
-        .select("lang", "doc_id", "windows")
     )
 
 
