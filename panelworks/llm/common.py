@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from panelworks.session import scratch
 
@@ -49,7 +50,7 @@ def ship(spark: SparkSession) -> None:
     sc._panelworks_shipped = True
 
 
-def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package shipped to the workers."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)

@@ -196,7 +196,7 @@ def judge(
     joined = rows.join(
         frequent.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")), "left"
     ).select("row", "text", "lines")
-    kind = T.StructType([joined.schema["row"]]).simpleString()[len("struct<row:") : -1]
+    schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL(_VERDICT).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in slices(batches):
@@ -220,7 +220,7 @@ def judge(
                 names=["row", *(part.split()[0] for part in _VERDICT.split(", "))],
             )
 
-    return map_batches(joined, run, f"row {kind}, {_VERDICT}")
+    return map_batches(joined, run, schema)
 
 
 def _without_lines(texts: list[bytes | None], lines: pa.Array, words: np.ndarray):

@@ -135,7 +135,7 @@ def remove_repeats(
     joined = rows.join(repeated, F.col("doc_id").eqNullSafe(F.col("of")), "left").select(
         "row", "text", "units"
     )
-    kind = T.StructType([joined.schema["row"]]).simpleString()[len("struct<row:") : -1]
+    schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL(_OUT).fields])
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +165,7 @@ def remove_repeats(
                 names=["row", "clean_text", "spans", "n_removed_chars"],
             )
 
-    return map_batches(joined, run, f"row {kind}, {_OUT}")
+    return map_batches(joined, run, schema)
 
 
 def drop_repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
