@@ -228,29 +228,33 @@ def band_numbers(sizes: np.ndarray, similarity=SIMILARITY) -> tuple[np.ndarray,
 
 # --- stages ----------------------------------------------------------------------------
 
-_CLASS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())])
+_CLASS = pa.schema([(name, pa.int64()) for name in ("doc_id", "n", "k1", "k2", "slack")])
 _SIG = pa.schema([("sig", pa.int64()), ("k1", pa.int64())])
-_SET = pa.schema(
-    [
-        ("k1", pa.int64()),
-        ("k2", pa.int64()),
-        ("items", pa.list_(pa.int64())),
-        ("slack", pa.int64()),
-    ]
-)
+_SET = pa.schema([("rep", pa.int64()), ("items", pa.list_(pa.int64()))])
 _BUCKET = pa.schema([("sig", pa.int64()), ("lead", pa.int64()), ("node", pa.int64())])
 
 
-def set_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, size of the shingle set, and its 128-bit key."""
+def set_classes(
+    docs: DataFrame, width: int = WIDTH, similarity: tuple[int, int] = SIMILARITY
+) -> DataFrame:
+    """doc_id, size of the shingle set, its 128-bit key, and its :func:`slack`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in slices(batches):
             items, starts = distinct_shingles(x.column("text"), width)
             k1, k2 = set_keys(items, starts)
-            yield batch(_CLASS, doc_id=x.column("doc_id"), n=np.diff(starts), k1=k1, k2=k2)
+            yield batch(
+                _CLASS,
+                doc_id=x.column("doc_id"),
+                n=np.diff(starts),
+                k1=k1,
+                k2=k2,
+                slack=slack(items, starts, similarity),
+            )
 
-    return map_batches(docs, run, "doc_id bigint, n bigint, k1 bigint, k2 bigint")
+    return map_batches(
+        docs, run, "doc_id bigint, n bigint, k1 bigint, k2 bigint, slack bigint"
+    )
 
 
 def signature_rows(docs: DataFrame, width: int, similarity: tuple[int, int]) -> DataFrame:
@@ -307,23 +311,34 @@ def buckets(sigs: DataFrame) -> DataFrame:
     )
 
 
-def _shingle_sets(docs: DataFrame, ids: DataFrame, width: int, similarity) -> DataFrame:
-    """k1, k2, items and :func:`slack` of the documents with the given ids."""
+def _shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(rep, items) of the wanted representatives (rep, k1, k2).
+
+    Rows that repeat an id may have another text, which is not the wanted set, or the same
+    text, of which a task returns one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for x in slices(batches):
             items, starts = distinct_shingles(x.column("text"), width)
             k1, k2 = set_keys(items, starts)
+            ids = x.column("rep").to_pylist()
+            right = (k1 == x.column("k1").to_numpy()) & (k2 == x.column("k2").to_numpy())
+            rows = [i for i in np.flatnonzero(right) if ids[i] not in seen]
+            rows = list({ids[i]: i for i in rows}.values())
+            seen.update(ids[i] for i in rows)
             lists = pa.ListArray.from_arrays(
                 pa.array(starts, pa.int32()), pa.array(items.view(np.int64))
             )
-            yield batch(
-                _SET, k1=k1, k2=k2, items=lists, slack=slack(items, starts, similarity)
-            )
+            at = pa.array(rows, pa.int64())
+            yield batch(_SET, rep=x.column("rep").take(at), items=lists.take(at))
 
-    small = ids.count() <= BROADCAST_IDS
-    wanted = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    return map_batches(wanted, run, "k1 bigint, k2 bigint, items array<bigint>, slack bigint")
+    small = wanted.count() <= BROADCAST_IDS
+    texts = docs.join(F.broadcast(wanted) if small else wanted, docs.doc_id == wanted.rep)
+    return map_batches(
+        texts.select("rep", "k1", "k2", "text"), run, "rep bigint, items array<bigint>"
+    )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -342,7 +357,36 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
     )
 
 
-def _families(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def _members(found: DataFrame, reps: DataFrame) -> DataFrame:
+    """(sig, rep, lead): members of buckets, by representative, that may have a partner.
+
+    A set in fewer buckets than it is sure to share with a similar one has none.  The lead
+    is the smallest member.
+    """
+    named = reps.select(F.col("k1").alias("node"), "rep")
+    members = stage(
+        found.select("sig", "node")
+        .union(found.select("sig", F.col("lead").alias("node")).distinct())
+        .join(named, "node")
+        .select("sig", "rep"),
+        "members",
+    )
+    enough = (
+        members.groupBy("rep")
+        .agg(F.count(F.lit(1)).alias("held"))
+        .join(reps.select("rep", "slack"), "rep")
+        .where("held >= slack")
+        .select("rep")
+        .distinct()
+    )
+    able = members.join(enough, "rep")
+    leads = able.groupBy("sig").agg(F.min("rep").alias("lead"), F.count("rep").alias("m"))
+    return stage(
+        able.join(leads.where("m > 1").drop("m"), "sig").select("sig", "rep", "lead"), "members"
+    )
+
+
+def _families(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
     """(family, rep, label, n): sets tied by the buckets whose members are still apart.
 
     Two similar sets share ``slack`` buckets of either at least, so less than half of
@@ -364,7 +408,7 @@ def _families(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFra
     )
     rest = stage(
         placed.join(mixed, "sig")
-        .join(sets.select("rep", "slack", "n"), "rep")
+        .join(reps.select("rep", "slack", "n"), "rep")
         .withColumn("place", F.row_number().over(common))
         .where(F.col("place") > F.expr("(slack - 1) div 2"))
         .select("sig", "rep", "label", "n"),
@@ -503,48 +547,31 @@ def jaccard_components(
     block, so no link between components is missed and no list of pairs is made.
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    classes = stage(set_classes(docs, width), "classes")
+    classes = stage(set_classes(docs, width, similarity), "classes")
     reps = stage(
         classes.where("n > 0 and doc_id is not null")
         .groupBy("k1", "k2")
-        .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")),
+        .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("slack").alias("slack")),
         "reps",
     )
-    found = stage(buckets(signature_rows(docs, width, similarity)), "buckets")
-    named = reps.select(F.col("k1").alias("node"), "rep")
-    leads = named.select(F.col("node").alias("lead"), F.col("rep").alias("u"))
-    most = Window.partitionBy("node").orderBy(F.desc("shared"), "lead")
+    members = _members(stage(buckets(signature_rows(docs, width, similarity)), "buckets"), reps)
+    most = Window.partitionBy("v").orderBy(F.desc("shared"), "u")
     pairs = stage(
-        found.groupBy("lead", "node")
+        members.where("rep <> lead")
+        .groupBy(F.col("lead").alias("u"), F.col("rep").alias("v"))
         .agg(F.count(F.lit(1)).alias("shared"))
         .withColumn("place", F.row_number().over(most))
         .where(F.col("place") <= LEADS)
-        .join(leads, "lead")
-        .join(named.withColumnRenamed("rep", "v"), "node")
-        .where("u <> v")
-        .select("u", "v")
-        .distinct(),
+        .select("u", "v"),
         "pairs",
     )
-    members = stage(
-        found.select("sig", "node")
-        .union(found.select("sig", F.col("lead").alias("node")).distinct())
-        .join(named, "node")
-        .select("sig", "rep"),
-        "members",
-    )
-    involved = stage(members.select(F.col("rep").alias("doc_id")).distinct(), "involved")
-    sets = stage(
-        _shingle_sets(docs, involved, width, similarity)
-        .dropDuplicates(["k1", "k2"])
-        .join(reps, ["k1", "k2"])
-        .drop("k1", "k2"),
-        "sets",
-    )
+    involved = members.select("rep").distinct()
+    wanted = stage(reps.join(involved, "rep").select("rep", "k1", "k2"), "wanted")
+    sets = stage(_shingle_sets(docs, wanted, width), "sets")
     links = stage(_verified(pairs, sets, similarity), "links")
     labels = stage(connected(links), "labels")
     further = stage(
-        _block_links(_families(members, labels, sets), sets, similarity), "links"
+        _block_links(_families(members, labels, reps), sets, similarity), "links"
     )
     if not further.isEmpty():
         labels = stage(connected(links.union(further)), "labels")
@@ -552,7 +579,7 @@ def jaccard_components(
         F.col("doc_id")
     )
     return (
-        classes.join(reps.drop("n"), ["k1", "k2"], "left")
+        classes.drop("slack").join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left")
         .join(labels, F.col("rep") == labels.node, "left")
         .select(
             "doc_id",
