@@ -249,11 +249,16 @@ def keep_good(docs: DataFrame, limits: Limits = LIMITS) -> DataFrame:
 
     ``n_chars`` follows the text if the column is there.
     """
-    judged = judge(docs, limits).where("kept")
+    # the text comes back as clean_text, so it need not travel twice
+    others = [c for c in docs.columns if c != "text"]
+    judged = judge(docs, limits, keep=others or ["source"]).where("kept")
     replaced = {"text": F.col("clean_text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         replaced["n_chars"] = F.char_length("clean_text").cast(kind)
     return judged.select(
-        *[replaced.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
+        *[
+            (replaced[c] if c in replaced else F.col("row").getField(c)).alias(c)
+            for c in docs.columns
+        ]
     )

@@ -174,12 +174,16 @@ def drop_repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     ``n_chars`` follows the text if the column is there.  A row of which nothing but
     white space is left is dropped; rows that had no text to begin with stay.
     """
-    done = remove_repeats(docs, run_words)
+    # the text comes back as clean_text, so it need not travel twice
+    done = remove_repeats(docs, run_words, keep=[c for c in docs.columns if c != "text"])
     emptied = (F.col("n_removed_chars") > 0) & ~F.col("clean_text").rlike(r"[^\x20\x09-\x0D]")
     replaced = {"text": F.col("clean_text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         replaced["n_chars"] = F.char_length("clean_text").cast(kind)
     return done.where(~emptied).select(
-        *[replaced.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
+        *[
+            (replaced[c] if c in replaced else F.col("row").getField(c)).alias(c)
+            for c in docs.columns
+        ]
     )
