@@ -10,7 +10,7 @@ from panelworks import sources, streaming
 from panelworks.operators.reports import fetch, fetch_group_stats, fetch_metrics
 from panelworks.plans.analyze import analyze
 from panelworks.schema import MESSAGE_TOPIC, FilterSpec, PanelSpec
-from panelworks.session import tuned
+from panelworks.session import remove, tuned
 from panelworks.sources.messages import ARRIVED
 
 # Files carry no sequence number, so input order is taken from the scan.
@@ -22,6 +22,7 @@ def run_analyze(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = sources.load_raw(spark, args.input, on_bad=args.on_bad, numbered=True)
     run = analyze(spark, raw, args.output, args.rejected, spec=FILE_SPEC)
     run.by_group.show(50, truncate=False)
+    remove(spark, run.staged)
 
 
 def run_fetch(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -15,9 +15,11 @@ from panelworks.functions.numeric import (
     min_max_score,
     plain_number,
     round_to,
+    sum_parts,
     total,
+    whole_sum,
 )
-from panelworks.functions.text import error_category, is_blank, key_partition, label_of, lookup
+from panelworks.functions.text import error_category, is_blank, label_of, lookup
 
 __all__ = [
     "clamp",
@@ -25,7 +27,6 @@ __all__ = [
     "error_category",
     "is_blank",
     "is_finite",
-    "key_partition",
     "label_of",
     "lookup",
     "mean",
@@ -34,8 +35,10 @@ __all__ = [
     "plain_number",
     "rfc3339",
     "round_to",
+    "sum_parts",
     "total",
     "truncated_to_millis",
     "utc_instant",
     "utc_naive",
+    "whole_sum",
 ]

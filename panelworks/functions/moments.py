@@ -23,11 +23,13 @@ def common_pane(window: str, slide: str) -> str:
 
 
 def rfc3339(x: Column) -> Column:
-    """UTC text with microseconds, e.g. 2024-01-01T00:00:00.000000Z.
+    """UTC text with microseconds, e.g. 2024-01-01T00:00:00.000000Z, in any session time zone.
 
-    Expects the session time zone to be UTC, or a time stamp without zone.
+    Time stamps without zone are read as UTC.
     """
-    return F.date_format(x, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    pattern = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+    shifted = F.date_format(F.to_utc_timestamp(x, F.current_timezone()), pattern)
+    return F.when(F.typeof(x) == "timestamp_ntz", F.date_format(x, pattern)).otherwise(shifted)
 
 
 def truncated_to_millis(x: Column) -> Column:

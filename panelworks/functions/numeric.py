@@ -21,11 +21,32 @@ def is_finite(x: Column) -> Column:
     return ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
 
 
-def total(x: Column, scale: int | None = None) -> Column:
-    """Sum as double; exact and independent of merge order when ``scale`` is given."""
+def sum_parts(x: Column, scale: int) -> tuple[Column, Column]:
+    """``x`` as a decimal for an exact sum, and what no such decimal can hold.
+
+    The second part keeps NaN, infinities and numbers of 10^(17 - scale) or more, whose doubles
+    have no digits left at that scale.
+    """
+    small = F.abs(x) < F.lit(10.0 ** (17 - scale))
+    # NaN compares above all numbers, so it is not small
+    return F.when(small, x).cast(f"decimal(18,{scale})"), F.when(~small, x)
+
+
+def whole_sum(exact: Column, rest: Column) -> Column:
+    """The two sums of :func:`sum_parts` together; null if both are."""
+    exact = exact.cast("double")
+    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
+
+
+def total(x: Column, scale: int | None = None, times: Column | None = None) -> Column:
+    """Sum as double, each value ``times`` over; exact and independent of merge order when
+    ``scale`` is given.  NaN and infinities reach the sum as in plain addition."""
     if scale is None:
-        return F.sum(x)
-    return F.sum(x.cast(f"decimal(18,{scale})")).cast("double")
+        return F.sum(x if times is None else x * times).cast("double")
+    exact, rest = sum_parts(x, scale)
+    if times is not None:
+        exact, rest = exact * times.cast("decimal(18,0)"), rest * times
+    return whole_sum(F.sum(exact), F.sum(rest))
 
 
 def mean(x: Column, scale: int | None = None) -> Column:

@@ -44,29 +44,3 @@ def lookup(x: Column, table: Mapping[str, object]) -> Column:
 def label_of(code: Column, labels: Mapping[str, str]) -> Column:
     """Label for a code; unknown codes pass through unchanged."""
     return F.coalesce(lookup(code, labels), code) if labels else code
-
-
-def key_partition(key: Column, partitions: int) -> Column:
-    """Message partition of a text key: 32-bit FNV-1a of its bytes, as a signed
-    number, absolute remainder by ``partitions``.
-
-    This is a published hash-by-key rule of message clients, so keys land where
-    such a client would have sent them.
-    """
-    # FNV-1a 32-bit offset basis and prime.
-    basis, prime = 2166136261, 16777619
-    octets = F.hex(F.encode(key, "UTF-8"))
-    places = F.when(
-        F.octet_length(key) > 0, F.sequence(F.lit(0), F.octet_length(key) - 1)
-    ).otherwise(F.array().cast("array<int>"))
-    hashed = F.aggregate(
-        places,
-        F.lit(basis).cast("bigint"),
-        lambda acc, i: F.pmod(
-            acc.bitwiseXOR(F.conv(F.substring(octets, i * 2 + 1, F.lit(2)), 16, 10).cast("bigint"))
-            * F.lit(prime).cast("bigint"),
-            F.lit(1 << 32).cast("bigint"),
-        ),
-    )
-    signed = F.when(hashed >= F.lit(1 << 31), hashed - F.lit(1 << 32)).otherwise(hashed)
-    return F.abs(signed % F.lit(partitions)).cast("int")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelworks.functions import mean, round_to, total
 from panelworks.operators import ranking
 from panelworks.schema import PanelSpec
+from panelworks.session import stored
 
 
 def group_stats(
@@ -33,24 +34,19 @@ def group_stats(
     )
 
 
-def _median_stats(spec: PanelSpec, median: Column, digits: int) -> list[Column]:
+def bounded_stats(
+    df: DataFrame, by: Sequence[str], spec: PanelSpec = PanelSpec(), digits: int = 2
+) -> DataFrame:
+    """Statistics with the exact median for groups whose size is bounded already."""
     value = F.col(spec.value)
-    return [
+    return df.groupBy(*by).agg(
         round_to(total(value, spec.scale), digits).alias("sum"),
         round_to(mean(value, spec.scale), digits).alias("avg"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         F.count(F.lit(1)).alias("count"),
-        median,
-    ]
-
-
-def bounded_stats(
-    df: DataFrame, by: Sequence[str], spec: PanelSpec = PanelSpec(), digits: int = 2
-) -> DataFrame:
-    """Statistics with the exact median for groups whose size is bounded already."""
-    median = round_to(F.percentile(F.col(spec.value), 0.5), digits).alias("p50")
-    return df.groupBy(*by).agg(*_median_stats(spec, median, digits))
+        round_to(F.percentile(value, 0.5), digits).alias("p50"),
+    )
 
 
 def median_stats(
@@ -62,30 +58,15 @@ def median_stats(
 ) -> DataFrame:
     """sum, avg, min, max, count and exact median p50 per group of any size.
 
-    ``percentile`` keeps the distinct values of a group in memory.  Groups too
-    large for that are found first and get their median by rank selection over
-    range partitions; all other statistics combine map-side anyway.
+    Rows are folded into value runs map-side, in one scan; everything else is
+    taken from the runs.
     """
-    heavy, _ = ranking.heavy_groups(df, by, heavy_rows)
-    if heavy is None:
-        return bounded_stats(df, by, spec, digits)
-    light, hot = ranking.split_heavy(df, by, heavy)
-    runs = ranking.value_runs(hot, by, spec.value)
-    medians = ranking.heavy_median(runs, by, spec.value, "n", "_p50", heavy_rows)
-    stats = hot.groupBy(*by).agg(*_median_stats(spec, F.lit(None).alias("p50"), digits))
-    hot_stats = ranking.join_groups(stats, medians, by, "left").select(
-        *by, "sum", "avg", "min", "max", "count", round_to(F.col("_p50"), digits).alias("p50")
-    )
-    return bounded_stats(light, by, spec, digits).unionByName(hot_stats)
+    return run_stats(ranking.value_runs(df, by, spec.value), by, "n", spec, digits, heavy_rows)
 
 
 def _run_totals(spec: PanelSpec, count: str, median: Column, digits: int) -> list[Column]:
     value, n = F.col(spec.value), F.col(count)
-    if spec.scale is None:
-        added = F.sum(value * n)
-    else:
-        added = F.sum(value.cast(f"decimal(18,{spec.scale})") * n.cast("decimal(18,0)"))
-    added = added.cast("double")
+    added = total(value, spec.scale, n)
     present = F.sum(F.when(value.isNotNull(), n)).cast("double")
     return [
         round_to(added, digits).alias("sum"),
@@ -105,7 +86,13 @@ def run_stats(
     digits: int = 2,
     heavy_rows: int = ranking.HEAVY_ROWS,
 ) -> DataFrame:
-    """:func:`median_stats` of rows that were already folded into value runs."""
+    """:func:`median_stats` of rows that were already folded into value runs.
+
+    ``percentile`` keeps the distinct values of a group in memory.  The runs are stored
+    first; groups with too many of them get their median by rank selection over range
+    partitions, all other statistics combine map-side anyway.
+    """
+    runs = stored(runs, "runs")
 
     def weighted(part: DataFrame) -> DataFrame:
         median = F.percentile(F.col(spec.value), 0.5, F.col(count))
@@ -113,8 +100,8 @@ def run_stats(
             *_run_totals(spec, count, round_to(median, digits).alias("p50"), digits)
         )
 
-    heavy, _ = ranking.heavy_groups(runs, by, heavy_rows)
-    if heavy is None:
+    heavy = stored(ranking.heavy_groups(runs, by, heavy_rows), "heavy")
+    if heavy.isEmpty():
         return weighted(runs)
     light, hot = ranking.split_heavy(runs, by, heavy)
     medians = ranking.heavy_median(hot, by, spec.value, count, "_p50", heavy_rows)
@@ -154,7 +141,14 @@ def dynamics(df: DataFrame, indicator: str, spec: PanelSpec = PanelSpec()) -> Da
 def top_means(
     df: DataFrame, indicator: str, n: int = 5, spec: PanelSpec = PanelSpec()
 ) -> DataFrame:
-    """Entities with the highest mean of one indicator; ties go by name."""
+    """Entities with the highest mean of one indicator; ties go by name.
+
+    Records that lack one of the columns have no means: the result is empty.
+    """
+    if not {spec.entity, spec.indicator, spec.value} <= set(df.columns):
+        return df.sparkSession.createDataFrame(
+            [], f"`{spec.entity}` string, avg_value double, n bigint"
+        )
     return (
         df.where((F.col(spec.indicator) == indicator) & F.col(spec.value).isNotNull())
         .groupBy(spec.entity)

@@ -34,8 +34,8 @@ def keep_first(df: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
     one row per key at most and a hot key costs no more than any other.
     """
     order = input_order(df, spec)
-    if not order:
-        raise ValueError(f"none of the order columns {spec.order} is in the table")
+    if spec.order[-1] not in df.columns:
+        raise ValueError(f"{spec.order[-1]}, which makes the input order unique, is not in the table")
     window = Window.partitionBy(*spec.key).orderBy(*order)
     return (
         df.withColumn("_copy", F.row_number().over(window))
@@ -49,10 +49,11 @@ def plausible(spec: PanelSpec = PanelSpec(), years: tuple[int, int] = (1990, 203
 
 
 def typed(df: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
+    """Year as int and value as double; what does not fit becomes null."""
     return df.withColumns(
         {
-            spec.year: F.col(spec.year).cast("int"),
-            spec.value: F.col(spec.value).cast("double"),
+            spec.year: F.col(spec.year).try_cast("int"),
+            spec.value: F.col(spec.value).try_cast("double"),
         }
     )
 
@@ -75,7 +76,10 @@ def clean_report(
     A single scan: rows are folded per natural key (keeping the first value),
     then the keys are summed up.
     """
-    order = F.struct(*[F.col(c) for c in spec.order if c in df.columns])
+    # as in input_order: nulls last
+    order = F.struct(
+        *[part for c in spec.order if c in df.columns for part in (F.isnull(c), F.col(c))]
+    )
     complete = has_required(spec)
     per_key = df.groupBy(*spec.key).agg(
         F.count(F.lit(1)).alias("rows"),

@@ -2,9 +2,10 @@
 
 A SQL window sorts every group inside one task.  That is the best plan while
 groups are small and fails when one group holds a large part of the table.  The
-functions here measure group sizes first (one aggregation over the grouping
-columns only), leave ordinary groups to a SQL window, and spread the rows of
-heavy groups over range partitions whose subtotals are then added up.
+functions here store their input once in the shared folder and take group sizes from
+there, so the source is read once.  Ordinary groups go to a SQL window; the rows of
+heavy groups are spread over range partitions whose subtotals are then added up.
+There may be any number of heavy groups, and their list stays distributed.
 """
 
 from __future__ import annotations
@@ -14,52 +15,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from panelworks.session import shared_root, shuffle_partitions
+from panelworks.session import shuffle_partitions, stored
 
 # Rows one task can sort comfortably; a group above this is treated as heavy.
 HEAVY_ROWS = 2_000_000
-# At most this many heavy groups are singled out.  Any group left over then holds
-# less than 1/HEAVY_GROUPS of the table, which is an ordinary task's share.
-HEAVY_GROUPS = 10_000
-# Upper bound for the number of range partitions, and with it for the broadcast
-# table of subtotals.
-MAX_RANGES = 20_000
 
 _PART = "_range"
 _OFFSET = "_offset"
 
 
-def heavy_groups(
-    df: DataFrame, by: Sequence[str], rows: int = HEAVY_ROWS
-) -> tuple[DataFrame | None, int]:
-    """Groups with more than ``rows`` rows, and how many rows they hold together.
+def heavy_groups(df: DataFrame, by: Sequence[str], rows: int = HEAVY_ROWS) -> DataFrame:
+    """(group columns, _size) of the groups with more than ``rows`` rows."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > rows)
 
-    The result has at most ``HEAVY_GROUPS`` rows; ``None`` if there are none.
-    """
-    sizes = (
-        df.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > rows)
-        .orderBy(F.desc("_n"))
-        .limit(HEAVY_GROUPS)
-        .collect()
-    )
-    if not sizes:
-        return None, 0
-    held = sum(r["_n"] for r in sizes)
-    schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in by])
-    keys = [tuple(r[c] for c in by) for r in sizes]
-    return df.sparkSession.createDataFrame(keys, schema), held
 
+def join_groups(left: DataFrame, groups: DataFrame, by: Sequence[str], how: str) -> DataFrame:
+    """Null-safe join on the group columns, which show up once.
 
-def join_groups(
-    left: DataFrame, bounded: DataFrame, by: Sequence[str], how: str
-) -> DataFrame:
-    """Null-safe join on the group columns with a side of bounded size, which is
-    broadcast.  Its group columns do not show up in the result."""
-    renamed = F.broadcast(bounded.withColumnsRenamed({c: f"_key_{c}" for c in by}))
+    Spark broadcasts ``groups`` if it turns out small, and else splits hot partitions.
+    """
+    renamed = groups.withColumnsRenamed({c: f"_key_{c}" for c in by})
     on = F.lit(True)
     for c in by:
         on = on & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
@@ -73,9 +49,12 @@ def split_heavy(
     return join_groups(df, heavy, by, "left_anti"), join_groups(df, heavy, by, "left_semi")
 
 
-def _ranges_for(df: DataFrame, rows_held: int, rows: int) -> int:
-    wanted = math.ceil(rows_held / rows) + 1
-    return max(2, min(max(wanted, shuffle_partitions(df.sparkSession)), MAX_RANGES))
+def _ranges_for(heavy: DataFrame, rows: int) -> int:
+    """Ranges for the rows of the heavy groups; 0 if there is none."""
+    held = heavy.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
+    if held == 0:
+        return 0
+    return max(2, math.ceil(held / rows) + 1, shuffle_partitions(heavy.sparkSession))
 
 
 def _ranged_total(
@@ -88,15 +67,14 @@ def _ranged_total(
 ) -> DataFrame:
     """Running total of ``weight`` with the rows of a group spread over ranges.
 
-    The range assignment is frozen by a reliable checkpoint: it must be the same
+    The range assignment is frozen in the shared folder: it must be the same
     in the subtotals and in the rows, also after an executor was lost.
     """
-    shared_root(df.sparkSession)
-    frozen = (
+    frozen = stored(
         df.withColumn("_w", weight.cast("bigint"))
         .repartitionByRange(ranges, *by, *order)
-        .withColumn(_PART, F.spark_partition_id())
-        .checkpoint()
+        .withColumn(_PART, F.spark_partition_id()),
+        "ranges",
     )
     before = Window.partitionBy(*by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     # A range border cuts at most one group, so at most ranges - 1 rows carry a
@@ -112,7 +90,7 @@ def _ranged_total(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = join_groups(frozen, offsets, [*by, _PART], "left")
+    joined = join_groups(frozen, F.broadcast(offsets), [*by, _PART], "left")
     return joined.withColumn(
         out, F.coalesce(F.col(_OFFSET), F.lit(0)) + F.sum("_w").over(local)
     ).drop("_w", _PART, _OFFSET)
@@ -133,8 +111,8 @@ def running_total(
     """
     plain = weight is None
     weight = F.lit(1) if plain else weight
-    heavy, held = heavy_groups(df, by, heavy_rows)
     window = Window.partitionBy(*by).orderBy(*order)
+    rows = stored(df, "rows")
 
     def ordinary(part: DataFrame) -> DataFrame:
         if plain:
@@ -142,12 +120,13 @@ def running_total(
         framed = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return part.withColumn(out, F.sum(weight.cast("bigint")).over(framed))
 
-    if heavy is None:
-        return ordinary(df)
-    ranges = _ranges_for(df, held, heavy_rows)
+    heavy = heavy_groups(rows, by, heavy_rows)
+    ranges = _ranges_for(heavy, heavy_rows)
+    if not ranges:
+        return ordinary(rows)
     if not by:
-        return _ranged_total(df, by, order, weight, out, ranges)
-    light, hot = split_heavy(df, by, heavy)
+        return _ranged_total(rows, by, order, weight, out, ranges)
+    light, hot = split_heavy(rows, by, heavy)
     return ordinary(light).unionByName(_ranged_total(hot, by, order, weight, out, ranges))
 
 
@@ -178,8 +157,7 @@ def heavy_median(
     """Exact median per heavy group by rank selection over its value runs.
 
     Runs are distinct per (group, value), so neither many copies of one value nor
-    many distinct values ever meet in one task.  Expects at most ``HEAVY_GROUPS``
-    groups, which bounds the broadcast table of group sizes.
+    many distinct values ever meet in one task.
     """
     present = runs.where(F.col(value).isNotNull())
     ranked = running_total(present, by, [value], "_upto", F.col(count), heavy_rows)

@@ -94,10 +94,16 @@ def fetch_group_stats(fetched: DataFrame, spec: PanelSpec = PanelSpec()) -> Data
 def panel_filter(
     df: DataFrame,
     years: tuple[int, int],
-    groups: Sequence[str],
+    groups: Sequence[str] | DataFrame,
     spec: PanelSpec = PanelSpec(),
 ) -> DataFrame:
-    """Inclusive year range and group list; rows without a group drop out."""
+    """Inclusive year range and group list; rows without a group drop out.
+
+    The list may be a frame with the group column, which then stays distributed.
+    """
+    if isinstance(groups, DataFrame):
+        wanted = groups.select(spec.group)
+        return df.where(F.col(spec.year).between(*years)).join(wanted, spec.group, "left_semi")
     return df.where(F.col(spec.year).between(*years) & F.col(spec.group).isin(*groups))
 
 

@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelworks.functions import clamp, key_partition, lookup, round_to
+from panelworks.functions import clamp, lookup, round_to
 from panelworks.operators.ranking import HEAVY_ROWS, number_rows
-from panelworks.schema import MESSAGE_PARTITIONS, Baseline, PanelSpec
+from panelworks.schema import Baseline, PanelSpec
 
 
 def assign_shards(
@@ -44,16 +44,6 @@ def shard_of(
     )
 
 
-def with_partition(
-    df: DataFrame,
-    partitions: int = MESSAGE_PARTITIONS,
-    spec: PanelSpec = PanelSpec(),
-    out: str = "partition",
-) -> DataFrame:
-    """Add the message partition of the entity key; a column, so nothing moves."""
-    return df.withColumn(out, key_partition(F.col(spec.entity), partitions))
-
-
 # Cells per bitmap word; below 63 so that words stay positive.
 _WORD = 62
 
@@ -63,7 +53,11 @@ def _div(x: Column, by: int) -> Column:
 
 
 def _cell_words(
-    df: DataFrame, years: tuple[int, int], indicators: Sequence[str], spec: PanelSpec
+    df: DataFrame,
+    years: tuple[int, int],
+    indicators: Sequence[str],
+    spec: PanelSpec,
+    entities: DataFrame | None = None,
 ) -> DataFrame:
     """Per entity a bitmap of its grid cells (numbered year-major) in ``_words``.
 
@@ -74,6 +68,9 @@ def _cell_words(
     inside = F.col(spec.year).between(*years) & F.col(spec.indicator).isin(*indicators)
     cell = (F.col(spec.year) - years[0]) * len(indicators) + lookup(F.col(spec.indicator), codes)
     placed = df.select(spec.entity, F.when(inside, cell.cast("int")).alias("_cell"))
+    if entities is not None:
+        # rows without a cell: they add entities, in the same aggregation
+        placed = placed.union(entities.select(spec.entity, F.lit(None).cast("int")))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_cell") % _WORD)
     words = [
         F.coalesce(
@@ -96,13 +93,18 @@ def coverage(
     years: tuple[int, int],
     indicators: Sequence[str],
     spec: PanelSpec = PanelSpec(),
+    entities: DataFrame | None = None,
 ) -> DataFrame:
-    """Cells expected, present and missing per entity."""
+    """Cells expected, present and missing per entity.
+
+    Entities are those of the table, and those of ``entities`` (a frame with the entity
+    column, such as a dimension) although they may have no row at all.
+    """
     expected = grid_size(years, indicators)
     present = F.aggregate(
         "_words", F.lit(0), lambda total, word: (total + F.bit_count(word)).cast("int")
     )
-    return _cell_words(df, years, indicators, spec).select(
+    return _cell_words(df, years, indicators, spec, entities).select(
         spec.entity,
         F.lit(expected).alias("expected"),
         present.alias("present"),
@@ -115,10 +117,11 @@ def gaps(
     years: tuple[int, int],
     indicators: Sequence[str],
     spec: PanelSpec = PanelSpec(),
+    entities: DataFrame | None = None,
 ) -> DataFrame:
     """(entity, year, indicator) for every grid cell without a row.
 
-    Entities are those that occur in the table.
+    Entities as in :func:`coverage`; one without any row lacks all its cells.
     """
     every = F.sequence(F.lit(0), F.lit(grid_size(years, indicators) - 1))
     names = F.array(*[F.lit(i) for i in indicators])
@@ -127,7 +130,7 @@ def gaps(
     word = F.get("_words", _div(cell, _WORD))
     taken = F.call_function("shiftright", word, cell % _WORD) % 2 == 1
     return (
-        _cell_words(df, years, indicators, spec)
+        _cell_words(df, years, indicators, spec, entities)
         .select(spec.entity, "_words", F.explode(every).alias("_cell"))
         .where(~taken)
         .select(

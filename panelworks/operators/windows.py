@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelworks.functions import common_pane
+from panelworks.functions import common_pane, sum_parts, whole_sum
 from panelworks.operators.aggregate import bounded_stats, median_stats
 from panelworks.operators.ranking import HEAVY_ROWS, number_rows
 from panelworks.schema import PanelSpec
@@ -116,6 +116,23 @@ def hybrid_windows(
     return _chunk_stats(chunked, [*shard, "tick", "chunk"], spec)
 
 
+def pane_sums(spec: PanelSpec) -> list[Column]:
+    """Partial sums of a pane, which :func:`window_sum` adds up, and its rows ``n``."""
+    value = F.col(spec.value)
+    parts = (value.cast("double"), F.lit(None).cast("double"))
+    if spec.scale is not None:
+        parts = sum_parts(value, spec.scale)
+    return [
+        F.sum(parts[0]).alias("s"),
+        F.sum(parts[1]).alias("s_rest"),
+        F.count(F.lit(1)).alias("n"),
+    ]
+
+
+def window_sum(spec: PanelSpec) -> Column:
+    return whole_sum(F.sum("s"), F.sum("s_rest"))
+
+
 def sliding_means(
     df: DataFrame,
     indicator: str | None = None,
@@ -127,21 +144,28 @@ def sliding_means(
 
     Rows are folded into panes first (the longest step that tiles window and
     slide); only panes are then copied into the windows that cover them, so the
-    tenfold fan-out applies to partial sums instead of rows.
+    tenfold fan-out applies to partial sums instead of rows.  Records that lack one
+    of the columns have no windows: the result is empty.
     """
+    needed = {spec.entity, spec.value, spec.at} | ({spec.indicator} if indicator else set())
+    if not needed <= set(df.columns):
+        return df.sparkSession.createDataFrame(
+            [],
+            f"window_start timestamp, window_end timestamp, `{spec.entity}` string, "
+            "avg_value double, n bigint",
+        )
     rows = df if indicator is None else df.where(F.col(spec.indicator) == indicator)
     value = F.col(spec.value)
     pane = F.window(F.col(spec.at), common_pane(duration, slide)).start
-    kind = "double" if spec.scale is None else f"decimal(18,{spec.scale})"
     panes = (
         rows.where(value.isNotNull())
         .groupBy(pane.alias("pane"), F.col(spec.entity))
-        .agg(F.sum(value.cast(kind)).alias("s"), F.count(F.lit(1)).alias("n"))
+        .agg(*pane_sums(spec))
     )
     covering = F.window(F.col("pane"), duration, slide)
     return (
         panes.groupBy(covering.alias("w"), F.col(spec.entity))
-        .agg(F.sum("s").cast("double").alias("s"), F.sum("n").alias("n"))
+        .agg(window_sum(spec).alias("s"), F.sum("n").alias("n"))
         .select(
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelworks.schema import PanelSpec
+from panelworks.session import scratch
+from panelworks.streaming import closing_record
 
 # Prices and event values have two decimals, so sums are exact in DECIMAL.
 SPEC = PanelSpec(scale=2)
@@ -138,11 +140,30 @@ EV_SQL = """
 """
 
 
-def ev_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events file as a stream."""
-    schema = table(spark, folder, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return as_events(reader.parquet(folder))
+STREAM_FILES = 6
+
+
+def ev_stream(spark: SparkSession, folder: str, closing: Column | None = None) -> DataFrame:
+    """The events as a stream of several files in time order, one per micro-batch.
+
+    With ``closing``, a last file holds a record far ahead of the latest event that meets this
+    condition, which closes all windows.
+    """
+    rows = table(spark, folder, "events")
+    path = scratch(spark, "events")
+    first, last = rows.agg(F.min("ts").cast("string"), F.max("ts").cast("string")).first()
+    start, end = F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp")
+    share = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(start)) / F.greatest(
+        F.unix_micros(end) - F.unix_micros(start), F.lit(1)
+    )
+    part = F.least(F.floor(share * STREAM_FILES), F.lit(STREAM_FILES - 1))
+    for n in range(STREAM_FILES):
+        rows.where(part == n).coalesce(1).write.mode("append").parquet(path)
+    if closing is not None:
+        ahead = closing_record(rows.where(closing), spec=PanelSpec(at="ts"))
+        ahead.coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    return as_events(reader.parquet(path))
 
 
 def _every(n: int) -> Column:

@@ -175,8 +175,9 @@ def fetch_group_stats(spark, d):
 def panel_filter(spark, d):
     region = adapters.table(spark, d, "region").where(F.col("r_regionkey").isin(0, 2))
     # the two districts a user picked in the filter list
-    names = [row.r_name for row in region.collect()]
-    return reports.panel_filter(panel(spark, d), (1997, 1999), names, SPEC)
+    picked = region.select(F.col("r_name").alias("federal_district"))
+    rows = panel(spark, d)
+    return reports.panel_filter(rows, (1997, 1999), picked, SPEC).select(*rows.columns)
 
 
 LABELS = {"1-URGENT": "Urgent", "2-HIGH": "High", "5-LOW": "Low"}
@@ -450,6 +451,49 @@ def median_shipments(spark, d):
     return aggregate.median_stats(adapters.shipments(spark, d), ["region", "indicator"], SPEC)
 
 
+@register(
+    "median_hot",
+    f"""SELECT indicator, {STATS_SQL} FROM (
+      SELECT 'all' AS indicator, value FROM ({SHIPMENTS_SQL})
+      UNION ALL SELECT 'one supplier' AS indicator, value FROM ({SHIPMENTS_SQL})
+        WHERE region = 'NATION_3') GROUP BY 1""",
+)
+def median_hot(spark, d):
+    """Groups of half a million values and more, with the split path forced at any size."""
+    rows = adapters.shipments(spark, d)
+    one = rows.where(F.col("region") == "NATION_3").withColumn("indicator", F.lit("one supplier"))
+    both = rows.withColumn("indicator", F.lit("all")).unionByName(one)
+    return aggregate.median_stats(both, ["indicator"], SPEC, heavy_rows=1000)
+
+
+@register(
+    "stats_dirty",
+    f"""{WITH_DIRTY}, shown AS (SELECT federal_district, seq % 50 AS part,
+        CASE WHEN seq % 4 = 0 THEN CASE WHEN isnan(value) THEN NULL ELSE value END
+             WHEN seq % 4 = 1 THEN value
+             ELSE CASE WHEN isfinite(value) THEN value END END AS value FROM dirty),
+    kinds AS (SELECT federal_district, part, count(value) AS n,
+        count_if(isnan(value)) > 0 AS nan, count_if(isinf(value)) > 0 AS inf,
+        CAST(sum(CASE WHEN isfinite(value) THEN CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS s,
+        min(value) AS min, max(value) AS max, count(*) AS count FROM shown GROUP BY 1, 2),
+    sums AS (SELECT *, CASE WHEN n = 0 THEN NULL WHEN nan THEN CAST('nan' AS DOUBLE)
+        WHEN inf THEN CAST('infinity' AS DOUBLE) ELSE s END AS sum FROM kinds)
+    SELECT federal_district, part, sum, CASE WHEN n > 0 THEN {r("sum / CAST(n AS DOUBLE)")} END AS avg,
+        min, max, count FROM sums""",
+)
+def stats_dirty(spark, d):
+    """Sums over nulls, NaN and infinities, which must show in the result."""
+    rows = adapters.dirty(spark, d)
+    value, kind = F.col("value"), F.col("seq") % 4
+    shown = (
+        F.when(kind == 0, F.when(~F.isnan(value), value))
+        .when(kind == 1, value)
+        .otherwise(F.when(is_finite(value), value))
+    )
+    some = rows.select("federal_district", (F.col("seq") % 50).alias("part"), shown.alias("value"))
+    return aggregate.group_stats(some, ["federal_district", "part"], SPEC)
+
+
 @register(
     "avg_since",
     f"""{WITH_OBS} SELECT federal_district, indicator, {r(avg2())} AS avg_val, count(*) AS n
@@ -614,25 +658,6 @@ def shard_assign(spark, d):
     return shape.assign_shards(dimension, MEMBERS, ["place"])
 
 
-FNV_SQL = """list_reduce(
-      [CAST(2166136261 AS BIGINT)] || list_transform(range(1, length(region) + 1),
-          lambda i: CAST(ascii(substr(region, i, 1)) AS BIGINT)),
-      lambda h, b: (xor(h, b) * 16777619) % 4294967296)"""
-
-
-@register(
-    "hash_partition",
-    f"""{WITH_OBS}, keys AS (SELECT region, count(*) AS rows FROM obs GROUP BY 1),
-    hashed AS (SELECT region, rows, {FNV_SQL} AS h FROM keys)
-    SELECT region, CAST(abs((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % 3)
-           AS INTEGER) AS partition, rows FROM hashed""",
-)
-def hash_partition(spark, d):
-    # the partition is a function of the key, so it is computed once per key
-    keys = panel(spark, d).groupBy("region").agg(F.count(F.lit(1)).alias("rows"))
-    return shape.with_partition(keys, 3, SPEC)
-
-
 GRID_YEARS = (1995, 2002)
 GRID_CODES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 GRID_SQL = f"""WITH part AS ({CUSTOMERS_SQL}),
@@ -661,6 +686,37 @@ def panel_gaps(spark, d):
     return shape.gaps(adapters.customers(spark, d), GRID_YEARS, GRID_CODES, SPEC)
 
 
+# suppliers stand for entities of a dimension that never occur in the panel
+ALL_ENTITIES_SQL = f"""{GRID_SQL.replace("FROM (SELECT DISTINCT region FROM part)",
+    "FROM everyone")}""".replace("grid AS", """everyone AS (SELECT DISTINCT region FROM part
+    UNION SELECT s_name FROM supplier), grid AS""", 1)
+
+
+def _everyone(spark: SparkSession, d: str) -> DataFrame:
+    return adapters.table(spark, d, "supplier").select(F.col("s_name").alias("region"))
+
+
+@register(
+    "coverage_dimension",
+    f"""{ALL_ENTITIES_SQL} SELECT region, 40 AS expected, CAST(count(year) AS INTEGER) AS present,
+    CAST(40 - count(year) AS INTEGER) AS missing
+    FROM everyone LEFT JOIN cells USING (region) GROUP BY region""",
+)
+def coverage_dimension(spark, d):
+    rows, everyone = adapters.customers(spark, d), _everyone(spark, d)
+    return shape.coverage(rows, GRID_YEARS, GRID_CODES, SPEC, everyone)
+
+
+@register(
+    "gaps_dimension",
+    f"""{ALL_ENTITIES_SQL} SELECT region, year, indicator FROM grid
+    EXCEPT SELECT region, year, indicator FROM cells""",
+)
+def gaps_dimension(spark, d):
+    rows, everyone = adapters.customers(spark, d), _everyone(spark, d)
+    return shape.gaps(rows, GRID_YEARS, GRID_CODES, SPEC, everyone)
+
+
 BASELINE = Baseline(
     params={
         "1-URGENT": (250_000.0, 140_000.0),
@@ -760,6 +816,21 @@ def window_count(spark, d):
     return windows.count_windows(_with_shard(events(spark, d)), 50, ["shard"], SPEC)
 
 
+@register(
+    "window_count_global",
+    f"""{SHARDED_CTE},
+    c AS (SELECT *, (row_number() OVER (ORDER BY collected_at, seq) - 1) // 50 AS chunk FROM s),
+    b AS (SELECT *, min(collected_at) OVER w AS window_start, max(collected_at) OVER w
+          AS window_end FROM c WINDOW w AS (PARTITION BY chunk))
+    SELECT chunk, window_start, window_end, region, indicator, {STATS_SQL}
+    FROM b GROUP BY 1, 2, 3, 4, 5""",
+)
+def window_count_global(spark, d):
+    """One counter over all events, with the split path forced at any size."""
+    rows = _with_shard(events(spark, d)).drop("shard")
+    return windows.count_windows(rows, 50, (), SPEC, heavy_rows=500)
+
+
 HYBRID_SQL = f"""{SHARDED_CTE},
     c AS (SELECT *, (row_number() OVER (PARTITION BY shard, tick ORDER BY collected_at, seq) - 1)
           // 12 AS chunk FROM s),
@@ -798,9 +869,8 @@ def window_top5(spark, d):
 
 
 def _now(rows: DataFrame):
-    """Latest event time, fetched as one value so that the cutoff reaches the scan."""
-    now = rows.agg(F.max("collected_at").cast("string").alias("now")).first()["now"]
-    return F.lit(now).cast("timestamp_ntz")
+    """Latest event time as a scalar subquery."""
+    return rows.agg(F.max("collected_at")).scalar()
 
 
 @register(
@@ -1016,21 +1086,18 @@ def _closed(df: DataFrame) -> DataFrame:
     return df.withColumns({c: utc_naive(F.col(c)) for c in streaming.WINDOW})
 
 
-CLOSED_SQL = """window_end <= (SELECT date_trunc('milliseconds', max(collected_at)) FROM {0})
-    - INTERVAL '1 minute'"""
-
-
 @register(
     "stream_tumbling",
     f"""{WITH_EV}, w AS (
       SELECT time_bucket(INTERVAL '10 seconds', collected_at) AS window_start,
       time_bucket(INTERVAL '10 seconds', collected_at) + INTERVAL '10 seconds' AS window_end,
       region, indicator, {STATS_SQL} FROM ev GROUP BY 1, 2, 3, 4)
-    SELECT * FROM w WHERE {CLOSED_SQL.format("ev")}""",
+    SELECT * FROM w""",
 )
 def stream_tumbling(spark, d):
     path, checkpoint = _folders(spark, "tumbling")
-    _finish(streaming.tumbling_stream(adapters.ev_stream(spark, d), path, checkpoint, spec=SPEC))
+    rows = adapters.ev_stream(spark, d, closing=F.lit(True))
+    _finish(streaming.tumbling_stream(rows, path, checkpoint, spec=SPEC))
     return _closed(spark.read.parquet(path).drop("batch_id"))
 
 
@@ -1040,25 +1107,23 @@ def stream_tumbling(spark, d):
       SELECT time_bucket(INTERVAL '1 day', collected_at) AS window_start,
       time_bucket(INTERVAL '1 day', collected_at) + INTERVAL '1 day' AS window_end,
       region, indicator, {STATS_SQL} FROM s GROUP BY 1, 2, 3, 4)
-    SELECT * FROM w WHERE {CLOSED_SQL.format("s")}""",
+    SELECT * FROM w""",
 )
 def stream_tumbling_day(spark, d):
     path, checkpoint = _folders(spark, "tumbling-day")
-    rows = _with_shard(adapters.ev_stream(spark, d))
+    rows = _with_shard(adapters.ev_stream(spark, d, closing=F.lit(True)))
     _finish(streaming.tumbling_stream(rows, path, checkpoint, "1 day", spec=SPEC))
     return _closed(spark.read.parquet(path).drop("batch_id"))
 
 
-CLICKS_SQL = "(SELECT * FROM ev WHERE indicator = 'click')"
-
-
 def _sliding(spark: SparkSession, d: str) -> DataFrame:
-    return streaming.sliding_stream(adapters.ev_stream(spark, d), "click", spec=SPEC)
+    rows = adapters.ev_stream(spark, d, closing=F.col("event_type") == "click")
+    return streaming.sliding_stream(rows, "click", spec=SPEC)
 
 
 @register(
     "stream_sliding",
-    f"{SLIDING_CTE} SELECT * FROM means WHERE {CLOSED_SQL.format(CLICKS_SQL)}",
+    f"{SLIDING_CTE} SELECT * FROM means",
 )
 def stream_sliding(spark, d):
     path, checkpoint = _folders(spark, "sliding")
@@ -1068,8 +1133,7 @@ def stream_sliding(spark, d):
 
 @register(
     "stream_top5",
-    f"""{SLIDING_CTE}, closed AS (SELECT * FROM means WHERE {CLOSED_SQL.format(CLICKS_SQL)})
-    {TOP5_SQL.format("closed")}""",
+    f"{SLIDING_CTE} {TOP5_SQL.format('means')}",
 )
 def stream_top5(spark, d):
     path, checkpoint = _folders(spark, "top5")
@@ -1090,12 +1154,69 @@ def stream_tee(spark, d):
     raw, checkpoint = _folders(spark, "tee")
     side = scratch(spark, "tee-windows")
     rows = _with_shard(adapters.ev_stream(spark, d))
-    _finish(
-        streaming.tee_stream(rows, raw, side, checkpoint, "6 hours", 12, ["shard"], spec=SPEC)
-    )
+    how = {"duration": "6 hours", "size": 12, "shard": ["shard"], "spec": SPEC}
+    _finish(streaming.tee_stream(rows, raw, side, checkpoint, **how))
+    streaming.finish_tee(spark, raw, side, **how)
     return spark.read.parquet(side).drop("batch_id")
 
 
+@register("window_side_output", HYBRID_SQL)
+def window_side_output(spark, d):
+    """Window aggregates as NDJSON next to the raw output."""
+    raw = scratch(spark, "raw") + "/raw.ndjson"
+    rows = _with_shard(events(spark, d))
+    found = windows.hybrid_windows(rows, "6 hours", 12, ["shard"], SPEC)
+    sinks.append_aggregates(found, raw)
+    return spark.read.schema(found.schema).json(sinks.aggregated_path(raw))
+
+
+@register(
+    "rejected_sink",
+    f"""{WITH_DIRTY}, checked AS (SELECT *, {ERRORS_SQL} AS errors FROM dirty)
+    SELECT seq, errors FROM checked WHERE errors <> ''""",
+)
+def rejected_sink(spark, d):
+    """Rejected rows as NDJSON with all their errors."""
+    path = scratch(spark, "rejected") + ".ndjson"
+    checked = validate.validate(adapters.dirty(spark, d), RULES, SPEC)
+    record = F.struct("seq", "region", "year", "indicator")
+    sinks.write_rejected(checked.where(~F.col("valid")).select(record.alias("record"), "errors"), path)
+    shape_of = "record struct<seq:bigint,region:string,year:int,indicator:string>, errors array<string>"
+    stored = spark.read.schema(shape_of).json(path)
+    return stored.select("record.seq", F.array_join("errors", " | ").alias("errors"))
+
+
+@register(
+    "first_lines",
+    f"""{WITH_OBS} SELECT region, federal_district, CAST(year AS BIGINT) AS year, indicator, value,
+    collected_at FROM obs ORDER BY seq LIMIT 100""",
+)
+def first_lines(spark, d):
+    """The first 100 lines of an NDJSON file."""
+    path = scratch(spark, "lines") + ".ndjson"
+    ordered = panel(spark, d).repartitionByRange(8, "seq").sortWithinPartitions("seq")
+    sinks.append_ndjson(_zoned_records(ordered), path)
+    return _naive(sources.first_records(spark, path, 100), "collected_at")
+
+
+@register(
+    "kpi_captions",
+    f"""{WITH_OBS}, y AS (SELECT max(year) AS y FROM obs WHERE indicator = '2-HIGH'),
+    s AS (SELECT any_value(y) AS y, {sum2()} / 1000000 AS total, {avg2()} AS mean FROM obs, y
+          WHERE indicator = '2-HIGH' AND year = y)
+    SELECT format('{{:.1f}} млн (за {{}})', total, y) AS total,
+        format('{{:.1f}} лет (за {{}})', mean, y) AS mean, '—' AS absent FROM s""",
+)
+def kpi_captions(spark, d):
+    rows = panel(spark, d)
+    captions = {
+        "total": reports.total_label(aggregate.kpi_total(rows, "2-HIGH", spec=SPEC)),
+        "mean": reports.mean_label(aggregate.kpi_mean(rows, "2-HIGH", SPEC)),
+        "absent": reports.total_label(aggregate.kpi_total(rows, "nowhere", spec=SPEC)),
+    }
+    return spark.range(1).select(*[df.scalar().alias(name) for name, df in captions.items()])
+
+
 # --- whole pipeline ----------------------------------------------------------
 
 PIPELINE_CLEANED = CLEAN_CTE.replace(

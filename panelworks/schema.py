@@ -224,4 +224,3 @@ ABSENT_LABEL = "—"
 SKIPPED_NAMES = ("aggregated", "rejected", "_bench", "smoke")
 
 MESSAGE_TOPIC = "demographics-raw"
-MESSAGE_PARTITIONS = 3

@@ -6,9 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Times with all their digits; the default stops at milliseconds.
+_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def append_ndjson(df: DataFrame, path: str) -> None:
     """Append records as NDJSON; parent folders are made, nothing is replaced."""
-    df.write.mode("append").json(path)
+    df.write.mode("append").options(**_TIMES).json(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
@@ -40,7 +47,7 @@ def write_rejected(rejected: DataFrame, path: str) -> bool:
     """Rejected records with their errors as NDJSON, only if there are any."""
     if rejected.isEmpty():
         return False
-    rejected.select("record", "errors").write.mode("overwrite").json(path)
+    rejected.select("record", "errors").write.mode("overwrite").options(**_TIMES).json(path)
     return True
 
 
@@ -52,4 +59,4 @@ def aggregated_path(raw_path: str) -> str:
 
 def append_aggregates(aggregates: DataFrame, raw_path: str) -> None:
     """Append window aggregates next to the raw output."""
-    aggregates.write.mode("append").json(aggregated_path(raw_path))
+    aggregates.write.mode("append").options(**_TIMES).json(aggregated_path(raw_path))

@@ -23,7 +23,7 @@ def latest_dataset(
     """One row (dataset, modified): the newest ``*.parquet`` or ``*.ndjson`` below root.
 
     A dataset is a single file or a folder of part files with that ending.
-    Service files are skipped by name.  Both columns are null if nothing is
+    Service files are skipped by the dataset's own name, whatever its folders are called.  Both columns are null if nothing is
     found.  Only file names and times are read, never contents.
     """
     files = (
@@ -38,7 +38,7 @@ def latest_dataset(
     listed = files.select(dataset.alias("dataset"), F.col("modificationTime").alias("modified"))
     wanted = F.col("dataset") != ""
     for word in skipped:
-        wanted = wanted & ~F.col("dataset").contains(word)
+        wanted = wanted & ~F.substring_index("dataset", "/", -1).contains(word)
     return listed.where(wanted).agg(
         F.max_by("dataset", F.struct("modified", "dataset")).alias("dataset"),
         F.max("modified").alias("modified"),

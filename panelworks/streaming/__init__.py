@@ -1,7 +1,9 @@
 from panelworks.streaming.flows import (
     WINDOW,
+    closing_record,
     counters,
     emergency_path,
+    finish_tee,
     flush_batch,
     flush_stream,
     observed,
@@ -16,8 +18,10 @@ from panelworks.streaming.flows import (
 
 __all__ = [
     "WINDOW",
+    "closing_record",
     "counters",
     "emergency_path",
+    "finish_tee",
     "flush_batch",
     "flush_stream",
     "observed",

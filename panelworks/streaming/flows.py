@@ -8,10 +8,11 @@ output instead of adding to it.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -19,8 +20,16 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from panelworks.functions import common_pane, utc_instant
 from panelworks.operators.aggregate import run_stats
 from panelworks.operators.ranking import HEAVY_ROWS
-from panelworks.operators.windows import hybrid_windows, top_per_window
+from panelworks.operators.windows import (
+    hybrid_windows,
+    pane_sums,
+    top_per_window,
+    window_sum,
+)
 from panelworks.schema import PanelSpec
+from panelworks.session import remove
+
+log = logging.getLogger(__name__)
 
 
 def with_event_time(
@@ -38,6 +47,19 @@ def with_event_time(
 WINDOW = ["window_start", "window_end"]
 
 
+def closing_record(
+    rows: DataFrame, ahead: str = "1000 days", spec: PanelSpec = PanelSpec()
+) -> DataFrame:
+    """One record far ahead of all others, for the end of a finite run.
+
+    Fed to the stream as its last input it moves the watermark past every open window, so
+    all of them are emitted; its own window stays open and is never seen.  ``rows`` is a batch
+    frame of what the stream selects.
+    """
+    last = F.col(spec.at) + F.expr(f"INTERVAL {ahead}")
+    return rows.orderBy(F.desc(spec.at)).limit(1).withColumn(spec.at, last)
+
+
 def tumbling_runs(
     df: DataFrame,
     duration: str = "10 seconds",
@@ -81,14 +103,11 @@ def sliding_stream(
     rows = with_event_time(df, delay, spec).where(F.col(spec.value).isNotNull())
     if indicator is not None:
         rows = rows.where(F.col(spec.indicator) == indicator)
-    kind = "double" if spec.scale is None else f"decimal(18,{spec.scale})"
     pane = F.window(spec.at, common_pane(duration, slide))
-    panes = rows.groupBy(pane.alias("pane"), spec.entity).agg(
-        F.sum(F.col(spec.value).cast(kind)).alias("s"), F.count(F.lit(1)).alias("n")
-    )
+    panes = rows.groupBy(pane.alias("pane"), spec.entity).agg(*pane_sums(spec))
     return (
         panes.groupBy(F.window("pane", duration, slide).alias("w"), spec.entity)
-        .agg(F.sum("s").cast("double").alias("s"), F.sum("n").alias("n"))
+        .agg(window_sum(spec).alias("s"), F.sum("n").alias("n"))
         .select(
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),
@@ -132,6 +151,13 @@ def emergency_path(path: str) -> str:
     return f"{path.rstrip('/')}_emergency.ndjson"
 
 
+def _write_counted(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write and return how many rows went through, without running the plan for a test."""
+    seen = Observation()
+    write(rows.observe(seen, F.count(F.lit(1)).alias("n")))
+    return seen.get["n"]
+
+
 def flush_batch(
     batch: DataFrame,
     batch_id: int,
@@ -141,11 +167,10 @@ def flush_batch(
 ) -> str | None:
     """Write one micro-batch as zstd Parquet, at most ``max_rows`` per file.
 
-    If that fails the same rows go to an emergency NDJSON folder.  An empty batch
-    writes nothing.  Returns the folder written.
+    If that fails the same rows go to an emergency NDJSON folder.  Whichever folder a
+    replay writes, the other one of that batch is removed.  An empty batch leaves
+    nothing.  Returns the folder written.
     """
-    if batch.isEmpty():
-        return None
 
     def parquet(rows: DataFrame, target: str) -> None:
         writer = rows.write.mode("overwrite").option("compression", "zstd")
@@ -153,13 +178,19 @@ def flush_batch(
             writer = writer.option("maxRecordsPerFile", max_rows)
         writer.parquet(target)
 
-    target = batch_folder(path, batch_id)
+    spark = batch.sparkSession
+    target, other = batch_folder(path, batch_id), batch_folder(emergency_path(path), batch_id)
     try:
-        (write or parquet)(batch, target)
-    except Exception as failure:  # whatever the cause, the rows must not be lost
-        target = batch_folder(emergency_path(path), batch_id)
-        print(f"parquet flush of batch {batch_id} failed ({failure}); writing {target}")
-        batch.write.mode("overwrite").json(target)
+        n = _write_counted(batch, lambda rows: (write or parquet)(rows, target))
+    except Exception:  # whatever the cause, the rows must not be lost
+        log.exception("parquet flush of batch %s failed; writing %s", batch_id, other)
+        target, other = other, target
+        n = _write_counted(batch, lambda rows: rows.write.mode("overwrite").json(target))
+    remove(spark, other)
+    if n == 0:
+        remove(spark, target)
+        remove(spark, target.rpartition("/")[0], only_empty=True)
+        return None
     return target
 
 
@@ -183,6 +214,13 @@ def flush_stream(
     return for_each_batch(df, body, checkpoint, every)
 
 
+def _write_windows(windows: DataFrame, path: str, batch_id: int) -> None:
+    """Write a batch's windows to its folder; no folder if there are none."""
+    target = batch_folder(path, batch_id)
+    if _write_counted(windows, lambda rows: rows.write.mode("overwrite").parquet(target)) == 0:
+        remove(windows.sparkSession, target)
+
+
 def top_stream(
     means: DataFrame,
     path: str,
@@ -198,9 +236,7 @@ def top_stream(
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        top_per_window(batch, n, spec).write.mode("overwrite").parquet(
-            batch_folder(path, batch_id)
-        )
+        _write_windows(top_per_window(batch, n, spec), path, batch_id)
 
     return for_each_batch(means, body, checkpoint, every)
 
@@ -223,17 +259,41 @@ def tumbling_stream(
     keys = [*WINDOW, spec.entity, spec.indicator]
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        # used twice: for the group sizes and for the statistics
-        held = batch.persist(StorageLevel.DISK_ONLY)
-        try:
-            stats = run_stats(held, keys, "n", spec, heavy_rows=heavy_rows)
-            stats.write.mode("overwrite").parquet(batch_folder(path, batch_id))
-        finally:
-            held.unpersist()
+        stats = run_stats(batch, keys, "n", spec, heavy_rows=heavy_rows)
+        _write_windows(stats, path, batch_id)
 
     return for_each_batch(tumbling_runs(df, duration, delay, spec), body, checkpoint, every)
 
 
+def progress_path(aggregate_path: str) -> str:
+    return f"{aggregate_path.rstrip('/')}_progress"
+
+
+def _closed_upto(spark: SparkSession, aggregate_path: str, before: int) -> str | None:
+    """Start of the first tick not yet closed, as text, by the batches before ``before``."""
+    try:
+        steps = spark.read.parquet(progress_path(aggregate_path))
+    except AnalysisException:  # no such folder: nothing was closed so far
+        return None
+    return steps.where(F.col("batch_id") < before).agg(F.max("upto")).first()[0]
+
+
+def _write_closed(
+    rows: DataFrame, low: str | None, high: str, folder: str, keep: dict, spec: PanelSpec
+) -> None:
+    """Windows of the ticks in [low, high), which are complete."""
+    at, kind = F.col(spec.at), rows.schema[spec.at].dataType
+    ready = rows.where(at < F.lit(high).cast(kind))
+    if low is not None:
+        ready = ready.where(at >= F.lit(low).cast(kind))
+    hybrid_windows(ready, spec=spec, **keep).write.mode("overwrite").parquet(folder)
+
+
+def _raw_rows(spark: SparkSession, raw_path: str, schema: T.StructType) -> DataFrame:
+    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(numbered).parquet(raw_path)
+
+
 def tee_stream(
     df: DataFrame,
     raw_path: str,
@@ -244,25 +304,86 @@ def tee_stream(
     shard: Sequence[str] = (),
     every: str | None = None,
     spec: PanelSpec = PanelSpec(),
+    delay: str = "1 minute",
 ) -> StreamingQuery:
     """Each micro-batch goes to the raw sink and, as window statistics, to a side output.
 
-    The statistics read the raw files just written, so the source is read once
-    and nothing has to be cached.
+    Windows are those of the batch form, whatever the micro-batches: a tick is windowed once,
+    when event time has passed its end by ``delay``, over the raw rows of all batches so
+    far.  Rows of a tick that is closed already stay in the raw output only.
+    :func:`finish_tee` closes what is open at the end of a run.
     """
+    schema = T.StructType(df.schema.fields)
+    keep = {"duration": duration, "size": size, "shard": shard}
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        spark = batch.sparkSession
         raw = batch_folder(raw_path, batch_id)
-        batch.write.mode("overwrite").option("compression", "zstd").parquet(raw)
-        written = batch.sparkSession.read.schema(batch.schema).parquet(raw)
-        windows = hybrid_windows(written, duration, size, shard, spec)
-        windows.write.mode("overwrite").parquet(batch_folder(aggregate_path, batch_id))
+        seen = Observation()
+        batch.observe(
+            seen, F.count(F.lit(1)).alias("n"), F.max(spec.at).cast("string").alias("last")
+        ).write.mode("overwrite").option("compression", "zstd").parquet(raw)
+        if seen.get["n"] == 0:
+            remove(spark, raw)
+            return
+        cut = F.lit(seen.get["last"]).cast(schema[spec.at].dataType) - F.expr(f"INTERVAL {delay}")
+        low = _closed_upto(spark, aggregate_path, batch_id)
+        high = _record(spark, aggregate_path, batch_id, cut, duration, low)
+        if low is None or high > low:
+            rows = _raw_rows(spark, raw_path, schema).where(F.col("batch_id") <= batch_id)
+            folder = batch_folder(aggregate_path, batch_id)
+            _write_closed(rows.drop("batch_id"), low, high, folder, keep, spec)
 
     return for_each_batch(df, body, checkpoint, every)
 
 
+def _record(
+    spark: SparkSession,
+    aggregate_path: str,
+    batch_id: int,
+    cut: Column,
+    duration: str,
+    low: str | None,
+    step: str | None = None,
+) -> str:
+    """Note and return the start of the tick that holds ``cut``; it never goes back."""
+    tick = F.window("cut", duration).start.cast("string")
+    start = spark.range(1).select(cut.alias("cut")).select(tick.alias("start")).first()[0]
+    upto = max(start, low or "")
+    spark.range(1).select(
+        F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(upto).alias("upto")
+    ).write.mode("overwrite").parquet(f"{progress_path(aggregate_path)}/step={step or batch_id}")
+    return upto
+
+
+def finish_tee(
+    spark: SparkSession,
+    raw_path: str,
+    aggregate_path: str,
+    duration: str = "10 seconds",
+    size: int = 50,
+    shard: Sequence[str] = (),
+    spec: PanelSpec = PanelSpec(),
+) -> None:
+    """Window the ticks that are open when a run of :func:`tee_stream` has ended.
+
+    A later run goes on after them: rows that still belong to these ticks count as late.
+    """
+    rows = spark.read.parquet(raw_path)
+    last = rows.agg(F.max("batch_id"), F.max(spec.at).cast("string")).first()
+    if last[0] is None:
+        return
+    low = _closed_upto(spark, aggregate_path, last[0] + 1)
+    end = F.lit(last[1]).cast(rows.schema[spec.at].dataType) + F.expr(f"INTERVAL {duration}")
+    high = _record(spark, aggregate_path, last[0], end, duration, low, f"end{last[0]}")
+    if low is not None and high <= low:
+        return
+    # a folder of its own, which no batch replaces
+    folder = batch_folder(aggregate_path, -1 - last[0])
+    keep = {"duration": duration, "size": size, "shard": shard}
+    _write_closed(rows.drop("batch_id"), low, high, folder, keep, spec)
+
+
 def counters(parsed: DataFrame) -> list:
     """Counters of an ingest frame with a ``bad`` flag: records, errors."""
     return [

@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 
-from panelworks.operators.clean import clean, clean_report, keep_first, without_service_rows
+from panelworks.operators.clean import clean, clean_report, keep_first, typed, without_service_rows
 from panelworks.schema import PanelSpec
 from tests.conftest import rows_of
 
@@ -111,3 +111,20 @@ def test_service_rows(spark):
     assert [r[2] for r in kept(without_service_rows(df))] == ["x_agg_"]
     other = spark.range(3)
     assert without_service_rows(other).count() == 3
+
+
+def test_dedup_needs_the_unique_order_column(spark, panel_small):
+    with pytest.raises(ValueError):
+        keep_first(panel_small.drop("seq"))
+
+
+def test_report_agrees_with_clean_on_null_times(spark):
+    rows = [("A", None, 2020, "x", NAN, None, 1), ("A", None, 2020, "x", 1.0, T0, 2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    report = clean_report(df).first()
+    assert clean(df).count() == report.rows_after == 1
+
+
+def test_years_out_of_int_range_become_null(spark):
+    df = spark.createDataFrame([("A", None, 99_999_999_999, "x", 1.0, T0, 1)], SCHEMA)
+    assert [r.year for r in typed(df).collect()] == [None]

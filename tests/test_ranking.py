@@ -9,7 +9,7 @@ from collections import defaultdict
 import pytest
 
 from panelworks.operators import ranking
-from panelworks.operators.aggregate import median_stats, run_stats
+from panelworks.operators.aggregate import group_stats, median_stats, run_stats
 from panelworks.schema import PanelSpec
 
 
@@ -52,10 +52,11 @@ def test_global_row_numbers(skewed_df, heavy_rows):
     assert {r.seq: r.n for r in got.collect()} == {seq: i + 1 for i, (_, seq) in enumerate(order)}
 
 
-def test_heavy_groups_are_found_and_bounded(skewed_df):
-    heavy, held = ranking.heavy_groups(skewed_df, ["k"], 900)
-    assert [r.k for r in heavy.collect()] == ["hot"] and held == 1000
-    assert ranking.heavy_groups(skewed_df, ["k"], 100_000) == (None, 0)
+def test_heavy_groups_are_found(skewed_df):
+    assert [tuple(r) for r in ranking.heavy_groups(skewed_df, ["k"], 900).collect()] == [
+        ("hot", 1000)
+    ]
+    assert ranking.heavy_groups(skewed_df, ["k"], 100_000).count() == 0
 
 
 @pytest.mark.parametrize("heavy_rows", [10_000, 800, 20])
@@ -92,3 +93,28 @@ def test_many_copies_of_one_value(spark):
     spec = PanelSpec(value="v")
     stats = median_stats(df, ["k"], spec, heavy_rows=10).first()
     assert stats.p50 == statistics.median([v for _, v in rows])
+
+
+@pytest.mark.parametrize("heavy_rows", [10_000, 5])
+def test_statistics_read_the_source_once(spark, tmp_path, heavy_rows):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(skewed(300), "k string, t int, seq long, v double").write.parquet(path)
+    plan = median_stats(spark.read.parquet(path), ["k"], PanelSpec(value="v"), heavy_rows=heavy_rows)
+    assert path not in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert path not in str(plan.inputFiles())
+
+
+def test_scaled_sums_keep_what_is_not_finite(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("n", nan), ("n", 1.0), ("i", inf), ("i", 2.0), ("b", inf), ("b", -inf), ("z", None)]
+    rows += [("big", 1e17), ("big", 1.25), ("huge", 1e300), ("s", 0.1), ("s", 0.2), ("s", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    spec = PanelSpec(value="v", scale=2)
+    for heavy_rows in (100, 1):
+        got = {r.k: (r.sum, r.avg) for r in median_stats(df, ["k"], spec, heavy_rows=heavy_rows).collect()}
+        assert all(str(x) == "nan" for x in (*got["n"], *got["b"]))
+        assert got["i"] == (inf, inf) and got["z"] == (None, None)
+        assert got["big"][0] == 1e17 and got["huge"][0] >= 1e299
+        assert got["s"] == (0.3, 0.15)
+    plain = {r.k: r.sum for r in group_stats(df, ["k"], spec).collect()}
+    assert plain["big"] == 1e17 + 1.25 and plain["s"] == 0.3 and str(plain["n"]) == "nan"

@@ -45,21 +45,6 @@ def test_unknown_member_takes_everything(spark):
     assert rows_of(shape.shard_of(items, ["a", "b"], "b", ["place"]), "place") == [(1,), (3,)]
 
 
-def fnv_partition(key: str, n: int) -> int:
-    h = 2166136261
-    for b in key.encode():
-        h = (h ^ b) * 16777619 % 2**32
-    signed = h - 2**32 if h >= 2**31 else h
-    return abs(signed) % n
-
-
-def test_key_partition(spark):
-    keys = ["", "a", "Москва", "Санкт-Петербург", "NATION_17"]
-    df = spark.createDataFrame([(k,) for k in keys], "region string")
-    got = dict(rows_of(shape.with_partition(df, 3), "region", "partition"))
-    assert got == {k: fnv_partition(k, 3) for k in keys}
-
-
 def test_full_grid_has_no_gaps(spark, panel_small):
     years = (2022, 2023)
     assert shape.gaps(panel_small, years, DEMOGRAPHIC_INDICATORS).count() == 0
@@ -143,3 +128,13 @@ def test_unknown_indicator_has_no_expectation(spark):
 def test_clamp_round(spark, indicator, value, expected):
     df = spark.createDataFrame([(indicator, value)], "indicator string, value double")
     assert shape.clamp_round(df, DEMOGRAPHIC_BOUNDS).first().value == expected
+
+
+def test_entities_without_a_row(spark, panel_small):
+    entities = spark.createDataFrame([("Москва",), ("Nowhere",), ("Nowhere",)], "region string")
+    years = (2022, 2023)
+    rows = shape.coverage(panel_small, years, DEMOGRAPHIC_INDICATORS, entities=entities)
+    got = {r.region: (r.present, r.missing) for r in rows.collect()}
+    assert got["Nowhere"] == (0, 12) and got["Москва"] == (12, 0) and len(got) == 5
+    missing = shape.gaps(panel_small, years, DEMOGRAPHIC_INDICATORS, entities=entities)
+    assert {r.region for r in missing.collect()} == {"Nowhere"} and missing.count() == 12

@@ -168,7 +168,55 @@ def test_tee_writes_raw_rows_and_their_windows(spark, source):
     streaming.tee_stream(
         source.stream(), raw, side, source.folder("cp"), "1 minute", 7
     ).awaitTermination()
+    streaming.finish_tee(spark, raw, side, "1 minute", 7)
     assert spark.read.parquet(raw).count() == 200
     batch = windows.hybrid_windows(spark.createDataFrame(events(200), SCHEMA), "1 minute", 7)
     columns = ["window_start", "region", "indicator", "count", "p50"]
     assert rows_of(spark.read.parquet(side), *columns) == rows_of(batch, *columns)
+
+
+def test_tee_windows_do_not_depend_on_the_batches(spark, source):
+    """Borders of micro-batches fall into chunks and ticks; runs end and go on."""
+    rows = events(300)
+    raw, side = source.folder("raw"), source.folder("side")
+    for part in range(5):
+        source.feed(rows[part * 60 : part * 60 + 60])
+        streaming.tee_stream(
+            source.stream(), raw, side, source.folder("cp"), "1 hour", 70
+        ).awaitTermination()
+    streaming.finish_tee(spark, raw, side, "1 hour", 70)
+    got = spark.read.parquet(side)
+    batch = windows.hybrid_windows(spark.createDataFrame(rows, SCHEMA), "1 hour", 70)
+    columns = ["tick", "chunk", "window_start", "window_end", "region", "indicator", "count", "p50"]
+    assert rows_of(got, *columns) == rows_of(batch, *columns)
+    streaming.finish_tee(spark, raw, side, "1 hour", 70)  # nothing is left to close
+    assert rows_of(spark.read.parquet(side), *columns) == rows_of(batch, *columns)
+
+
+def test_closing_record_emits_open_windows(spark, source):
+    rows = events(200)
+    for part in range(4):
+        source.feed(rows[part * 50 : part * 50 + 50])
+    frame = spark.createDataFrame(rows, SCHEMA)
+    streaming.closing_record(frame).coalesce(1).write.mode("append").parquet(source.path)
+    out = source.folder("out")
+    spec = PanelSpec(scale=1)
+    streaming.tumbling_stream(
+        source.stream(), out, source.folder("cp"), "5 minutes", "1 day", spec=spec
+    ).awaitTermination()
+    columns = ["window_start", "region", "indicator", "count", "sum", "p50"]
+    batch = windows.tumbling(frame, "5 minutes", spec)
+    assert rows_of(spark.read.parquet(out), *columns) == rows_of(batch, *columns)
+
+
+def test_replay_after_an_emergency_has_each_row_once(spark, tmp_path):
+    def broken(rows, target):
+        raise OSError("disk full")
+
+    df = spark.createDataFrame(events(30), SCHEMA)
+    out = str(tmp_path / "out")
+    assert streaming.flush_batch(df, 0, out, write=broken) != streaming.flush_batch(df, 0, out)
+    assert spark.read.parquet(out).count() == 30
+    assert not os.path.exists(f"{streaming.emergency_path(out)}/batch_id=0")
+    streaming.flush_batch(df, 0, out, write=broken)
+    assert not os.path.exists(f"{out}/batch_id=0")
