@@ -33,15 +33,18 @@ def parsed_fields(lines: DataFrame, fields: list[str], text: str = "value") -> D
 
     ``_v_<field>`` is a VARIANT and ``_k_<field>`` its type: STRING, BIGINT,
     DECIMAL(..), DOUBLE, BOOLEAN, VOID, OBJECT<..>, ARRAY<..>, or null if the field
-    is absent.  ``_kind`` is the type of the whole line, null if it is not JSON.
-    Blank lines are skipped.  Values and types are columns of their own so that
+    is absent.  ``_kind`` is OBJECT, VOID or OTHER for the whole line, told by its first
+    character, and null if it is not JSON: rendering the line's type would cost as much as
+    parsing it.  Blank lines are skipped.  Values and types are columns of their own so that
     the rules read them instead of parsing again.
     """
     kept = lines.where(F.trim(F.col(text)) != "")
     parsed = kept.withColumn(_PARSED, F.try_parse_json(F.col(text)))
+    opens = F.substring(F.ltrim(F.col(text), F.lit(" \t\r\n")), 1, 1)
+    kind = F.when(opens == "{", "OBJECT").when(opens == "n", "VOID").otherwise("OTHER")
     split = parsed.select(
         *lines.columns,
-        F.schema_of_variant(F.col(_PARSED)).alias("_kind"),
+        F.when(F.col(_PARSED).isNotNull(), kind).alias("_kind"),
         *[F.variant_get(F.col(_PARSED), f"$.{f}", "variant").alias(f"_v_{f}") for f in fields],
     )
     return split.withColumns({f"_k_{f}": F.schema_of_variant(F.col(f"_v_{f}")) for f in fields})
@@ -103,7 +106,7 @@ def validate_json(
     Text that is not a JSON object is kept and rejected as ``record: malformed``.
     """
     whole = F.when(
-        ~F.coalesce(F.col("_kind").startswith("OBJECT"), F.lit(False)),
+        ~F.coalesce(F.col("_kind") == "OBJECT", F.lit(False)),
         F.lit("record: malformed"),
     )
     checks = json_checks(rules)

@@ -237,3 +237,12 @@ def test_distinct_and_extent(panel_small):
 def test_first_rows(panel_small):
     got = reports.first_rows(panel_small, 5).collect()
     assert [r.seq for r in got] == sorted(r.seq for r in panel_small.collect())[:5]
+
+
+def test_means_of_records_without_the_columns(spark):
+    from panelworks.operators.aggregate import top_means
+    from panelworks.operators.windows import sliding_means, top_per_window
+
+    other = spark.createDataFrame([(1,)], "x int")
+    assert top_means(other, "birth_rate").count() == 0
+    assert top_per_window(sliding_means(other, "birth_rate")).count() == 0

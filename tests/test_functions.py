@@ -92,3 +92,20 @@ def test_exact_sum_is_the_decimal_sum(spark, values):
     assert row.s == float(exact)
     half_up = (exact / len(values)).quantize(Decimal("0.01"), ROUND_HALF_UP)
     assert abs(row.m - float(half_up)) <= 0.01
+
+
+def test_rfc3339_is_utc_in_any_session(spark):
+    from datetime import datetime, timezone
+
+    from panelworks.functions import rfc3339
+
+    df = spark.createDataFrame([(datetime(2024, 1, 1, tzinfo=timezone.utc),)], "t timestamp")
+    df = df.withColumn("n", F.lit("2024-01-01 00:00:00.000001").cast("timestamp_ntz"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Moscow")
+        row = df.select(rfc3339(F.col("t")).alias("t"), rfc3339(F.col("n")).alias("n")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert row.t == "2024-01-01T00:00:00.000000Z"
+    assert row.n == "2024-01-01T00:00:00.000001Z"

@@ -268,3 +268,11 @@ def test_broker_options():
     options = sources.broker_options("h:1", group="g", max_per_trigger=10)
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "10"
     assert sinks.broker_sink_options(sinks.SinkSpec("kafka"))["kafka.acks"] == "1"
+
+
+def test_folder_names_do_not_hide_a_dataset(spark, tmp_path):
+    folder = tmp_path / "smoke_runs"
+    folder.mkdir()
+    (folder / "raw.ndjson").write_text("{}\n")
+    (tmp_path / "rejected.ndjson").write_text("{}\n")
+    assert sources.latest_dataset(spark, str(tmp_path)).first().dataset == "smoke_runs/raw.ndjson"
