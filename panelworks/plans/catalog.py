@@ -658,6 +658,23 @@ def shard_assign(spark, d):
     return shape.assign_shards(dimension, MEMBERS, ["place"])
 
 
+@register(
+    "partition_by_key",
+    f"""{WITH_OBS} SELECT region, count(*) AS rows, CAST(1 AS BIGINT) AS partitions
+    FROM obs GROUP BY 1""",
+)
+def partition_by_key(spark, d):
+    """Each entity lies in one partition; the order inside is tested apart."""
+    placed = shape.partition_by_key(panel(spark, d), 3, SPEC)
+    return (
+        placed.withColumn("part", F.spark_partition_id())
+        .groupBy("region")
+        .agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct("part").alias("partitions")
+        )
+    )
+
+
 GRID_YEARS = (1995, 2002)
 GRID_CODES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 GRID_SQL = f"""WITH part AS ({CUSTOMERS_SQL}),

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import pytest
 
 from panelworks.operators import shape
@@ -138,3 +140,13 @@ def test_entities_without_a_row(spark, panel_small):
     assert got["Nowhere"] == (0, 12) and got["Москва"] == (12, 0) and len(got) == 5
     missing = shape.gaps(panel_small, years, DEMOGRAPHIC_INDICATORS, entities=entities)
     assert {r.region for r in missing.collect()} == {"Nowhere"} and missing.count() == 12
+
+
+def test_partition_by_key_keeps_the_order_inside_a_key(spark, panel_small):
+    mixed = panel_small.orderBy(F.rand(3))
+    parts = shape.partition_by_key(mixed, 3).select("region", "seq").rdd.glom().collect()
+    assert len(parts) == 3
+    seen = [{r.region for r in part} for part in parts]
+    assert sum(len(s) for s in seen) == len(set().union(*seen)) == 4
+    for part in parts:
+        assert [r.seq for r in part] == sorted(r.seq for r in part)
