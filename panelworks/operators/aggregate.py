@@ -100,9 +100,10 @@ def run_stats(
             *_run_totals(spec, count, round_to(median, digits).alias("p50"), digits)
         )
 
-    heavy = stored(ranking.heavy_groups(runs, by, heavy_rows), "heavy")
+    heavy = ranking.heavy_groups(runs, by, heavy_rows)
     if heavy.isEmpty():
         return weighted(runs)
+    heavy = stored(heavy, "heavy")
     light, hot = ranking.split_heavy(runs, by, heavy)
     medians = ranking.heavy_median(hot, by, spec.value, count, "_p50", heavy_rows)
     totals = hot.groupBy(*by).agg(*_run_totals(spec, count, F.lit(None).alias("p50"), digits))
