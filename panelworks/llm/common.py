@@ -14,7 +14,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from panelworks.session import scratch
+from panelworks.session import stored as stage
+
+__all__ = [
+    "SLICE_BYTES",
+    "SPACES",
+    "WORDS",
+    "batch",
+    "map_batches",
+    "mix",
+    "ship",
+    "slices",
+    "stage",
+    "utf8",
+]
 
 # White space that separates words, and the words between (fixed by the queries' contract).
 SPACES = r"[\x20\x09-\x0D]+"
@@ -24,18 +37,6 @@ WORDS = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh folder below ``spark.checkpoint.dir`` and read it from there.
-
-    Cuts the lineage with files that all executors reach, so that what is computed
-    once stays the same when an executor is lost and a task runs again.
-    """
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, once per context."""
     sc = spark.sparkContext

@@ -25,8 +25,9 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
-# Bound of the sample the driver sees: documents per language and windows per document.
+# Bound of the sample the driver sees: documents per language and in all, windows per document.
 DOCUMENTS = 400
+SAMPLE = 20_000
 WINDOWS = 4
 EPOCHS = 8
 BATCH = 64
@@ -185,8 +186,8 @@ def sample_windows(labelled: DataFrame, documents: int = DOCUMENTS, windows: int
     """(lang, doc_id, windows): hashed positions of the ``documents`` rows of each language
     whose id hashes lowest.  ``labelled`` has doc_id, text and lang.
 
-    Ids are chosen without reading texts.  The table of chosen ids, and so its broadcast, is
-    bounded by ``documents`` for each language.
+    Ids are chosen without reading texts.  At most ``SAMPLE`` are chosen, evenly over the
+    languages, which bounds the broadcast of the chosen ids and what the driver collects.
     """
     lowest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
@@ -194,6 +195,8 @@ def sample_windows(labelled: DataFrame, documents: int = DOCUMENTS, windows: int
         .select("lang", "doc_id")
         .withColumn("place", F.row_number().over(lowest))
         .where(F.col("place") <= documents)
+        .orderBy("place", F.xxhash64("doc_id"), "lang", "doc_id")
+        .limit(SAMPLE)
         .select(F.col("lang").alias("_lang"), F.col("doc_id").alias("_id"))
         .distinct()
     )
