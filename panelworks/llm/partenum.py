@@ -488,8 +488,9 @@ def _block_links(families: DataFrame, sets: DataFrame, similarity: tuple[int, in
         return pa.table({"u": rep[u], "v": rep[v]})
 
     of = pairs.select(F.col("family").alias("of"), "left", "right")
-    ends = of.select("of", "left", "right", F.col("left").alias("end")).union(
-        of.where(~F.col("left").eqNullSafe(F.col("right"))).select("of", "left", "right", F.col("right").alias("end"))
+    two = of.where(~F.col("left").eqNullSafe(F.col("right")))
+    ends = of.select("*", F.col("left").alias("end")).union(
+        two.select("*", F.col("right").alias("end"))
     )
     here = (F.col("family") == F.col("of")) & F.col("block").eqNullSafe(F.col("end"))
     rows = placed.join(ends, here).select("of", "left", "right", "rep", "label")

@@ -260,7 +260,8 @@ def test_drop_repeats(spark):
 
 
 def test_equal_rows_with_one_id_lose_nothing(spark):
-    docs = spark.createDataFrame([(1, prose(40, 3)), (1, prose(40, 3)), (None, prose(40, 4))], "doc_id bigint, text string")
+    rows = [(1, prose(40, 3)), (1, prose(40, 3)), (None, prose(40, 4))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert substrings.remove_repeats(docs).where("n_removed_chars > 0").count() == 0
 
 
