@@ -23,8 +23,8 @@ def latest_dataset(
     """One row (dataset, modified): the newest ``*.parquet`` or ``*.ndjson`` below root.
 
     A dataset is a single file or a folder of part files with that ending.
-    Service files are skipped by the dataset's own name, whatever its folders are called.  Both columns are null if nothing is
-    found.  Only file names and times are read, never contents.
+    Service files are skipped by the dataset's own name, whatever its folders are
+    called.  Both columns are null if nothing is found.  Only file names and times are read, never contents.
     """
     files = (
         spark.read.format("binaryFile")
