@@ -4,6 +4,7 @@ Lines are normalised and hashed; for each host the distinct documents that hold
 counted, where documents with the same text are one.  A line in more of them than the
 limits allow is boilerplate: it is removed, and a document that has too little left is
 rejected.  By the limits' share, a host has at most (lines per document) / share such lines.
+Near copies can count as one document too, so that a group of them does not lose its lines.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelworks.llm import partenum
 from panelworks.llm.common import batch, map_batches, mix, slices, stage, utf8
 
 SYMBOLS = b"#*$%&|<>"
@@ -55,7 +57,11 @@ _LINE = pa.schema([("host", pa.string()), ("line", pa.int64()), ("document", pa.
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """(host, line, document) for each distinct line of each row; ``docs`` has host and text."""
+    """(host, line, document) for each distinct line of each row; ``docs`` has host and text.
+
+    ``document`` is the column of that name, or a hash of the text if there is none.
+    """
+    named = "document" in docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in slices(batches):
@@ -64,27 +70,73 @@ def document_lines(docs: DataFrame) -> DataFrame:
                 own = {line_hash(s) for s in (text or b"").split(b"\n")} - {None}
                 rows += [i] * len(own)
                 lines += own
-                documents += [xxhash.xxh3_64_intdigest(text or b"")] * len(own)
-            hosts = x.column("host").take(pa.array(rows, pa.int64()))
+                if not named:
+                    documents += [xxhash.xxh3_64_intdigest(text or b"")] * len(own)
+            rows = pa.array(rows, pa.int64())
+            hosts = x.column("host").take(rows)
             yield batch(
                 _LINE,
                 host=hosts.cast(pa.string()),
                 line=_signed(lines),
-                document=_signed(documents),
+                document=x.column("document").take(rows) if named else _signed(documents),
             )
 
     return map_batches(docs, run, "host string, line bigint, document bigint")
 
 
-def frequent_lines(docs: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """(host, lines): the sorted hashes of each host's boilerplate lines."""
+def _as_near_groups(docs: DataFrame, limits: Limits) -> tuple[DataFrame, DataFrame] | None:
+    """(host, line, document) and (host, document) where ``document`` is a group of near copies.
+
+    Groups are those of near dedup, over distinct texts.  A line in more groups than
+    the limit is in more texts too, so just the lines of that many texts are looked at; None if
+    there is no such line.
+    """
+    text = F.xxhash64(F.coalesce("text", F.lit(""))).alias("document")
+    docs = docs.select("host", "text", text)
     lines = document_lines(docs)
+    common = stage(
+        lines.distinct()
+        .groupBy(F.col("host").alias("of"), F.col("line").alias("common"))
+        .agg(F.count(F.lit(1)).alias("documents"))
+        .where(F.col("documents") > limits.documents)
+        .drop("documents"),
+        "common",
+    )
+    if common.isEmpty():
+        return None
+    found = partenum.jaccard_components(docs, "document")
+    groups = stage(
+        found.select(F.col("doc_id").alias("document"), F.col("component_id").alias("near")).distinct(),
+        "near_groups",
+    )
+    here = (F.col("line") == F.col("common")) & F.col("host").eqNullSafe(F.col("of"))
+    near = F.col("near").alias("document")
+    held = lines.join(common, here, "left_semi").distinct()
+    return (
+        held.join(groups, "document").select("host", "line", near),
+        docs.select("host", "document").distinct().join(groups, "document").select("host", near),
+    )
+
+
+def frequent_lines(
+    docs: DataFrame, limits: Limits = LIMITS, near_copies: bool = False
+) -> DataFrame:
+    """(host, lines): the sorted hashes of each host's boilerplate lines.
+
+    With ``near_copies`` near copies of a text count as one document of the host.
+    """
+    grouped = _as_near_groups(docs, limits) if near_copies else None
+    if near_copies and grouped is None:
+        return docs.sparkSession.createDataFrame([], "host string, lines array<bigint>")
+    lines, documents = grouped or (
+        document_lines(docs),
+        docs.select("host", F.xxhash64(F.coalesce("text", F.lit(""))).alias("document")),
+    )
     held = (
         lines.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents"))
     ).where(F.col("documents") > limits.documents)
     hosts = (
-        docs.select("host", F.xxhash64(F.coalesce("text", F.lit(""))).alias("document"))
-        .distinct()
+        documents.distinct()
         .groupBy(F.col("host").alias("of"))
         .agg(F.count(F.lit(1)).alias("all"))
         .where(F.col("all") > limits.documents)
@@ -178,13 +230,15 @@ def judge(
     text_col: str = "text",
     host_col: str = "source",
     keep: list[str] | None = None,
+    near_copies: bool = False,
 ) -> DataFrame:
     """The columns ``keep`` of each row (all by default) in a struct ``row``, with the counts,
     base_failed, n_removed_lines, words_left, kept and clean_text.
 
     clean_text is the text without boilerplate lines (null for null text).  A null host is a
     host of its own.  An empty text fails the base rules.  Copies of a text count as one
-    document, so a line is not boilerplate because its document was copied.
+    document, so a line is not boilerplate because its document was copied; with
+    ``near_copies`` so do near copies.
     """
     keep = docs.columns if keep is None else keep
     rows = docs.select(
@@ -192,7 +246,8 @@ def judge(
         F.col(text_col).alias("text"),
         F.col(host_col).cast("string").alias("host"),
     )
-    frequent = stage(frequent_lines(rows.select("host", "text"), limits), "frequent")
+    lines = frequent_lines(rows.select("host", "text"), limits, near_copies)
+    frequent = stage(lines, "frequent")
     joined = rows.join(
         frequent.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")), "left"
     ).select("row", "text", "lines")
@@ -247,11 +302,12 @@ def _without_lines(texts: list[bytes | None], lines: pa.Array, words: np.ndarray
 def keep_good(docs: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """The rows that the rules keep, without boilerplate lines, columns as in ``docs``.
 
+    Near copies count as one document, so one of a large group of them is left for near dedup.
     ``n_chars`` follows the text if the column is there.
     """
     # the text comes back as clean_text, so it need not travel twice
     others = [c for c in docs.columns if c != "text"]
-    judged = judge(docs, limits, keep=others or ["source"]).where("kept")
+    judged = judge(docs, limits, keep=others or ["source"], near_copies=True).where("kept")
     replaced = {"text": F.col("clean_text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

@@ -138,6 +138,22 @@ def test_pipeline(spark, tmp_path):
     }
 
 
+def test_one_of_many_near_copies_passes_the_pipeline(spark, tmp_path):
+    lines = [prose(15, 200 + k) for k in range(10)]
+    texts = []
+    for i in range(1000):
+        own = [x.split() for x in lines]
+        own[i % 10][i % 15] = f"own{i}"
+        texts.append("\n".join(map(" ".join, own)))
+    foot = "Read more on our page today"
+    texts += [f"{prose(30, i)}\n{foot}" for i in range(30)]  # boilerplate goes as before
+    texts += [f"{foot}\n{prose(4, 99)}"]
+    folder = str(tmp_path / "sf")
+    frame(spark, texts).write.parquet(f"{folder}/documents.parquet")
+    got = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.run(spark, folder).collect()}
+    assert got == {0: 151} | {1000 + i: 31 for i in range(30)}
+
+
 def test_stages_return_the_columns(spark, tmp_path):
     docs = frame(spark, pipeline_texts())
     for name, step in corpus_pipeline.STAGES[:-1]:
