@@ -2,7 +2,7 @@
 
 A text is cut into units: lines, and within a line sentences.  Units are normalised and
 hashed, digests are grouped over all documents, and the occurrence with the smallest (id,
-unit number) stays.  A run of neighbouring units that all occurred before is removed
+text key, unit number) stays.  A run of neighbouring units that all occurred before is removed
 when it has enough words, so short phrases that recur by chance are left alone.  Offsets
 of what was removed refer to the original text.
 """
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,13 +39,24 @@ def unit_spans(text: bytes, sentences: bool = True) -> list[tuple[int, int]]:
 
 
 _UNIT = pa.schema(
-    [("doc_id", pa.int64()), ("unit", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())]
+    [
+        ("doc_id", pa.int64()),
+        ("key", pa.int64()),
+        ("unit", pa.int32()),
+        ("h1", pa.int64()),
+        ("h2", pa.int64()),
+    ]
 )
 
 
+def text_key(text: Column) -> Column:
+    """Tells the rows of one id, or without an id, apart by their texts."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def units(docs: DataFrame, sentences: bool = True) -> DataFrame:
-    """(doc_id, unit, h1, h2): the 128-bit digest of each unit, A-Z lower-cased and white
-    space collapsed."""
+    """(doc_id, key, unit, h1, h2): the 128-bit digest of each unit, A-Z lower-cased and white
+    space collapsed; ``docs`` has doc_id, key and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in slices(batches):
@@ -57,21 +68,23 @@ def units(docs: DataFrame, sentences: bool = True) -> DataFrame:
                     numbers.append(n)
                     digests.append(xxhash.xxh3_128_digest(unit))
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            rows = pa.array(rows, pa.int64())
             yield batch(
                 _UNIT,
-                doc_id=x.column("doc_id").take(pa.array(rows, pa.int64())),
+                doc_id=x.column("doc_id").take(rows),
+                key=x.column("key").take(rows),
                 unit=pa.array(numbers, pa.int32()),
                 h1=np.ascontiguousarray(halves[:, 0]),
                 h2=np.ascontiguousarray(halves[:, 1]),
             )
 
-    return map_batches(docs, run, "doc_id bigint, unit int, h1 bigint, h2 bigint")
+    return map_batches(docs, run, "doc_id bigint, key bigint, unit int, h1 bigint, h2 bigint")
 
 
 def repeated_units(docs: DataFrame, sentences: bool = True) -> DataFrame:
-    """(doc_id, units): the numbers of a document's units that occurred before."""
+    """(doc_id, key, units): the numbers of a document's units that occurred before."""
     cut = units(docs, sentences)
-    place = F.struct("doc_id", "unit")
+    place = F.struct("doc_id", "key", "unit")
     firsts = (
         cut.groupBy("h1", "h2")
         .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -80,7 +93,7 @@ def repeated_units(docs: DataFrame, sentences: bool = True) -> DataFrame:
     return (
         cut.join(firsts, ["h1", "h2"])
         .where(~place.eqNullSafe(F.col("first")))
-        .groupBy("doc_id")
+        .groupBy("doc_id", "key")
         .agg(F.collect_set("unit").alias("units"))
     )
 
@@ -119,22 +132,25 @@ def remove_repeats(
     n_removed_chars.
 
     spans are code point offsets [start, end) in the original text, ascending.  Documents are
-    ranked by id, nulls first; rows that repeat an id are ranked as one document, so of two
-    equal rows with one id none loses anything to the other.  Null text stays null.
+    ranked by id, nulls first, then by a hash of the text; rows that repeat id and text are ranked
+    as one document, so of two equal rows with one id none loses anything to the other.  Rows
+    with one id, or none, and different texts are different documents.  Null text stays null.
     """
     keep = docs.columns if keep is None else keep
-    plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    repeated = stage(repeated_units(plain, sentences), "repeats").select(
-        F.col("doc_id").alias("of"), "units"
-    )
-    rows = docs.select(
-        F.struct(*[F.col(c) for c in keep]).alias("row"),
+    named = (
         F.col(id_col).cast("bigint").alias("doc_id"),
+        text_key(F.col(text_col)).alias("key"),
         F.col(text_col).alias("text"),
     )
-    joined = rows.join(repeated, F.col("doc_id").eqNullSafe(F.col("of")), "left").select(
-        "row", "text", "units"
+    repeated = stage(repeated_units(docs.select(*named), sentences), "repeats").select(
+        F.col("doc_id").alias("of"), F.col("key").alias("of_key"), "units"
+    )
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in keep]).alias("row"),
+        *named,
     )
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key"))
+    joined = rows.join(repeated, same, "left").select("row", "text", "units")
     schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL(_OUT).fields])
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 

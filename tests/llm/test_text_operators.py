@@ -265,6 +265,19 @@ def test_equal_rows_with_one_id_lose_nothing(spark):
     assert substrings.remove_repeats(docs).where("n_removed_chars > 0").count() == 0
 
 
+def test_texts_under_one_id_and_null_ids_are_apart(spark):
+    passage = prose(40, 5)
+    one, other = f"{passage}.\n{prose(30, 6)}.", f"{prose(30, 7)}.\n{passage}."
+    third = f"{passage}.\n{prose(30, 8)}."
+    for name in (3, None):
+        rows = [(name, one), (name, other), (name, third)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        clean = [r["clean_text"] for r in substrings.remove_repeats(docs).collect()]
+        assert sum(passage in c for c in clean) == 1
+        for seed in (6, 7, 8):
+            assert sum(prose(30, seed) in c for c in clean) == 1
+
+
 # --- chat --------------------------------------------------------------------------------
 
 
