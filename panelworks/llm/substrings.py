@@ -5,11 +5,17 @@ hashed, digests are grouped over all documents, and the occurrence with the smal
 text key, unit number) stays.  A run of neighbouring units that all occurred before is removed
 when it has enough words, so short phrases that recur by chance are left alone.  Offsets
 of what was removed refer to the original text.
+
+A passage that other text cuts into, or without sentence ends, shares no whole unit.  So a text is
+cut into chunks too, before each word pair whose hash is the smallest nearby: in equal passages
+the cuts are the same a few words from their ends, whatever stands around.  Runs of repeated
+chunks are removed as far as no run of units holds them.  Units of few words are not cut further.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,13 +25,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelworks.llm.common import batch, map_batches, slices, stage, utf8
+from panelworks.llm.common import batch, map_batches, mix, slices, stage, utf8
+from panelworks.llm.shingles import WordHashes
 
 # Words a run of repeated units must have to be removed.
 RUN_WORDS = 25
 # Ends of units: a line end, or the white space after a full stop, question or exclamation mark.
 _END = re.compile(rb"\n+|(?<=[.!?])[\x20\t\x0b\x0c\r]+")
 _LINE_END = re.compile(rb"\n+")
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+# A chunk starts at a word pair whose hash is the smallest of so many before and after it; on
+# average it has 2 * REACH + 1 words.
+REACH = 4
+# Units of so many words or fewer have no chunks: of 50 words in such units, units hold RUN_WORDS.
+SHORT = (RUN_WORDS - 1) // 2
+# Chunks are numbered from here on, units below.
+CHUNKS = 1 << 30
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
+_CACHE = WordHashes()
 
 
 def unit_spans(text: bytes, sentences: bool = True) -> list[tuple[int, int]]:
@@ -38,6 +56,41 @@ def unit_spans(text: bytes, sentences: bool = True) -> list[tuple[int, int]]:
     return [(a, b) for a, b in spans if text[a:b].split()]
 
 
+def chunk_starts(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
+    """The words at which chunks start, from the hashes of a text's words."""
+    pairs = hashes.copy()
+    pairs[:-1] += hashes[1:] * _FACTOR
+    pairs = mix(pairs)
+    start = np.ones(len(pairs), bool)
+    for k in range(1, min(reach, len(pairs) - 1) + 1):
+        before, after = pairs[:-k], pairs[k:]
+        start[k:] &= after < before
+        start[:-k] &= before <= after
+    start[:1] = True
+    return np.flatnonzero(start)
+
+
+def word_chunks(words: list[bytes], counts: list[int]):
+    """The hashes of a text's words, the words at which chunks start, and which chunks count.
+
+    ``words`` are lower-cased, ``counts`` has the words of each unit; units end chunks.
+    """
+    hashes = _CACHE.of(words)
+    sizes = np.array(counts, np.int64)
+    ends = np.cumsum(sizes)
+    starts = np.union1d(chunk_starts(hashes), ends - sizes)
+    return hashes, starts, sizes[np.searchsorted(ends, starts, side="right")] > SHORT
+
+
+def chunk_digests(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The 128-bit digest of each chunk as two int64."""
+    sizes = np.diff(np.append(starts, len(hashes)))
+    power = np.cumprod(np.full(sizes.max(initial=0), _FACTOR))
+    place = power[np.arange(len(hashes)) - np.repeat(starts, sizes)]
+    halves = [np.add.reduceat(mix(hashes ^ salt) * place, starts) for salt in _SALTS]
+    return np.column_stack(halves).view(np.int64)
+
+
 _UNIT = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -55,19 +108,30 @@ def text_key(text: Column) -> Column:
 
 
 def units(docs: DataFrame, sentences: bool = True) -> DataFrame:
-    """(doc_id, key, unit, h1, h2): the 128-bit digest of each unit, A-Z lower-cased and white
-    space collapsed; ``docs`` has doc_id, key and text."""
+    """(doc_id, key, unit, h1, h2): the 128-bit digest of each unit and chunk, A-Z lower-cased
+    and white space collapsed; ``docs`` has doc_id, key and text.  Lines have no chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in slices(batches):
-            rows, numbers, digests = [], [], []
-            for i, text in enumerate(utf8(x.column("text"))):
+            rows, numbers, digests, chunks = [], [], [], []
+            texts = utf8(x.column("text"))
+            for i, text in enumerate(texts):
+                words, counts = [], []
                 for n, (a, b) in enumerate(unit_spans(text or b"", sentences)):
-                    unit = b" ".join(text[a:b].lower().split())
+                    unit = text[a:b].lower().split()
                     rows.append(i)
                     numbers.append(n)
-                    digests.append(xxhash.xxh3_128_digest(unit))
+                    digests.append(xxhash.xxh3_128_digest(b" ".join(unit)))
+                    words += unit
+                    counts.append(len(unit))
+                if sentences and max(counts, default=0) > SHORT:
+                    hashes, starts, cut = word_chunks(words, counts)
+                    chunks.append((i, chunk_digests(hashes, starts)[cut], np.flatnonzero(cut)))
+            for i, _, cut in chunks:
+                rows += [i] * len(cut)
+                numbers += (cut + CHUNKS).tolist()
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            halves = np.concatenate([halves, *(c[1] for c in chunks)])
             rows = pa.array(rows, pa.int64())
             yield batch(
                 _UNIT,
@@ -82,16 +146,15 @@ def units(docs: DataFrame, sentences: bool = True) -> DataFrame:
 
 
 def repeated_units(docs: DataFrame, sentences: bool = True) -> DataFrame:
-    """(doc_id, key, units): the numbers of a document's units that occurred before."""
+    """(doc_id, key, units): the numbers of a document's units and chunks that occurred before."""
     cut = units(docs, sentences)
+    # half a digest tells most units that occur once; what is left is small
+    many = cut.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1")
+    again = stage(cut.join(many, "h1", "left_semi"), "again")
     place = F.struct("doc_id", "key", "unit")
-    firsts = (
-        cut.groupBy("h1", "h2")
-        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-    )
+    firsts = again.groupBy("h1", "h2").agg(F.min(place).alias("first"))
     return (
-        cut.join(firsts, ["h1", "h2"])
+        again.join(firsts, ["h1", "h2"])
         .where(~place.eqNullSafe(F.col("first")))
         .groupBy("doc_id", "key")
         .agg(F.collect_set("unit").alias("units"))
@@ -117,6 +180,35 @@ def _cut_runs(text: bytes, repeated: set[int], words: int, sentences: bool):
     return ranges
 
 
+def _cut_chunks(text: bytes, repeated: set[int], words: int, taken: list[tuple[int, int]]):
+    """``taken`` with runs of repeated chunks and short units, as far as they lie outside of it and
+    have at least ``words`` words there; ranges that touch become one."""
+    spans = [m.span() for m in _WORD.finditer(text)]
+    counts = [len(text[a:b].split()) for a, b in unit_spans(text)]
+    bounds = np.append(word_chunks(text.lower().split(), counts)[1], len(spans)).tolist()
+    places = np.cumsum([0, *counts]).tolist()
+    free = np.zeros(len(spans) + 1, bool)
+    for n in repeated:
+        at, n = (places, n) if n < CHUNKS else (bounds, n - CHUNKS)
+        if at is bounds or counts[n] <= SHORT:
+            free[at[n] : at[n + 1]] = True
+    begins = [a for a, _ in spans]
+    for a, b in taken:
+        free[bisect_left(begins, a) : bisect_left(begins, b)] = False
+    edges = np.flatnonzero(np.diff(free, prepend=False)).reshape(-1, 2)
+    found = [
+        (begins[a], begins[b] if b < len(spans) else len(text))
+        for a, b in edges.tolist()
+        if b - a >= words
+    ]
+    ranges: list[tuple[int, int]] = []
+    for a, b in sorted([*taken, *found]):
+        if ranges and ranges[-1][1] == a:
+            a = ranges.pop()[0]
+        ranges.append((a, b))
+    return ranges
+
+
 _OUT = "clean_text string, spans array<struct<start:int,end:int>>, n_removed_chars bigint"
 
 
@@ -160,7 +252,12 @@ def remove_repeats(
             for text, listed in zip(utf8(x.column("text")), x.column("units"), strict=True):
                 ranges = []
                 if text and listed.is_valid:
-                    ranges = _cut_runs(text, set(listed.as_py()), run_words, sentences)
+                    numbers = set(listed.as_py())
+                    ranges = _cut_runs(text, numbers, run_words, sentences)
+                    # so many words take up twice as many bytes, less one
+                    rest = len(text) - sum(b - a for a, b in ranges)
+                    if max(numbers) >= CHUNKS and rest >= 2 * run_words - 1:
+                        ranges = _cut_chunks(text, numbers, run_words, ranges)
                 offsets, at, points, parts = [], 0, 0, []
                 for a, b in ranges:
                     parts.append(text[at:a])

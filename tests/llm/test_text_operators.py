@@ -278,6 +278,20 @@ def test_texts_under_one_id_and_null_ids_are_apart(spark):
             assert sum(prose(30, seed) in c for c in clean) == 1
 
 
+def test_passages_inside_of_sentences(spark):
+    passage = prose(60, 9, 4000)
+    texts = [f"{prose(20, k, 4000)} {passage} {prose(20, 100 + k, 4000)}." for k in range(20, 30)]
+    texts += [prose(300, 31, 4000), f"{prose(30, 32, 4000)}, {prose(20, 33, 4000)}"]
+    got = substrings.remove_repeats(frame(spark, texts), keep=["doc_id"]).orderBy("row.doc_id").collect()
+    clean = [r["clean_text"] for r in got]
+    assert [clean[0], *clean[10:]] == [texts[0], *texts[10:]]
+    for k in range(1, 10):
+        (span,) = got[k]["spans"]
+        gone = texts[k][span["start"] : span["end"]]
+        assert gone in passage and len(gone.split()) >= 25
+        assert clean[k] == texts[k].replace(gone, "")
+
+
 # --- chat --------------------------------------------------------------------------------
 
 
