@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelworks.llm import (
@@ -18,6 +18,7 @@ from panelworks.llm import (
     sharding,
     substrings,
     urls,
+    variants,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,3 +224,17 @@ def op9_line_frequency(spark, folder):
         "base_failed",
         "kept",
     )
+
+
+def _typos(doc_id: Column, word: Column) -> Column:
+    """One occurrence in 199 loses a code point."""
+    h = F.crc32(F.concat(doc_id, F.lit(":"), word))
+    at = F.pmod(h, F.char_length(word)).cast("int")
+    shorter = F.concat(F.left(word, at), F.substr(word, at + 2))
+    return F.when(h % 199 == 0, shorter).otherwise(word)
+
+
+@register("op12_spelling_variants")
+def op12_spelling_variants(spark, folder):
+    counts = variants.count_words(table(spark, folder, "documents"), _typos)
+    return variants.spelling_variants(counts)
