@@ -15,11 +15,13 @@ from panelworks.llm import (
     packing,
     partenum,
     quality,
+    repair,
     sharding,
     substrings,
     urls,
     variants,
 )
+from panelworks.operators.ranking import join_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -238,3 +240,41 @@ def _typos(doc_id: Column, word: Column) -> Column:
 def op12_spelling_variants(spark, folder):
     counts = variants.count_words(table(spark, folder, "documents"), _typos)
     return variants.spelling_variants(counts)
+
+
+def _damaged(turns: DataFrame) -> DataFrame:
+    """Rows of ``conversations`` dropped, emptied, cut, repeated or given the role of a user."""
+    number = F.coalesce(F.col("turn").cast("string"), F.lit(" "))
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), number)
+    kind = F.crc32(key) % 20
+    text = F.coalesce("text", F.lit(" "))
+    copies = F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return turns.where(kind != 0).select(
+        F.col("conv_id").cast("bigint").alias("conv_id"),
+        F.col("turn").cast("bigint").alias("turn"),
+        F.when(kind == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(kind == 1, "")
+        .when(kind == 2, F.regexp_replace(text, "[.!?]", ""))
+        .otherwise(text)
+        .alias("text"),
+        F.explode(copies).alias("copy"),
+    ).drop("copy")
+
+
+@register("op13_structure_repair")
+def op13_structure_repair(spark, folder):
+    turns = table(spark, folder, "conversations")
+    rows, conversations = repair.repair(_damaged(turns))
+    found = join_groups(
+        turns.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct(),
+        join_groups(conversations, repair.digests(rows), ["conv_id"], "inner"),
+        ["conv_id"],
+        "left",
+    )
+    counts = ("gaps", *repair.FAULTS, "illegal", "cost")
+    return found.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
