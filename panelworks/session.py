@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,14 +69,62 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# Removes the shuffle files of a query when it ends, instead of at some later garbage collection.
+_CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# Folders that the operators running now have stored, innermost operator last.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read from there.
 
-    What is computed once stays the same when an executor is lost and tasks run again.
+    What is computed once stays the same when an executor is lost and tasks run again.  The
+    shuffle files of the query go with its end.
     """
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    before = spark.conf.get(_CLEAN_SHUFFLES, None)
+    spark.conf.set(_CLEAN_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN_SHUFFLES)
+        else:
+            spark.conf.set(_CLEAN_SHUFFLES, before)
+    if scopes := _scopes.get():
+        scopes[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def tidy(operator: Callable) -> Callable:
+    """Decorates an operator that returns a DataFrame, or a tuple of them: folders it stored
+    on the way are removed when it returns, except for those that its results read.
+
+    What the results read belongs to the operator around it, if there is one.
+    """
+
+    @wraps(operator)
+    def run(*args, **kwargs):
+        own: list[str] = []
+        token = _scopes.set((*_scopes.get(), own))
+        try:
+            result = operator(*args, **kwargs)
+        finally:
+            _scopes.reset(token)
+        frames = [x for x in (result if isinstance(result, tuple) else (result,)) if x is not None]
+        if own and frames:
+            files = [file for x in frames for file in x.inputFiles()]
+            read = {file.rsplit("/panelworks/", 1)[-1].split("/")[0] for file in files}
+            kept = [path for path in own if path.rsplit("/", 1)[-1] in read]
+            for path in set(own) - set(kept):
+                remove(frames[0].sparkSession, path)
+            if scopes := _scopes.get():
+                scopes[-1].extend(kept)
+        return result
+
+    return run
 
 
 def remove(spark: SparkSession, path: str, only_empty: bool = False) -> None:
