@@ -14,6 +14,7 @@ from panelworks.llm import (
     language,
     packing,
     partenum,
+    passages,
     quality,
     repair,
     sharding,
@@ -228,6 +229,18 @@ def op9_line_frequency(spark, folder):
     )
 
 
+@register("op11_suffix_dedup")
+def op11_suffix_dedup(spark, folder):
+    done = passages.remove_repeated_bytes(table(spark, folder, "documents"), keep=["doc_id"])
+    return done.select(
+        "row.doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def _typos(doc_id: Column, word: Column) -> Column:
     """One occurrence in 199 loses a code point."""
     h = F.crc32(F.concat(doc_id, F.lit(":"), word))
