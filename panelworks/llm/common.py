@@ -11,21 +11,27 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from panelworks.session import stored as stage
 
 __all__ = [
+    "BYTES",
+    "FACTOR",
     "SLICE_BYTES",
     "SPACES",
     "WORDS",
     "batch",
     "map_batches",
+    "merged",
     "mix",
+    "powers",
     "ship",
     "slices",
     "stage",
+    "text_key",
     "utf8",
 ]
 
@@ -57,6 +63,11 @@ def map_batches(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def text_key(text: Column) -> Column:
+    """Tells the rows of one id, or without an id, apart by their texts."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
@@ -95,3 +106,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+# An odd factor for polynomial hashes modulo 2 ** 64, and what each byte counts in them.
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+BYTES = mix(np.arange(1, 257, dtype=np.uint64) * FACTOR)
+_powers: list[np.ndarray] = []
+
+
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of :data:`FACTOR` and of its inverse modulo 2 ** 64."""
+    if not _powers or len(_powers[0]) < size:
+        _powers.clear()
+        for factor in (int(FACTOR), pow(int(FACTOR), -1, 1 << 64)):
+            steps = np.full(size, factor, np.uint64)
+            steps[0] = 1
+            _powers.append(np.cumprod(steps))
+    return _powers[0][:size], _powers[1][:size]
+
+
+def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The ranges [start, end) in ascending order, those that meet joined."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(ranges):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelworks.llm.common import batch, map_batches, mix, slices, stage, utf8
+from panelworks.llm.common import BYTES, batch, map_batches, merged, mix, powers, slices, stage, utf8
 from panelworks.llm.deepshallow import common_prefix, deep_shallow
 from panelworks.session import tidy
 
@@ -42,27 +42,13 @@ HOT = 50_000
 # Bytes that are turned into arrays at once; a longer text is looked at in overlapping pieces.
 PIECE = 1 << 20
 
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _FACTOR)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the factor and of its inverse modulo 2 ** 64."""
-    if len(_powers.get("up", ())) < size:
-        inverse = pow(int(_FACTOR), -1, 1 << 64)
-        for name, factor in (("up", int(_FACTOR)), ("down", inverse)):
-            steps = np.full(size, factor, np.uint64)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps)
-    return _powers["up"][:size], _powers["down"][:size]
 
 
 def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
     """A hash of each ``gram`` bytes of an array of bytes."""
-    up, down = _power(len(raw))
-    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[raw] * up)])
+    up, down = powers(len(raw))
+    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTES[raw] * up)])
     return mix((upto[gram:] - upto[:-gram]) * down[: len(raw) - gram + 1])
 
 
@@ -366,17 +352,6 @@ def repeated_ranges(
     return stage(listed, "ranges")
 
 
-def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Maximal runs of bytes that are in a range."""
-    out: list[tuple[int, int]] = []
-    for start, end in sorted(ranges):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((start, end))
-    return out
-
-
 _OUT = "n_bytes bigint, n_removed bigint, spans array<struct<start:int,end:int>>, kept binary"
 
 

@@ -1,217 +1,170 @@
-"""Substring deduplication by hashing lines and the sentences in them.
-
-A text is cut into units: lines, and within a line sentences.  Units are normalised and
-hashed, digests are grouped over all documents, and the occurrence with the smallest (id,
-text key, unit number) stays.  A run of neighbouring units that all occurred before is removed
-when it has enough words, so short phrases that recur by chance are left alone.  Offsets
+"""Substring deduplication by hashing lines, sentences and the pieces of long ones.
+
+A text is cut into units: lines, and within a line sentences.  Units of many words are cut
+further, before each word pair whose hash is the smallest nearby, so that a passage without
+sentence ends, or one that other text cuts into, has the same pieces up to a few words from its
+ends.  A window is a run of pieces with just enough words.  Windows are normalised and
+hashed, digests are grouped over all documents, and the occurrence with the smallest (id, text
+key, place) stays; the others are removed.  So all that is removed has occurred before, word by
+word and in one stretch, and short phrases that recur by chance are left alone.  Offsets
 of what was removed refer to the original text.
 
-A passage that other text cuts into, or without sentence ends, shares no whole unit.  So a text is
-cut into chunks too, before each word pair whose hash is the smallest nearby: in equal passages
-the cuts are the same a few words from their ends, whatever stands around.  Runs of repeated
-chunks are removed as far as no run of units holds them.  Units of few words are not cut further.
+Texts are cut once, in arrays; the places of the windows go with their digests.
 """
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelworks.llm.common import batch, map_batches, mix, slices, stage, utf8
-from panelworks.llm.shingles import WordHashes
+from panelworks.llm.common import (
+    BYTES,
+    FACTOR,
+    batch,
+    map_batches,
+    merged,
+    mix,
+    powers,
+    slices,
+    stage,
+    text_key,
+    utf8,
+)
+from panelworks.session import tidy
 
-# Words a run of repeated units must have to be removed.
+# Words of a window at least.
 RUN_WORDS = 25
-# Ends of units: a line end, or the white space after a full stop, question or exclamation mark.
-_END = re.compile(rb"\n+|(?<=[.!?])[\x20\t\x0b\x0c\r]+")
-_LINE_END = re.compile(rb"\n+")
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-# A chunk starts at a word pair whose hash is the smallest of so many before and after it; on
-# average it has 2 * REACH + 1 words.
+# A piece starts at a word pair whose hash is the smallest of so many before and after it in the
+# unit; on average it has 2 * REACH + 1 words.
 REACH = 4
-# Units of so many words or fewer have no chunks: of 50 words in such units, units hold RUN_WORDS.
-SHORT = (RUN_WORDS - 1) // 2
-# Chunks are numbered from here on, units below.
-CHUNKS = 1 << 30
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+# Units of so many words or fewer are one piece.
+SHORT = 8
 _SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
-_CACHE = WordHashes()
-
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_STOP = np.isin(np.arange(256), list(b".!?"))
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
-def unit_spans(text: bytes, sentences: bool = True) -> list[tuple[int, int]]:
-    """Byte ranges of the units; separators are between them, units without a word left out."""
-    spans, start = [], 0
-    for end in (_END if sentences else _LINE_END).finditer(text):
-        spans.append((start, end.start()))
-        start = end.end()
-    spans.append((start, len(text)))
-    return [(a, b) for a, b in spans if text[a:b].split()]
 
-
-def chunk_starts(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """The words at which chunks start, from the hashes of a text's words."""
+def piece_starts(hashes: np.ndarray, last: np.ndarray, reach: int = REACH) -> np.ndarray:
+    """The words at which pieces start, from the hashes of words and which words end units."""
+    unit = np.cumsum(last) - last
     pairs = hashes.copy()
-    pairs[:-1] += hashes[1:] * _FACTOR
+    pairs[:-1] += np.where(last[:-1], np.uint64(0), hashes[1:] * FACTOR)
     pairs = mix(pairs)
-    start = np.ones(len(pairs), bool)
+    start = np.bincount(unit)[unit] > SHORT if len(unit) else np.zeros(0, bool)
     for k in range(1, min(reach, len(pairs) - 1) + 1):
-        before, after = pairs[:-k], pairs[k:]
-        start[k:] &= after < before
-        start[:-k] &= before <= after
+        before, after, apart = pairs[:-k], pairs[k:], unit[:-k] != unit[k:]
+        start[k:] &= (after < before) | apart
+        start[:-k] &= (before <= after) | apart
     start[:1] = True
+    start[1:] |= last[:-1]
     return np.flatnonzero(start)
 
 
-def word_chunks(words: list[bytes], counts: list[int]):
-    """The hashes of a text's words, the words at which chunks start, and which chunks count.
+def text_windows(texts: list[bytes | None], run_words: int = RUN_WORDS, sentences: bool = True):
+    """(text, start, end, h1, h2) of the windows of a list of texts: which text, the byte
+    range up to the next word, and a 128-bit digest of the words, A-Z lower-cased.
 
-    ``words`` are lower-cased, ``counts`` has the words of each unit; units end chunks.
+    Without ``sentences`` the units are lines and are not cut further.
     """
-    hashes = _CACHE.of(words)
-    sizes = np.array(counts, np.int64)
-    ends = np.cumsum(sizes)
-    starts = np.union1d(chunk_starts(hashes), ends - sizes)
-    return hashes, starts, sizes[np.searchsorted(ends, starts, side="right")] > SHORT
-
-
-def chunk_digests(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The 128-bit digest of each chunk as two int64."""
-    sizes = np.diff(np.append(starts, len(hashes)))
-    power = np.cumprod(np.full(sizes.max(initial=0), _FACTOR))
-    place = power[np.arange(len(hashes)) - np.repeat(starts, sizes)]
-    halves = [np.add.reduceat(mix(hashes ^ salt) * place, starts) for salt in _SALTS]
-    return np.column_stack(halves).view(np.int64)
-
-
-_UNIT = pa.schema(
+    whole = b"\n".join([text or b"" for text in texts]) + b"\n"
+    sizes = np.array([len(text or b"") for text in texts], np.int64)
+    base = np.cumsum(sizes + 1) - sizes - 1
+    raw = np.frombuffer(whole, np.uint8)
+    space = _SPACE[raw]
+    begin = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    end = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1
+    count = len(begin)
+    up, down = powers(max(len(raw), count) + 1)
+    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTES[_LOWER[raw]] * up[: len(raw)])])
+    hashes = mix((upto[end] - upto[begin]) * down[begin])
+    lines = np.cumsum(raw == 10)
+    following = np.append(begin[1:], len(raw) - 1)
+    last = lines[following] > lines[end - 1]
+    if sentences:
+        last |= _STOP[raw[end - 1]]
+        starts = piece_starts(hashes, last)
+    else:
+        starts = np.flatnonzero(np.concatenate([[True], last[:-1]])) if count else begin
+    text = np.searchsorted(base, begin[starts], side="right") - 1
+    bounds = np.append(starts, count)
+    upto_text = np.searchsorted(begin, base + sizes)[text]
+    fits = starts + run_words <= upto_text
+    first, text = starts[fits], text[fits]
+    after = bounds[np.searchsorted(bounds, first + run_words)]
+    halves = []
+    for salt in _SALTS:
+        sums = np.cumsum(mix(hashes ^ salt) * up[:count])
+        sums = np.concatenate([np.zeros(1, np.uint64), sums])
+        halves.append(mix((sums[after] - sums[first]) * down[first]).view(np.int64))
+    ends_text = after == upto_text[fits]
+    stop = np.where(ends_text, base[text] + sizes[text], np.append(begin, 0)[after])
+    return text, begin[first] - base[text], stop - base[text], *halves
+
+
+_WINDOW = pa.schema(
     [
         ("doc_id", pa.int64()),
         ("key", pa.int64()),
-        ("unit", pa.int32()),
+        ("start", pa.int32()),
+        ("end", pa.int32()),
         ("h1", pa.int64()),
         ("h2", pa.int64()),
     ]
 )
 
 
-def text_key(text: Column) -> Column:
-    """Tells the rows of one id, or without an id, apart by their texts."""
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
-def units(docs: DataFrame, sentences: bool = True) -> DataFrame:
-    """(doc_id, key, unit, h1, h2): the 128-bit digest of each unit and chunk, A-Z lower-cased
-    and white space collapsed; ``docs`` has doc_id, key and text.  Lines have no chunks."""
+def windows(docs: DataFrame, run_words: int = RUN_WORDS, sentences: bool = True) -> DataFrame:
+    """(doc_id, key, start, end, h1, h2) per window; ``docs`` has doc_id, key and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in slices(batches):
-            rows, numbers, digests, chunks = [], [], [], []
-            texts = utf8(x.column("text"))
-            for i, text in enumerate(texts):
-                words, counts = [], []
-                for n, (a, b) in enumerate(unit_spans(text or b"", sentences)):
-                    unit = text[a:b].lower().split()
-                    rows.append(i)
-                    numbers.append(n)
-                    digests.append(xxhash.xxh3_128_digest(b" ".join(unit)))
-                    words += unit
-                    counts.append(len(unit))
-                if sentences and max(counts, default=0) > SHORT:
-                    hashes, starts, cut = word_chunks(words, counts)
-                    chunks.append((i, chunk_digests(hashes, starts)[cut], np.flatnonzero(cut)))
-            for i, _, cut in chunks:
-                rows += [i] * len(cut)
-                numbers += (cut + CHUNKS).tolist()
-            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            halves = np.concatenate([halves, *(c[1] for c in chunks)])
-            rows = pa.array(rows, pa.int64())
+            text, start, end, h1, h2 = text_windows(utf8(x.column("text")), run_words, sentences)
+            rows = pa.array(text)
             yield batch(
-                _UNIT,
+                _WINDOW,
                 doc_id=x.column("doc_id").take(rows),
                 key=x.column("key").take(rows),
-                unit=pa.array(numbers, pa.int32()),
-                h1=np.ascontiguousarray(halves[:, 0]),
-                h2=np.ascontiguousarray(halves[:, 1]),
+                start=start.astype(np.int32),
+                end=end.astype(np.int32),
+                h1=h1,
+                h2=h2,
             )
 
-    return map_batches(docs, run, "doc_id bigint, key bigint, unit int, h1 bigint, h2 bigint")
+    return map_batches(
+        docs, run, "doc_id bigint, key bigint, start int, end int, h1 bigint, h2 bigint"
+    )
 
 
-def repeated_units(docs: DataFrame, sentences: bool = True) -> DataFrame:
-    """(doc_id, key, units): the numbers of a document's units and chunks that occurred before."""
-    cut = units(docs, sentences)
-    # half a digest tells most units that occur once; what is left is small
+@tidy
+def repeated_windows(
+    docs: DataFrame, run_words: int = RUN_WORDS, sentences: bool = True
+) -> DataFrame:
+    """(doc_id, key, ranges): byte ranges of a document's windows that occurred before."""
+    cut = stage(windows(docs, run_words, sentences), "windows")
+    # half a digest tells most windows that occur once; what is left is small
     many = cut.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1")
     again = stage(cut.join(many, "h1", "left_semi"), "again")
-    place = F.struct("doc_id", "key", "unit")
+    place = F.struct("doc_id", "key", "start")
     firsts = again.groupBy("h1", "h2").agg(F.min(place).alias("first"))
-    return (
+    repeats = (
         again.join(firsts, ["h1", "h2"])
         .where(~place.eqNullSafe(F.col("first")))
         .groupBy("doc_id", "key")
-        .agg(F.collect_set("unit").alias("units"))
+        .agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
     )
-
-
-def _cut_runs(text: bytes, repeated: set[int], words: int, sentences: bool):
-    """Byte ranges to remove: runs of repeated units with at least ``words`` words."""
-    spans = unit_spans(text, sentences)
-    ranges, n = [], 0
-    while n < len(spans):
-        if n not in repeated:
-            n += 1
-            continue
-        last, count = n, 0
-        while last < len(spans) and last in repeated:
-            count += len(text[spans[last][0] : spans[last][1]].split())
-            last += 1
-        if count >= words:
-            end = spans[last][0] if last < len(spans) else len(text)
-            ranges.append((spans[n][0], end))
-        n = last
-    return ranges
-
-
-def _cut_chunks(text: bytes, repeated: set[int], words: int, taken: list[tuple[int, int]]):
-    """``taken`` with runs of repeated chunks and short units, as far as they lie outside of it and
-    have at least ``words`` words there; ranges that touch become one."""
-    spans = [m.span() for m in _WORD.finditer(text)]
-    counts = [len(text[a:b].split()) for a, b in unit_spans(text)]
-    bounds = np.append(word_chunks(text.lower().split(), counts)[1], len(spans)).tolist()
-    places = np.cumsum([0, *counts]).tolist()
-    free = np.zeros(len(spans) + 1, bool)
-    for n in repeated:
-        at, n = (places, n) if n < CHUNKS else (bounds, n - CHUNKS)
-        if at is bounds or counts[n] <= SHORT:
-            free[at[n] : at[n + 1]] = True
-    begins = [a for a, _ in spans]
-    for a, b in taken:
-        free[bisect_left(begins, a) : bisect_left(begins, b)] = False
-    edges = np.flatnonzero(np.diff(free, prepend=False)).reshape(-1, 2)
-    found = [
-        (begins[a], begins[b] if b < len(spans) else len(text))
-        for a, b in edges.tolist()
-        if b - a >= words
-    ]
-    ranges: list[tuple[int, int]] = []
-    for a, b in sorted([*taken, *found]):
-        if ranges and ranges[-1][1] == a:
-            a = ranges.pop()[0]
-        ranges.append((a, b))
-    return ranges
+    return stage(repeats, "repeats")
 
 
 _OUT = "clean_text string, spans array<struct<start:int,end:int>>, n_removed_chars bigint"
 
 
+@tidy
 def remove_repeats(
     docs: DataFrame,
     run_words: int = RUN_WORDS,
@@ -234,30 +187,24 @@ def remove_repeats(
         text_key(F.col(text_col)).alias("key"),
         F.col(text_col).alias("text"),
     )
-    repeated = stage(repeated_units(docs.select(*named), sentences), "repeats").select(
-        F.col("doc_id").alias("of"), F.col("key").alias("of_key"), "units"
+    repeated = repeated_windows(docs.select(*named), run_words, sentences).select(
+        F.col("doc_id").alias("of"), F.col("key").alias("of_key"), "ranges"
     )
     rows = docs.select(
         F.struct(*[F.col(c) for c in keep]).alias("row"),
         *named,
     )
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key"))
-    joined = rows.join(repeated, same, "left").select("row", "text", "units")
+    joined = rows.join(repeated, same, "left").select("row", "text", "ranges")
     schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL(_OUT).fields])
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in slices(batches):
             clean, spans, removed = [], [], []
-            for text, listed in zip(utf8(x.column("text")), x.column("units"), strict=True):
-                ranges = []
-                if text and listed.is_valid:
-                    numbers = set(listed.as_py())
-                    ranges = _cut_runs(text, numbers, run_words, sentences)
-                    # so many words take up twice as many bytes, less one
-                    rest = len(text) - sum(b - a for a, b in ranges)
-                    if max(numbers) >= CHUNKS and rest >= 2 * run_words - 1:
-                        ranges = _cut_chunks(text, numbers, run_words, ranges)
+            texts, lists = utf8(x.column("text")), x.column("ranges").to_pylist()
+            for text, listed in zip(texts, lists, strict=True):
+                ranges = merged([(r["start"], r["end"]) for r in listed or ()])
                 offsets, at, points, parts = [], 0, 0, []
                 for a, b in ranges:
                     parts.append(text[at:a])
