@@ -34,9 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelworks.llm.common import batch, map_batches, mix, ship, slices, stage
+from panelworks.llm.common import batch, map_batches, mix, ship, slices, stage, text_key
 from panelworks.llm.components import connected
 from panelworks.llm.shingles import WIDTH, distinct_shingles, set_keys
+from panelworks.session import tidy
 
 # Similarity as a fraction, so that all comparisons are exact.
 SIMILARITY = (80, 100)
@@ -89,7 +90,7 @@ def _scheme(distance: int, smallest: int) -> tuple[int, int, int, int]:
 
 @lru_cache(maxsize=8)
 def bands(similarity: tuple[int, int] = SIMILARITY, largest: int = 1 << 27) -> list[Band]:
-    """Size bands from 1 up; growing by 1 / similarity they are few for any size."""
+    """Size bands from 1 up to ``largest`` at least; larger sets are an error."""
     a, b = similarity
     out, low, before = [], 1, 1
     while low <= largest:
@@ -218,6 +219,8 @@ def _one_partition(shingles, starts, used, rows, number, band, seed):
 def band_numbers(sizes: np.ndarray, similarity=SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
     """Own band of each set, and the next one if a partner can lie there; -1 for none."""
     table = bands(similarity)
+    if sizes.size and sizes.max() > table[-1].high:
+        raise ValueError(f"a set of {sizes.max()} shingles is larger than {table[-1].high}")
     lows = np.array([x.low for x in table])
     own = np.searchsorted(lows, sizes, side="right") - 1
     a, b = similarity
@@ -228,7 +231,7 @@ def band_numbers(sizes: np.ndarray, similarity=SIMILARITY) -> tuple[np.ndarray,
 
 # --- stages ----------------------------------------------------------------------------
 
-_CLASS = pa.schema([(name, pa.int64()) for name in ("doc_id", "n", "k1", "k2", "slack")])
+_CLASS = pa.schema([(name, pa.int64()) for name in ("doc_id", "key", "n", "k1", "k2", "slack")])
 _SIG = pa.schema([("sig", pa.int64()), ("k1", pa.int64())])
 _SET = pa.schema([("rep", pa.int64()), ("items", pa.list_(pa.int64()))])
 _BUCKET = pa.schema([("sig", pa.int64()), ("lead", pa.int64()), ("node", pa.int64())])
@@ -237,7 +240,7 @@ _BUCKET = pa.schema([("sig", pa.int64()), ("lead", pa.int64()), ("node", pa.int6
 def set_classes(
     docs: DataFrame, width: int = WIDTH, similarity: tuple[int, int] = SIMILARITY
 ) -> DataFrame:
-    """doc_id, size of the shingle set, its 128-bit key, and its :func:`slack`."""
+    """doc_id, key of the text, size of the shingle set, its 128-bit key, and its :func:`slack`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in slices(batches):
@@ -246,6 +249,7 @@ def set_classes(
             yield batch(
                 _CLASS,
                 doc_id=x.column("doc_id"),
+                key=x.column("key"),
                 n=np.diff(starts),
                 k1=k1,
                 k2=k2,
@@ -253,7 +257,29 @@ def set_classes(
             )
 
     return map_batches(
-        docs, run, "doc_id bigint, n bigint, k1 bigint, k2 bigint, slack bigint"
+        docs, run, "doc_id bigint, key bigint, n bigint, k1 bigint, k2 bigint, slack bigint"
+    )
+
+
+def class_table(classes: DataFrame) -> DataFrame:
+    """(k1, k2, rep, least, doc_id, key, n, slack) per set that is not empty.
+
+    rep is a number of its own, least the smallest id of the class; (doc_id, key) is
+    one of its documents, that with the smallest id if there are ids.
+    """
+    named = F.min_by("key", "doc_id")
+    return stage(
+        classes.where("n > 0")
+        .groupBy("k1", "k2")
+        .agg(
+            F.min("doc_id").alias("least"),
+            F.coalesce(named, F.min("key")).alias("key"),
+            F.min("n").alias("n"),
+            F.min("slack").alias("slack"),
+        )
+        .withColumn("doc_id", F.col("least"))
+        .withColumn("rep", F.monotonically_increasing_id()),
+        "reps",
     )
 
 
@@ -312,10 +338,9 @@ def buckets(sigs: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(rep, items) of the wanted representatives (rep, k1, k2).
+    """(rep, items) of the wanted representatives (rep, k1, k2, doc_id, key).
 
-    Rows that repeat an id may have another text, which is not the wanted set, or the same
-    text, of which a task returns one.
+    Of rows that repeat id and text a task returns one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,7 +360,9 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield batch(_SET, rep=x.column("rep").take(at), items=lists.take(at))
 
     small = wanted.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(wanted) if small else wanted, docs.doc_id == wanted.rep)
+    named = wanted.withColumnsRenamed({"doc_id": "of", "key": "of_key"})
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key"))
+    texts = docs.join(F.broadcast(named) if small else named, same)
     return map_batches(
         texts.select("rep", "k1", "k2", "text"), run, "rep bigint, items array<bigint>"
     )
@@ -528,33 +555,14 @@ def similar_pairs(items: np.ndarray, bounds: np.ndarray, label: np.ndarray, a: i
     return u, v
 
 
-def jaccard_components(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    width: int = WIDTH,
-    similarity: tuple[int, int] = SIMILARITY,
-) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id for each row.
-
-    Documents whose shingle sets are equal form a class, named by its smallest id.  Classes
-    are linked when their sets' similarity is at least ``similarity``; a component is named
-    by its smallest id.  Documents without words or with null text are
-    linked with nothing; a row without an id belongs to its class but never names it.
-    Rows that repeat an id count as one document.
-
-    Each set is first compared with the few leads it shares most buckets with.  Afterwards
-    only members of families that are still in different components are, block by
-    block, so no link between components is missed and no list of pairs is made.
-    """
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+@tidy
+def _labelled(
+    docs: DataFrame, width: int, similarity: tuple[int, int]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(classes, reps, labels) of documents (doc_id, key, text): a class row per document, the
+    distinct sets, and (node, label) for the reps that are linked with another."""
     classes = stage(set_classes(docs, width, similarity), "classes")
-    reps = stage(
-        classes.where("n > 0 and doc_id is not null")
-        .groupBy("k1", "k2")
-        .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("slack").alias("slack")),
-        "reps",
-    )
+    reps = class_table(classes)
     members = _members(stage(buckets(signature_rows(docs, width, similarity)), "buckets"), reps)
     most = Window.partitionBy("v").orderBy(F.desc("shared"), "u")
     pairs = stage(
@@ -567,7 +575,9 @@ def jaccard_components(
         "pairs",
     )
     involved = members.select("rep").distinct()
-    wanted = stage(reps.join(involved, "rep").select("rep", "k1", "k2"), "wanted")
+    wanted = stage(
+        reps.join(involved, "rep").select("rep", "k1", "k2", "doc_id", "key"), "wanted"
+    )
     sets = stage(_shingle_sets(docs, wanted, width), "sets")
     links = stage(_verified(pairs, sets, similarity), "links")
     labels = stage(connected(links), "labels")
@@ -576,23 +586,77 @@ def jaccard_components(
     )
     if not further.isEmpty():
         labels = stage(connected(links.union(further)), "labels")
-    component = F.when(F.col("n") > 0, F.coalesce("label", "rep", "doc_id")).otherwise(
-        F.col("doc_id")
+    return classes, reps, labels
+
+
+def _components(
+    docs: DataFrame, id_col: str, text_col: str, width: int, similarity: tuple[int, int]
+) -> DataFrame:
+    """doc_id, key, n, component (a number, null without words), least (id of the component)
+    and own (id of the class) for each row."""
+    text = F.col(text_col)
+    docs = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), text_key(text).alias("key"), text.alias("text")
+    )
+    classes, reps, labels = _labelled(docs, width, similarity)
+    placed = reps.join(labels, F.col("rep") == labels.node, "left").select(
+        "k1", "k2", F.col("least").alias("own"), F.coalesce("label", "rep").alias("component")
     )
+    least = placed.groupBy("component").agg(F.min("own").alias("least"))
     return (
-        classes.drop("slack").join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left")
-        .join(labels, F.col("rep") == labels.node, "left")
-        .select(
-            "doc_id",
-            F.col("n").alias("n_shingles"),
-            component.alias("component_id"),
-            F.coalesce("rep", "doc_id").alias("class_id"),
-        )
+        classes.drop("slack")
+        .join(placed.join(least, "component"), ["k1", "k2"], "left")
+        .select("doc_id", "key", "n", "component", "least", "own")
+    )
+
+
+def jaccard_components(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = WIDTH,
+    similarity: tuple[int, int] = SIMILARITY,
+) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id for each row.
+
+    Documents whose shingle sets are equal form a class, named by its smallest id.  Classes
+    are linked when their sets' similarity is at least ``similarity``; a component is named
+    by its smallest id.  Documents without words or with null text are
+    linked with nothing; a row without an id belongs to its class but never names it, and a
+    class or component without any id has none.  Rows of one id are documents of their
+    own: two texts under one id are not linked by it, though each may give a component that name.
+
+    Each set is first compared with the few leads it shares most buckets with.  Afterwards
+    only members of families that are still in different components are, block by
+    block, so no link between components is missed and no list of pairs is made.
+    """
+    found = _components(docs, id_col, text_col, width, similarity)
+    return found.select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("own")).otherwise(F.col("doc_id")).alias("class_id"),
     )
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document stays: the smallest id of each component."""
-    groups = jaccard_components(docs, id_col, text_col)
-    dropped = groups.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col))
-    return docs.join(dropped.distinct(), id_col, "left_anti").select(*docs.columns)
+    """The rows of ``docs`` whose document stays: that with the smallest id of each component.
+
+    Rows without an id come after those with one; rows of one id are ordered by a hash of their
+    texts.  Rows that repeat id and text are one document and stay or go together.
+    """
+    found = stage(_components(docs, id_col, text_col, WIDTH, SIMILARITY), "components").where(
+        F.col("component").isNotNull()
+    )
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    stays = found.groupBy("component").agg(F.min(place).alias("first"))
+    gone = (
+        found.join(stays, "component")
+        .where(~place.eqNullSafe(F.col("first")))
+        .select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key"))
+        .distinct()
+    )
+    here = F.col(id_col).cast("bigint").eqNullSafe(F.col("gone_id")) & (
+        text_key(F.col(text_col)) == F.col("gone_key")
+    )
+    return docs.join(gone, here, "left_anti").select(*docs.columns)

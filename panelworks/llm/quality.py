@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from panelworks.llm import partenum
 from panelworks.llm.common import batch, map_batches, mix, slices, stage, utf8
+from panelworks.session import tidy
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
@@ -84,6 +85,7 @@ def document_lines(docs: DataFrame) -> DataFrame:
     return map_batches(docs, run, "host string, line bigint, document bigint")
 
 
+@tidy
 def _as_near_groups(docs: DataFrame, limits: Limits) -> tuple[DataFrame, DataFrame] | None:
     """(host, line, document) and (host, document) where ``document`` is a group of near copies.
 
@@ -104,6 +106,9 @@ def _as_near_groups(docs: DataFrame, limits: Limits) -> tuple[DataFrame, DataFra
     )
     if common.isEmpty():
         return None
+    # hosts without such a line have no boilerplate, whatever their groups are
+    hosts = common.select("of").distinct()
+    docs = docs.join(hosts, F.col("host").eqNullSafe(F.col("of")), "left_semi")
     found = partenum.jaccard_components(docs, "document")
     groups = stage(
         found.select(F.col("doc_id").alias("document"), F.col("component_id").alias("near")).distinct(),

@@ -166,6 +166,24 @@ def test_repeated_ids_and_null_ids(spark):
     assert got == sorted([(4, 4), (4, 4), (None, 4), (9, 4), (None, None)], key=repr)
 
 
+def test_rows_of_one_id_or_without_are_told_apart(spark):
+    base, alone = prose(40, 2), prose(40, 3)
+    docs = spark.createDataFrame(
+        [(1, base), (2, base + " end"), (2, alone), (None, alone + " a"), (None, prose(50, 4)),
+         (None, prose(50, 4) + " b"), (3, None), (None, None), (None, "")],
+        "doc_id bigint, text string",
+    )
+    got = rows(partenum.jaccard_components(docs).select("doc_id", "n_shingles", "component_id"))
+    assert got == sorted(
+        [(1, 36, 1), (2, 37, 1), (2, 36, 2), (None, 37, 2), (None, 46, None), (None, 47, None),
+         (3, 0, 3), (None, 0, None), (None, 0, None)],
+        key=repr,
+    )
+    kept = rows(partenum.drop_near_copies(docs))
+    (one,) = [r for r in kept if r[1] and r[1].startswith(prose(50, 4))]
+    assert kept == sorted([(1, base), (2, alone), one, (3, None), (None, None), (None, "")], key=repr)
+
+
 def test_connected_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]
