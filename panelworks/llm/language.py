@@ -145,35 +145,47 @@ def _gradients(net: Network, x: np.ndarray, target: np.ndarray, weight: np.ndarr
 
 
 def predict(net: Network, tables: tuple[np.ndarray, np.ndarray], texts: list[bytes]) -> np.ndarray:
-    """(texts, languages): mean probabilities over all windows of each whole text."""
+    """(texts, languages): mean probabilities over all windows of each whole text.
+
+    Windows overlap, so that a filter of any width sees each place of the text.
+    """
     lengths = np.array([len(t) for t in texts], np.int64)
-    windows = np.maximum(1, -(-lengths // WINDOW))
+    stride = WINDOW - max(WIDTHS) + 1
+    windows = np.maximum(1, -(-(lengths - max(WIDTHS) + 1) // stride))
     first = np.cumsum(windows) - windows
-    raw = np.zeros(int(windows.sum()) * WINDOW, np.uint8)
-    for text, at in zip(texts, first, strict=True):
-        raw[at * WINDOW : at * WINDOW + len(text)] = np.frombuffer(text, np.uint8)
-    raw = raw.reshape(-1, WINDOW)
-    scores = np.concatenate(
-        [_score(net, tables, raw[i : i + TOGETHER]) for i in range(0, len(raw), TOGETHER)]
-    )
     owner = np.repeat(np.arange(len(texts)), windows)
     inside = np.arange(len(owner)) - first[owner]
-    share = np.clip(lengths[owner] - inside * WINDOW, 1, WINDOW)
+    # each text is padded to its last window's end
+    sizes = (windows - 1) * stride + WINDOW
+    begins = np.cumsum(sizes) - sizes
+    padded = np.zeros(int(sizes.sum()), np.uint8)
+    for text, at in zip(texts, begins, strict=True):
+        padded[at : at + len(text)] = np.frombuffer(text, np.uint8)
+    places = begins[owner] + inside * stride
+    scores = np.concatenate(
+        [
+            _score(net, tables, padded[places[i : i + TOGETHER, None] + np.arange(WINDOW)])
+            for i in range(0, len(places), TOGETHER)
+        ]
+    )
+    share = np.clip(lengths[owner] - inside * stride, 1, WINDOW)
     total = np.add.reduceat(scores * share[:, None], first, axis=0)
     return total / total.sum(1, keepdims=True)
 
 
 def _score(net: Network, tables: tuple[np.ndarray, np.ndarray], raw: np.ndarray) -> np.ndarray:
     near, far = tables
-    x = np.ascontiguousarray(net.symbol[raw].T)
+    x = np.zeros((WINDOW + 2, len(raw)), net.symbol.dtype)
+    x[:WINDOW] = net.symbol[raw].T
     pair = x[:-1] * len(net.embedding) + x[1:]
     best = np.full((len(raw), near.shape[1]), -np.inf, np.float32)
     out, more = np.empty_like(best), np.empty((len(raw), far.shape[1]), np.float32)
-    for i in range(WINDOW - max(WIDTHS) + 1):
+    for i in range(WINDOW - min(WIDTHS) + 1):
         np.take(near, pair[i], axis=0, out=out, mode="clip")
         np.take(far, pair[i + 2], axis=0, out=more, mode="clip")
         out[:, FILTERS:] += more
-        np.maximum(best, out, out=best)
+        fit = sum(i + width <= WINDOW for width in WIDTHS) * FILTERS  # the others reach too far
+        np.maximum(best[:, :fit], out[:, :fit], out=best[:, :fit])
     return _softmax(np.maximum(best + net.bias, 0) @ net.dense + net.dense_bias)
 
 
