@@ -6,7 +6,8 @@ it expands to.  The result has one row per turn; a conversation's text is the co
 its rows in the order of turns, so a conversation is never gathered in memory.
 
 Template: ``<|im_start|>role\\n`` content ``<|im_end|>\\n``.  Within texts and roles a backslash is
-doubled and ``<|`` becomes ``<\\|``, so control strings of the template cannot occur in them.
+doubled and ``<|`` becomes ``<\\|``, also where two parts meet, so control strings of the template
+cannot occur in them.
 """
 
 from __future__ import annotations
@@ -90,6 +91,12 @@ def text_parts(text: Column) -> Column:
     return F.array(part).cast(PARTS)
 
 
+def _joined(text: Column, part: Column) -> Column:
+    """A part after others; one that would complete a control string begins with a backslash."""
+    meets = F.endswith(text, F.lit("<")) & F.startswith(part, F.lit("|"))
+    return F.concat(text, F.when(meets, "\\").otherwise(""), part)
+
+
 def format_turns(
     turns: DataFrame, parts: Column | None = None, visitor: PartVisitor | None = None
 ) -> DataFrame:
@@ -106,7 +113,7 @@ def format_turns(
     shown = F.coalesce(F.transform(parts, visitor.visit), F.array())
     role = F.coalesce(F.col("role"), F.lit(""))
     rows = turns.select("conv_id", "turn", role.alias("role"), shown.alias("shown"))
-    content = F.array_join(F.transform("shown", lambda p: p["shown"]), "")
+    content = F.aggregate("shown", F.lit(""), lambda text, p: _joined(text, p["shown"]))
     opening = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
     attached = F.filter("shown", lambda p: p["type"].isin("image", "audio", "document"))
     is_loss = F.col("role") == ASSISTANT
