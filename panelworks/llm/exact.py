@@ -15,10 +15,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelworks.llm.common import SPACES, stage
+from panelworks.session import tidy
 
 # Bytes looked at before any text moves, bytes of the first level, growth per level.
 PEEK_BYTES = 64
@@ -104,19 +105,28 @@ def _split(active: DataFrame, size: int) -> DataFrame:
     )
 
 
+@tidy
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they are."""
-    kept = (
+    """The rows of ``docs`` that stay, all columns as they are.
+
+    Groups are those of :func:`radix_groups`, so no digest decides which texts are equal.  A
+    digest then finds the rows again: of rows that repeat an id with texts equal up to white
+    space, the one with the smallest text stays.
+    """
+    kept = stage(
         radix_groups(docs, id_col, text_col)
         .where("kept")
-        .select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_text"))
+        .select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_text")),
+        "kept",
     )
     keyed = docs.withColumn("_text_key", F.sha2(normalised(F.col(text_col)), 256))
     same = (F.col("_kept_id").eqNullSafe(F.col(id_col))) & (
         F.col("_kept_text") == F.col("_text_key")
     )
+    least = Window.partitionBy(id_col, "_text_key").orderBy(F.col(text_col))
     return (
         keyed.join(kept, same, "left_semi")
-        .dropDuplicates([id_col, "_text_key"])
+        .withColumn("_place", F.row_number().over(least))
+        .where("_place = 1")
         .select(*docs.columns)
     )
