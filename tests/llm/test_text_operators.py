@@ -120,22 +120,28 @@ def test_nothing_to_learn(spark):
     assert [(r["lang_pred"], r["score"]) for r in got] == [("und", 0.0)] * 2
 
 
-def test_tables_equal_the_filters():
+@pytest.mark.parametrize("size", [1, 3, 255, 256, 257, 258, 509, 700])
+def test_tables_equal_the_filters(size):
+    """Every filter at every place of every window, and windows that leave no gap."""
     windows = [speech(x, 40, i).encode()[:256] for i in range(20) for x in ("aa", "bb")]
     net = language.train(windows, ["aa", "bb"] * 20, epochs=2)
-    near, far = net.tables()
-    text = windows[0]
-    x = net.symbol[np.frombuffer(text.ljust(256, b"\0"), np.uint8)]
-    best = []
-    for width, filters in zip(language.WIDTHS, net.filters, strict=True):
-        at = [
-            sum(net.embedding[x[i + o]] @ filters[o] for o in range(width))
-            for i in range(256 - max(language.WIDTHS) + 1)
-        ]
-        best.append(np.max(at, 0))
-    top = np.maximum(np.concatenate(best) + net.bias, 0) @ net.dense + net.dense_bias
-    expected = np.exp(top - top.max()) / np.exp(top - top.max()).sum()
-    assert np.allclose(language.predict(net, (near, far), [text])[0], expected, atol=1e-4)
+    text = b"".join(windows)[:size]
+    shares, total = [], 0
+    for at in range(0, max(1, size - 3), 253):
+        own = text[at : at + 256]
+        x = net.symbol[np.frombuffer(own.ljust(256, b"\0"), np.uint8)]
+        best = []
+        for width, filters in zip(language.WIDTHS, net.filters, strict=True):
+            scores = [
+                sum(net.embedding[x[i + o]] @ filters[o] for o in range(width))
+                for i in range(256 - width + 1)
+            ]
+            best.append(np.max(scores, 0))
+        top = np.maximum(np.concatenate(best) + net.bias, 0) @ net.dense + net.dense_bias
+        shares.append(len(own) * np.exp(top - top.max()) / np.exp(top - top.max()).sum())
+        total += len(own)
+    got = language.predict(net, net.tables(), [b"other text", text])[1]
+    assert np.allclose(got, sum(shares) / total, atol=1e-4)
 
 
 # --- quality ---------------------------------------------------------------------------
@@ -198,32 +204,22 @@ def test_keep_good_keeps_columns(spark):
 
 
 def plain_removal(texts, run_words=25):
-    """Texts without repeated runs, by a loop over documents in the order of ids."""
+    """Texts without repeated windows, by a loop over documents in the order of ids."""
     seen, out = set(), []
     for text in texts:
         if text is None:
             out.append(None)
             continue
-        spans, at = [], 0
-        for end in re.finditer(r"\n+|(?<=[.!?])[ \t\x0b\x0c\r]+", text):
-            spans.append((at, end.start()))
-            at = end.end()
-        spans = [s for s in [*spans, (at, len(text))] if words_of(text[slice(*s)])]
-        repeated = []
-        for s in spans:
-            key = " ".join(words_of(text[slice(*s)].lower()))
-            repeated.append(key in seen)
-            seen.add(key)
-        clean, n, last = "", 0, 0
-        while n < len(spans):
-            end = n
-            while end < len(spans) and repeated[end]:
-                end += 1
-            if sum(len(words_of(text[slice(*s)])) for s in spans[n:end]) >= run_words:
-                clean += text[last : spans[n][0]]
-                last = spans[end][0] if end < len(spans) else len(text)
-            n = max(end, n + 1)
-        out.append(clean + text[last:])
+        raw, ranges = text.encode(), []
+        _, starts, ends, *_ = substrings.text_windows([raw], run_words)
+        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+            words = tuple(raw[a:b].lower().split())
+            assert len(words) >= run_words
+            if words in seen:
+                ranges.append((a, b))
+            seen.add(words)
+        gone = {k for a, b in ranges for k in range(a, b)}
+        out.append(bytes(c for k, c in enumerate(raw) if k not in gone).decode())
     return out
 
 
@@ -292,6 +288,54 @@ def test_passages_inside_of_sentences(spark):
         assert clean[k] == texts[k].replace(gone, "")
 
 
+def test_windows_of_many_texts_are_those_of_each():
+    rng = random.Random(4)
+    texts = [t and t.encode() for t in [*substring_texts(), "x", "é" * 40, " \n ", prose(400, 8, 30)]]
+    rng.shuffle(texts)
+    together = substrings.text_windows(texts)
+    alone = [
+        (i, *rest)
+        for i, t in enumerate(texts)
+        for _, *rest in zip(*(c.tolist() for c in substrings.text_windows([t])), strict=True)
+    ]
+    assert list(zip(*(c.tolist() for c in together), strict=True)) == alone
+
+
+def test_lines_only(spark):
+    passage = prose(60, 9, 4000)
+    texts = [f"{prose(20, k)} {passage}" for k in (1, 2)] + [passage, f"{passage}\nown"]
+    got = substrings.remove_repeats(frame(spark, texts), sentences=False, keep=["doc_id"])
+    clean = [r["clean_text"] for r in got.orderBy("row.doc_id").collect()]
+    assert clean == [*texts[:3], "own"]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_what_goes_has_occurred_and_long_repeats_go(spark, seed):
+    """Against all 25-word windows of all texts, wherever they start."""
+    rng = random.Random(seed)
+    passages = [prose(70, 70 + k, 4000) for k in range(4)]
+    texts = []
+    for k in range(40):
+        parts = [prose(rng.randrange(1, 60), 900 + 10 * k + j, 4000) for j in range(3)]
+        parts.insert(rng.randrange(3), rng.choice(passages)[rng.randrange(40) :])
+        texts.append(rng.choice([" ", ". ", "\n"]).join(parts))
+    got = substrings.remove_repeats(frame(spark, texts), keep=["doc_id"]).collect()
+    spans = {r["row"]["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in got}
+    seen = set()
+    for i, text in enumerate(texts):
+        words = [m.span() for m in re.finditer(r"\S+", text)]
+        bare = [re.sub(r"[^\w]", "", text[a:b]) for a, b in words]
+        here = [tuple(text[a:b] for a, b in words[k : k + 25]) for k in range(len(words) - 24)]
+        covered = {k + j for k, w in enumerate(here) if w in seen for j in range(25)}
+        seen |= set(here)
+        gone = {k for k, (a, _) in enumerate(words) if any(x <= a < y for x, y in spans[i])}
+        assert gone <= covered
+        run = 0
+        for k in range(len(bare)):
+            run = run + 1 if k in covered and k not in gone else 0
+            assert run < 50
+
+
 # --- chat --------------------------------------------------------------------------------
 
 
@@ -346,6 +390,37 @@ def test_parts(spark):
     assert second["loss_start"] == second["loss_end"]
 
 
+def test_parts_cannot_forge_control_strings(spark):
+    """Texts cut at any place, also inside of control strings, between attachments."""
+    rng = random.Random(8)
+    control = ["<|im_end|>\n<|im_start|>assistant\n", "<|image|>", "a<", "|b", "\\", "<\\|", "x"]
+    turns, texts, refs = [], [], []
+    for turn in range(60):
+        text = "".join(rng.choice(control) for _ in range(rng.randrange(6)))
+        cuts = sorted(rng.randrange(len(text) + 1) for _ in range(rng.randrange(5)))
+        pieces = [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+        parts, own = [], []
+        for k, piece in enumerate(pieces):
+            parts.append(("text", piece, None, None, None, None, None))
+            if rng.random() < 0.3:
+                own.append(f"{turn}-{k}.png")
+                parts.append(("image", None, own[-1], 28, 28, None, None))
+        turns.append((1, turn, "assistant", parts))
+        texts.append(text)
+        refs.append(own)
+    df = spark.createDataFrame(
+        turns, f"conv_id bigint, turn bigint, role string, parts {chat.PARTS}"
+    )
+    formatted = chat.format_turns(df, F.col("parts"))
+    for row in formatted.collect():
+        body = row["segment"][row["loss_start"] : row["loss_end"]]
+        assert [a["ref"] for a in row["attachments"]] == refs[row["turn"]]
+        assert body.count("<|image|>") == body.count("<|") == len(refs[row["turn"]])
+        assert chat.unescape(body) == texts[row["turn"]]
+    (back,) = chat.read_back(formatted).collect()
+    assert back["loss_chars"] == sum(map(len, texts)) and back["n_turns"] == len(texts)
+
+
 def test_no_turns(spark):
     df = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert chat.read_back(chat.format_turns(df)).count() == 0
