@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelworks.llm import exact, packing, partenum, quality, substrings
 from panelworks.llm.common import stage
+from panelworks.session import tidy
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -56,9 +57,16 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL: str | None = None
 
 
+@tidy
+def _written(step: Stage, name: str, spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What a stage returns, stored; what it stored on the way is removed."""
+    return stage(step(spark, docs, sf_dir), name)
+
+
+@tidy
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of the ``documents`` table below ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        docs = _written(step, name, spark, docs, sf_dir)
     return docs
