@@ -2,6 +2,8 @@
 
 from panelworks.functions.moments import (
     common_pane,
+    interval_micros,
+    micros_of,
     name_stamp,
     rfc3339,
     truncated_to_millis,
@@ -25,11 +27,13 @@ __all__ = [
     "clamp",
     "common_pane",
     "error_category",
+    "interval_micros",
     "is_blank",
     "is_finite",
     "label_of",
     "lookup",
     "mean",
+    "micros_of",
     "min_max_score",
     "name_stamp",
     "plain_number",

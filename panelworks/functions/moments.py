@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Seconds per unit for plain interval texts such as "30 seconds".
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
@@ -32,8 +33,28 @@ def rfc3339(x: Column) -> Column:
     return F.when(F.typeof(x) == "timestamp_ntz", F.date_format(x, pattern)).otherwise(shifted)
 
 
+def _micros_of_second(x: Column) -> Column:
+    return (F.extract(F.lit("SECOND"), x) * 1_000_000).cast("bigint")
+
+
+def micros_of(x: Column, kind: T.DataType) -> Column:
+    """Microseconds since 1970; a time stamp without zone is read as UTC, and the session's time
+    zone plays no part."""
+    if not isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(x)
+    days = F.datediff(x.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    minutes = (days * 24 + F.hour(x)) * 60 + F.minute(x)
+    return minutes * 60_000_000 + _micros_of_second(x)
+
+
+def interval_micros(interval: str) -> int:
+    return seconds_of(interval) * 1_000_000
+
+
 def truncated_to_millis(x: Column) -> Column:
-    return F.date_trunc("millisecond", x)
+    """Without the microseconds below a millisecond; the type stays, and no zone plays a part."""
+    rest = (_micros_of_second(x) % 1000).cast("decimal(18,6)") / 1_000_000
+    return x - F.make_dt_interval(secs=rest.cast("decimal(18,6)"))
 
 
 def name_stamp(x: Column) -> Column:

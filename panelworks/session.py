@@ -113,15 +113,14 @@ def tidy(operator: Callable) -> Callable:
             result = operator(*args, **kwargs)
         finally:
             _scopes.reset(token)
-        frames = [x for x in (result if isinstance(result, tuple) else (result,)) if x is not None]
-        if own and frames:
-            files = [file for x in frames for file in x.inputFiles()]
-            read = {file.rsplit("/panelworks/", 1)[-1].split("/")[0] for file in files}
-            kept = [path for path in own if path.rsplit("/", 1)[-1] in read]
-            for path in set(own) - set(kept):
-                remove(frames[0].sparkSession, path)
-            if scopes := _scopes.get():
-                scopes[-1].extend(kept)
+        results = result if isinstance(result, tuple) else (result,)
+        files = [file for x in results if isinstance(x, DataFrame) for file in x.inputFiles()]
+        read = {file.rsplit("/panelworks/", 1)[-1].split("/")[0] for file in files}
+        kept = [path for path in own if path.rsplit("/", 1)[-1] in read]
+        for path in set(own) - set(kept):
+            remove(SparkSession.active(), path)
+        if scopes := _scopes.get():
+            scopes[-1].extend(kept)
         return result
 
     return run
@@ -133,3 +132,19 @@ def remove(spark: SparkSession, path: str, only_empty: bool = False) -> None:
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not only_empty or (system.exists(folder) and len(system.listStatus(folder)) == 0):
         system.delete(folder, True)
+
+
+def publish(spark: SparkSession, source: str, target: str, replace: bool) -> None:
+    """Make the files of the folder ``source`` those of ``target``, or add them to it."""
+    origin, goal = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (source, target))
+    system = origin.getFileSystem(spark._jsc.hadoopConfiguration())
+    if replace:
+        system.delete(goal, True)
+    if not system.exists(goal):
+        system.mkdirs(goal.getParent())
+        moved = system.rename(origin, goal)
+    else:
+        files = [x.getPath() for x in system.listStatus(origin) if not x.getPath().getName().startswith(("_", "."))]
+        moved = all(system.rename(x, goal) for x in files)
+    if not moved:
+        raise OSError(f"{source} could not be moved to {target}")

@@ -1,5 +1,6 @@
 from panelworks.streaming.flows import (
     WINDOW,
+    Tee,
     closing_record,
     counters,
     emergency_path,
@@ -18,6 +19,7 @@ from panelworks.streaming.flows import (
 
 __all__ = [
     "WINDOW",
+    "Tee",
     "closing_record",
     "counters",
     "emergency_path",

@@ -10,14 +10,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from panelworks.functions import common_pane, utc_instant
+from panelworks.functions import common_pane, interval_micros, micros_of, utc_instant
 from panelworks.operators.aggregate import run_stats
 from panelworks.operators.ranking import HEAVY_ROWS
 from panelworks.operators.windows import (
@@ -28,6 +28,15 @@ from panelworks.operators.windows import (
 )
 from panelworks.schema import PanelSpec
 from panelworks.session import remove
+from panelworks.sinks.commits import (
+    CommitLog,
+    Record,
+    batch_folder,
+    commit_batch,
+    commit_path,
+    committed,
+)
+from panelworks.sinks.files import TIMES, aggregated_path, write_counted
 
 log = logging.getLogger(__name__)
 
@@ -142,22 +151,11 @@ def for_each_batch(
     return _writer(df, checkpoint, every).foreachBatch(body).start()
 
 
-def batch_folder(path: str, batch_id: int) -> str:
-    return f"{path.rstrip('/')}/batch_id={batch_id}"
-
-
 def emergency_path(path: str) -> str:
     """Sibling folder for batches whose Parquet write failed."""
     return f"{path.rstrip('/')}_emergency.ndjson"
 
 
-def _write_counted(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Write and return how many rows went through, without running the plan for a test."""
-    seen = Observation()
-    write(rows.observe(seen, F.count(F.lit(1)).alias("n")))
-    return seen.get["n"]
-
-
 def flush_batch(
     batch: DataFrame,
     batch_id: int,
@@ -181,11 +179,11 @@ def flush_batch(
     spark = batch.sparkSession
     target, other = batch_folder(path, batch_id), batch_folder(emergency_path(path), batch_id)
     try:
-        n = _write_counted(batch, lambda rows: (write or parquet)(rows, target))
+        n = write_counted(batch, lambda rows: (write or parquet)(rows, target))
     except Exception:  # whatever the cause, the rows must not be lost
         log.exception("parquet flush of batch %s failed; writing %s", batch_id, other)
         target, other = other, target
-        n = _write_counted(batch, lambda rows: rows.write.mode("overwrite").json(target))
+        n = write_counted(batch, lambda rows: rows.write.mode("overwrite").json(target))
     remove(spark, other)
     if n == 0:
         remove(spark, target)
@@ -217,7 +215,7 @@ def flush_stream(
 def _write_windows(windows: DataFrame, path: str, batch_id: int) -> None:
     """Write a batch's windows to its folder; no folder if there are none."""
     target = batch_folder(path, batch_id)
-    if _write_counted(windows, lambda rows: rows.write.mode("overwrite").parquet(target)) == 0:
+    if write_counted(windows, lambda rows: rows.write.mode("overwrite").parquet(target)) == 0:
         remove(windows.sparkSession, target)
 
 
@@ -265,40 +263,120 @@ def tumbling_stream(
     return for_each_batch(tumbling_runs(df, duration, delay, spec), body, checkpoint, every)
 
 
-def progress_path(aggregate_path: str) -> str:
-    return f"{aggregate_path.rstrip('/')}_progress"
+def _ticks(rows: DataFrame, duration: str, spec: PanelSpec) -> Column:
+    """Start of a row's tick in microseconds since 1970, whatever the session's time zone."""
+    start = F.window(F.col(spec.at), duration).start
+    return micros_of(start, rows.schema[spec.at].dataType)
 
 
-def _closed_upto(spark: SparkSession, aggregate_path: str, before: int) -> str | None:
-    """Start of the first tick not yet closed, as text, by the batches before ``before``."""
-    try:
-        steps = spark.read.parquet(progress_path(aggregate_path))
-    except AnalysisException:  # no such folder: nothing was closed so far
-        return None
-    return steps.where(F.col("batch_id") < before).agg(F.max("upto")).first()[0]
+def _form(path: str) -> str:
+    return "json" if path.rstrip("/").endswith(".ndjson") else "parquet"
 
 
-def _write_closed(
-    rows: DataFrame, low: str | None, high: str, folder: str, keep: dict, spec: PanelSpec
-) -> None:
-    """Windows of the ticks in [low, high), which are complete."""
-    at, kind = F.col(spec.at), rows.schema[spec.at].dataType
-    ready = rows.where(at < F.lit(high).cast(kind))
-    if low is not None:
-        ready = ready.where(at >= F.lit(low).cast(kind))
-    hybrid_windows(ready, spec=spec, **keep).write.mode("overwrite").parquet(folder)
+def _write_form(rows: DataFrame, folder: str, form: str) -> int:
+    options = TIMES if form == "json" else {"compression": "zstd"}
+    return write_counted(
+        rows, lambda x: x.write.mode("overwrite").format(form).options(**options).save(folder)
+    )
 
 
-def _raw_rows(spark: SparkSession, raw_path: str, schema: T.StructType) -> DataFrame:
-    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(numbered).parquet(raw_path)
+@dataclass(frozen=True)
+class Tee:
+    """How a tee lays out and windows its rows; the same for a run and for its end."""
+
+    raw_path: str
+    aggregate_path: str
+    duration: str = "10 seconds"
+    size: int = 50
+    shard: Sequence[str] = ()
+    spec: PanelSpec = PanelSpec()
+    delay: str = "1 minute"
+
+    @property
+    def log_path(self) -> str:
+        return commit_path(self.raw_path)
+
+    def _windows(self, rows: DataFrame) -> DataFrame:
+        return hybrid_windows(rows, self.duration, self.size, self.shard, self.spec)
+
+    def _close(
+        self, spark: SparkSession, batch_id: int, schema: T.StructType, ticks: list[list[int]]
+    ) -> int:
+        """Window ticks, given as (batch, tick), reading just the folders they lie in."""
+        if not ticks:
+            remove(spark, batch_folder(self.aggregate_path, batch_id))
+            return 0
+        folders = [f"{batch_folder(self.raw_path, b)}/tick={t}" for b, t in ticks]
+        rows = spark.read.schema(schema).parquet(*folders)
+        target = batch_folder(self.aggregate_path, batch_id)
+        return _write_form(self._windows(rows), target, _form(self.aggregate_path))
+
+    def run_batch(self, batch: DataFrame, batch_id: int) -> None:
+        """Write a batch's raw rows by tick and the windows that it closes, in one commit."""
+        spark, schema = batch.sparkSession, T.StructType(batch.schema.fields)
+        log, spec = CommitLog(spark, self.log_path), self.spec
+
+        def write(last: Record | None) -> tuple[dict[str, int], dict]:
+            state = last.state if last else {"open": [], "upto": None, "at": None}
+            seen, raw = Observation(), batch_folder(self.raw_path, batch_id)
+            ticked = batch.withColumn("tick", _ticks(batch, self.duration, spec))
+            at = micros_of(F.col(spec.at), schema[spec.at].dataType)
+            ticked.observe(
+                seen,
+                F.count(F.lit(1)).alias("n"),
+                F.max(at).alias("at"),
+                F.collect_set("tick").alias("ticks"),
+            ).write.mode("overwrite").option("compression", "zstd").partitionBy("tick").parquet(raw)
+            count = seen.get["n"]
+            if count == 0:
+                remove(spark, raw)
+                return {}, state
+            latest = max(x for x in (state["at"], seen.get["at"]) if x is not None)
+            low = state["upto"]
+            step = interval_micros(self.duration)
+            high = (latest - interval_micros(self.delay)) // step * step
+            high = high if low is None else max(low, high)
+            # a row of a tick that is closed already is late: it stays in the raw output only
+            fresh = [[batch_id, t] for t in sorted(seen.get["ticks"]) if low is None or t >= low]
+            open_ = [*state["open"], *fresh]
+            closing = [x for x in open_ if x[1] < high]
+            done = self._close(spark, batch_id, schema, closing)
+            left = [x for x in open_ if x[1] >= high]
+            return {"raw": count, "windows": done}, {"open": left, "upto": high, "at": latest}
+
+        commit_batch(log, batch_id, write)
+
+    def finish(self, spark: SparkSession, schema: T.StructType) -> None:
+        """Window the ticks that are open; rows of these ticks that come later are late."""
+        log = CommitLog(spark, self.log_path)
+        last = log.latest()
+        if last is None or not last.state["open"]:
+            return
+        folder = -1 - last.seq  # of its own, which no batch replaces
+        done = self._close(spark, folder, schema, last.state["open"])
+        after = interval_micros(self.duration) + max(t for _, t in last.state["open"])
+        state = last.state | {"open": [], "upto": max(after, last.state["upto"])}
+        log.add(last.batch_id, {"windows": done}, state, folder)
+
+    def raw(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+        """Raw rows of committed batches."""
+        return committed(spark, self.raw_path, schema, "raw", self.log_path)
+
+    def windows(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+        """Windows of committed batches, and of ends of runs; ``schema`` is that of raw rows."""
+        shape = self._windows(spark.createDataFrame([], schema)).schema
+        form = _form(self.aggregate_path)
+        options = TIMES if form == "json" else None
+        return committed(
+            spark, self.aggregate_path, shape, "windows", self.log_path, form, options
+        )
 
 
 def tee_stream(
     df: DataFrame,
     raw_path: str,
-    aggregate_path: str,
-    checkpoint: str,
+    aggregate_path: str | None = None,
+    checkpoint: str | None = None,
     duration: str = "10 seconds",
     size: int = 50,
     shard: Sequence[str] = (),
@@ -309,57 +387,21 @@ def tee_stream(
     """Each micro-batch goes to the raw sink and, as window statistics, to a side output.
 
     Windows are those of the batch form, whatever the micro-batches: a tick is windowed once,
-    when event time has passed its end by ``delay``, over the raw rows of all batches so
-    far.  Rows of a tick that is closed already stay in the raw output only.
-    :func:`finish_tee` closes what is open at the end of a run.
+    when event time has passed its end by ``delay``.  Raw rows are laid out by tick, so
+    closing a tick reads that tick's rows only.  Rows of a tick that is closed already stay in
+    the raw output only.  Both outputs of a batch become visible by one commit; see
+    :class:`Tee` for readers.  Without ``aggregate_path`` windows go to NDJSON next to the raw
+    output.  :func:`finish_tee` closes what is open at the end of a run.
     """
-    schema = T.StructType(df.schema.fields)
-    keep = {"duration": duration, "size": size, "shard": shard}
-
-    def body(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        raw = batch_folder(raw_path, batch_id)
-        seen = Observation()
-        batch.observe(
-            seen, F.count(F.lit(1)).alias("n"), F.max(spec.at).cast("string").alias("last")
-        ).write.mode("overwrite").option("compression", "zstd").parquet(raw)
-        if seen.get["n"] == 0:
-            remove(spark, raw)
-            return
-        cut = F.lit(seen.get["last"]).cast(schema[spec.at].dataType) - F.expr(f"INTERVAL {delay}")
-        low = _closed_upto(spark, aggregate_path, batch_id)
-        high = _record(spark, aggregate_path, batch_id, cut, duration, low)
-        if low is None or high > low:
-            rows = _raw_rows(spark, raw_path, schema).where(F.col("batch_id") <= batch_id)
-            folder = batch_folder(aggregate_path, batch_id)
-            _write_closed(rows.drop("batch_id"), low, high, folder, keep, spec)
-
-    return for_each_batch(df, body, checkpoint, every)
-
-
-def _record(
-    spark: SparkSession,
-    aggregate_path: str,
-    batch_id: int,
-    cut: Column,
-    duration: str,
-    low: str | None,
-    step: str | None = None,
-) -> str:
-    """Note and return the start of the tick that holds ``cut``; it never goes back."""
-    tick = F.window("cut", duration).start.cast("string")
-    start = spark.range(1).select(cut.alias("cut")).select(tick.alias("start")).first()[0]
-    upto = max(start, low or "")
-    spark.range(1).select(
-        F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(upto).alias("upto")
-    ).write.mode("overwrite").parquet(f"{progress_path(aggregate_path)}/step={step or batch_id}")
-    return upto
+    side = aggregate_path or aggregated_path(raw_path)
+    tee = Tee(raw_path, side, duration, size, tuple(shard), spec, delay)
+    return for_each_batch(df, tee.run_batch, checkpoint or f"{raw_path}_checkpoint", every)
 
 
 def finish_tee(
     spark: SparkSession,
     raw_path: str,
-    aggregate_path: str,
+    aggregate_path: str | None = None,
     duration: str = "10 seconds",
     size: int = 50,
     shard: Sequence[str] = (),
@@ -369,19 +411,13 @@ def finish_tee(
 
     A later run goes on after them: rows that still belong to these ticks count as late.
     """
-    rows = spark.read.parquet(raw_path)
-    last = rows.agg(F.max("batch_id"), F.max(spec.at).cast("string")).first()
-    if last[0] is None:
-        return
-    low = _closed_upto(spark, aggregate_path, last[0] + 1)
-    end = F.lit(last[1]).cast(rows.schema[spec.at].dataType) + F.expr(f"INTERVAL {duration}")
-    high = _record(spark, aggregate_path, last[0], end, duration, low, f"end{last[0]}")
-    if low is not None and high <= low:
+    side = aggregate_path or aggregated_path(raw_path)
+    last = CommitLog(spark, commit_path(raw_path)).latest()
+    if last is None or not last.state["open"]:
         return
-    # a folder of its own, which no batch replaces
-    folder = batch_folder(aggregate_path, -1 - last[0])
-    keep = {"duration": duration, "size": size, "shard": shard}
-    _write_closed(rows.drop("batch_id"), low, high, folder, keep, spec)
+    batch, tick = last.state["open"][0]
+    schema = spark.read.parquet(f"{batch_folder(raw_path, batch)}/tick={tick}").schema
+    Tee(raw_path, side, duration, size, tuple(shard), spec).finish(spark, schema)
 
 
 def counters(parsed: DataFrame) -> list:

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from panelworks import sources, streaming
+from panelworks import sinks, sources, streaming
 from panelworks.operators import windows
 from panelworks.schema import PanelSpec
 from tests.conftest import rows_of
@@ -220,3 +220,110 @@ def test_replay_after_an_emergency_has_each_row_once(spark, tmp_path):
     assert not os.path.exists(f"{streaming.emergency_path(out)}/batch_id=0")
     streaming.flush_batch(df, 0, out, write=broken)
     assert not os.path.exists(f"{out}/batch_id=0")
+
+
+def test_tee_reads_each_row_about_once(spark, source):
+    """What closing ticks read grows with the rows, not with the batches before."""
+    rows = sorted(events(1200), key=lambda r: r[3])
+    raw, side = source.folder("raw"), source.folder("side.ndjson")
+    for part in range(40):
+        source.feed(rows[part * 30 : part * 30 + 30])
+    tee = streaming.Tee(raw, side, "1 minute", 7)
+    read = []
+    close = streaming.Tee._close
+
+    def counted(self, session, batch_id, schema, ticks):
+        folders = [f"{raw}/batch_id={b}/tick={t}" for b, t in ticks]
+        if folders:
+            read.append(spark.read.schema(schema).parquet(*folders).count())
+        return close(self, session, batch_id, schema, ticks)
+
+    streaming.Tee._close = counted
+    try:
+        query = streaming.tee_stream(
+            source.stream(), raw, side, source.folder("cp"), "1 minute", 7
+        )
+        query.awaitTermination()
+        streaming.finish_tee(spark, raw, side, "1 minute", 7)
+    finally:
+        streaming.Tee._close = close
+    schema = spark.createDataFrame([], SCHEMA).schema
+    assert sum(read) == tee.raw(spark, schema).count() == 1200
+    columns = ["tick", "chunk", "region", "indicator", "count", "p50"]
+    batch = windows.hybrid_windows(spark.createDataFrame(rows, SCHEMA), "1 minute", 7)
+    assert rows_of(tee.windows(spark, schema), *columns) == rows_of(batch, *columns)
+
+
+def test_a_crash_between_outputs_shows_no_row_and_a_replay_each_once(spark, source):
+    rows = events(200)
+    raw, side = source.folder("raw"), source.folder("side")
+    tee = streaming.Tee(raw, side, "1 minute", 7)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    first, second = (spark.createDataFrame(rows[k : k + 100], SCHEMA) for k in (0, 100))
+    tee.run_batch(first, 0)
+    before = rows_of(tee.windows(spark, schema), "region", "count")
+    close = streaming.Tee._close
+
+    def broken(*args):
+        close(*args)  # both outputs are there, the commit is not
+        raise OSError("power is out")
+
+    streaming.Tee._close = broken
+    try:
+        with pytest.raises(OSError):
+            tee.run_batch(second, 1)
+    finally:
+        streaming.Tee._close = close
+    assert os.path.exists(f"{raw}/batch_id=1")
+    assert tee.raw(spark, schema).count() == 100
+    assert rows_of(tee.windows(spark, schema), "region", "count") == before
+    for _ in range(2):  # the second run finds the commit
+        tee.run_batch(second, 1)
+    tee.finish(spark, schema)
+    assert sorted(r.seq for r in tee.raw(spark, schema).collect()) == list(range(200))
+    columns = ["tick", "chunk", "region", "indicator", "count", "p50"]
+    batch = windows.hybrid_windows(spark.createDataFrame(rows, SCHEMA), "1 minute", 7)
+    assert rows_of(tee.windows(spark, schema), *columns) == rows_of(batch, *columns)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_ticks_do_not_depend_on_the_session_zone(spark, source, zone):
+    t0 = datetime(2024, 3, 10, 1, 30)  # next to a gap of summer time
+    rows = [("A", "x", float(k), t0 + timedelta(minutes=20 * k), k) for k in range(12)]
+    raw, side = source.folder("raw"), source.folder("side")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        tee = streaming.Tee(raw, side, "1 hour", 2)
+        for part in (0, 6):
+            tee.run_batch(spark.createDataFrame(rows[part : part + 6], SCHEMA), part // 6)
+        schema = spark.createDataFrame([], SCHEMA).schema
+        tee.finish(spark, schema)
+        got = tee.windows(spark, schema).selectExpr("cast(tick as string) t", "count").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    counts = {}
+    for r in got:
+        counts[r.t[11:13]] = counts.get(r.t[11:13], 0) + r["count"]
+    assert counts == {"01": 2, "02": 3, "03": 3, "04": 3, "05": 1}
+
+
+def test_another_writer_is_noticed(spark, tmp_path):
+    one, other = (sinks.CommitLog(spark, str(tmp_path / "log")) for _ in range(2))
+    one.add(0, {"raw": 1}, {})
+    last = other.latest()
+    other.latest = lambda: None
+    with pytest.raises(RuntimeError):
+        other.add(0, {"raw": 1}, {})
+    assert last == one.latest() and last.seq == 0
+    assert [tuple(r) for r in one.records().collect()] == [(0, 0, 0, "raw", 1)]
+
+
+def test_replayed_aggregates_are_there_once(spark, tmp_path):
+    raw = str(tmp_path / "raw.ndjson")
+    found = windows.hybrid_windows(spark.createDataFrame(events(50), SCHEMA), "1 minute", 7)
+    for batch_id in (0, 0, 1, 1, 0):
+        sinks.append_aggregates(found, raw, batch_id)
+    got = sinks.committed_aggregates(spark, raw, found.schema)
+    columns = ["tick", "chunk", "region", "indicator", "count", "p50"]
+    assert rows_of(got, *columns) == sorted(rows_of(found, *columns) * 2)
