@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from panelworks.session import ship
 from panelworks.session import stored as stage
 
 __all__ = [
@@ -33,6 +30,7 @@ __all__ = [
     "stage",
     "text_key",
     "utf8",
+    "word_table",
 ]
 
 # White space that separates words, and the words between (fixed by the queries' contract).
@@ -43,20 +41,6 @@ WORDS = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 
 
-def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, once per context."""
-    sc = spark.sparkContext
-    if getattr(sc, "_panelworks_shipped", False):
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = os.path.join(tempfile.mkdtemp(prefix="panelworks-"), "panelworks_code.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, file.relative_to(package.parent))
-    sc.addPyFile(archive)
-    sc._panelworks_shipped = True
-
-
 def map_batches(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package shipped to the workers."""
     ship(df.sparkSession)
@@ -125,6 +109,30 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:size], _powers[1][:size]
 
 
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+
+
+def word_table(texts: list[bytes | None]):
+    """(raw, base, sizes, begin, end, hashes) of the words of a list of texts.
+
+    ``raw`` holds the texts with a line end after each, ``base`` and ``sizes`` where they are;
+    ``begin`` and ``end`` are the places of the words in it, ``hashes`` a 64-bit hash of each
+    word with A-Z lower-cased.
+    """
+    whole = b"\n".join([text or b"" for text in texts]) + b"\n"
+    sizes = np.array([len(text or b"") for text in texts], np.int64)
+    base = np.cumsum(sizes + 1) - sizes - 1
+    raw = np.frombuffer(whole, np.uint8)
+    space = _SPACE[raw]
+    begin = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    end = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1
+    up, down = powers(len(raw) + 1)
+    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTES[_LOWER[raw]] * up[: len(raw)])])
+    hashes = mix((upto[end] - upto[begin]) * down[begin])
+    return raw, base, sizes, begin, end, hashes
+
+
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The ranges [start, end) in ascending order, those that meet joined."""
     out: list[tuple[int, int]] = []

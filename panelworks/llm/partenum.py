@@ -88,12 +88,13 @@ def _scheme(distance: int, smallest: int) -> tuple[int, int, int, int]:
         extra += 1
 
 
-@lru_cache(maxsize=8)
-def bands(similarity: tuple[int, int] = SIMILARITY, largest: int = 1 << 27) -> list[Band]:
-    """Size bands from 1 up to ``largest`` at least; larger sets are an error."""
+@lru_cache(maxsize=32)
+def bands(similarity: tuple[int, int] = SIMILARITY, largest: int = 1 << 16) -> list[Band]:
+    """Size bands from 1 up to ``largest`` at least, and those that meet the last of them; the
+    first ones are the same whatever ``largest`` is."""
     a, b = similarity
     out, low, before = [], 1, 1
-    while low <= largest:
+    while low <= largest * b // a + 1:
         high = low * b // a
         distance = 2 * high * (b - a) // (b + a)
         scheme = _scheme(distance, before) if distance else (1, 1, 0, 1)
@@ -103,6 +104,12 @@ def bands(similarity: tuple[int, int] = SIMILARITY, largest: int = 1 << 27) -> l
     return out
 
 
+def bands_for(sizes: np.ndarray, similarity=SIMILARITY) -> list[Band]:
+    """The bands of sets of the given sizes and of their partners."""
+    most = int(sizes.max(initial=1))
+    return bands(similarity, 1 << max(16, most.bit_length()))
+
+
 def _partition(elements: np.ndarray, band_no: int, seed: int, count: int) -> np.ndarray:
     """Place of each element among ``count`` subparts; pairwise different per band and seed."""
     salt = mix(np.array([band_no * 64 + seed + 1], np.uint64))
@@ -114,9 +121,9 @@ def signatures(
     shingles: np.ndarray, starts: np.ndarray, band_no: np.ndarray, similarity=SIMILARITY
 ) -> tuple[np.ndarray, np.ndarray]:
     """(set number, signature) of sets that take part in the bands of the given numbers."""
-    table = bands(similarity)
     sets_out, sigs_out = [], []
     sizes = np.diff(starts)
+    table = bands_for(sizes, similarity)
     for number in np.unique(band_no[band_no >= 0]):
         band = table[number]
         if band.distance == 0:  # only equal sets can match
@@ -166,7 +173,7 @@ def slack(shingles: np.ndarray, starts: np.ndarray, similarity=SIMILARITY) -> np
     In excess of the distance ``agreeing`` parts agree, and only empty ones say nothing.
     """
     sizes = np.diff(starts)
-    table = bands(similarity)
+    table = bands_for(sizes, similarity)
     out = np.full(len(sizes), np.iinfo(np.int32).max)
     for band_no in band_numbers(sizes, similarity):
         for number in np.unique(band_no[band_no >= 0]):
@@ -218,9 +225,7 @@ def _one_partition(shingles, starts, used, rows, number, band, seed):
 
 def band_numbers(sizes: np.ndarray, similarity=SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
     """Own band of each set, and the next one if a partner can lie there; -1 for none."""
-    table = bands(similarity)
-    if sizes.size and sizes.max() > table[-1].high:
-        raise ValueError(f"a set of {sizes.max()} shingles is larger than {table[-1].high}")
+    table = bands_for(sizes, similarity)
     lows = np.array([x.low for x in table])
     own = np.searchsorted(lows, sizes, side="right") - 1
     a, b = similarity

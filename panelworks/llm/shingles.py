@@ -4,31 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 
-from panelworks.llm.common import mix, utf8
+from panelworks.llm.common import FACTOR, mix, utf8, word_table
 
 WIDTH = 5
-# Distinct words a worker remembers between slices before it starts afresh.
-CACHED_WORDS = 1 << 20
-
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
-
-
-class WordHashes(dict):
-    """64-bit hash per word, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-_CACHE = WordHashes()
 
 
 def distinct_shingles(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -38,14 +17,9 @@ def distinct_shingles(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray,
     than ``width`` has its whole sequence as one shingle, a text without words has none.
     Within a text, hashes ascend.
     """
-    words: list[bytes] = []
-    counts = np.zeros(len(texts), np.int64)
-    for i, text in enumerate(utf8(texts)):
-        if text:
-            own = text.lower().split()
-            counts[i] = len(own)
-            words += own
-    hashes = mix(_CACHE.of(words))
+    _, base, sizes, begin, _, hashes = word_table(utf8(texts))
+    hashes = mix(hashes)
+    counts = np.searchsorted(begin, base + sizes) - np.searchsorted(begin, base)
     ends = np.cumsum(counts)
     full = np.maximum(counts - width + 1, 0)
     # first word of each full shingle: the document's first word plus the place in it
@@ -54,7 +28,7 @@ def distinct_shingles(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray,
     first = (ends - counts)[doc] + place
     value = np.zeros(len(first), np.uint64)
     for k in range(width):
-        value = value * _FACTOR + hashes[first + k]
+        value = value * FACTOR + hashes[first + k]
     value = mix(value)
     short = np.flatnonzero((counts > 0) & (counts < width))
     if short.size:
@@ -62,7 +36,7 @@ def distinct_shingles(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray,
         for k in range(width - 1):
             longer = counts[short] > k
             at = (ends - counts)[short][longer] + k
-            whole[longer] = whole[longer] * _FACTOR + hashes[at]
+            whole[longer] = whole[longer] * FACTOR + hashes[at]
         whole = mix(mix(whole))
         doc, value = np.concatenate([doc, short]), np.concatenate([value, whole])
         order = np.argsort(doc, kind="stable")

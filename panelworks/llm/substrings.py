@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelworks.llm.common import (
-    BYTES,
     FACTOR,
     batch,
     map_batches,
@@ -34,6 +33,7 @@ from panelworks.llm.common import (
     stage,
     text_key,
     utf8,
+    word_table,
 )
 from panelworks.session import tidy
 
@@ -45,9 +45,7 @@ REACH = 4
 # Units of so many words or fewer are one piece.
 SHORT = 8
 _SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
-_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _STOP = np.isin(np.arange(256), list(b".!?"))
-_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
 def piece_starts(hashes: np.ndarray, last: np.ndarray, reach: int = REACH) -> np.ndarray:
@@ -72,17 +70,9 @@ def text_windows(texts: list[bytes | None], run_words: int = RUN_WORDS, sentence
 
     Without ``sentences`` the units are lines and are not cut further.
     """
-    whole = b"\n".join([text or b"" for text in texts]) + b"\n"
-    sizes = np.array([len(text or b"") for text in texts], np.int64)
-    base = np.cumsum(sizes + 1) - sizes - 1
-    raw = np.frombuffer(whole, np.uint8)
-    space = _SPACE[raw]
-    begin = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
-    end = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1
+    raw, base, sizes, begin, end, hashes = word_table(texts)
     count = len(begin)
-    up, down = powers(max(len(raw), count) + 1)
-    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTES[_LOWER[raw]] * up[: len(raw)])])
-    hashes = mix((upto[end] - upto[begin]) * down[begin])
+    up, down = powers(count + 1)
     lines = np.cumsum(raw == 10)
     following = np.append(begin[1:], len(raw) - 1)
     last = lines[following] > lines[end - 1]
