@@ -6,6 +6,7 @@ from panelworks.functions.moments import (
     micros_of,
     name_stamp,
     rfc3339,
+    seconds_of,
     truncated_to_millis,
     utc_instant,
     utc_naive,
@@ -39,6 +40,7 @@ __all__ = [
     "plain_number",
     "rfc3339",
     "round_to",
+    "seconds_of",
     "sum_parts",
     "total",
     "truncated_to_millis",

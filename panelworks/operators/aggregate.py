@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelworks.functions import mean, round_to, total
 from panelworks.operators import ranking
 from panelworks.schema import PanelSpec
-from panelworks.session import stored
+from panelworks.session import stored, stored_counted
 
 
 def group_stats(
@@ -89,10 +89,10 @@ def run_stats(
     """:func:`median_stats` of rows that were already folded into value runs.
 
     ``percentile`` keeps the distinct values of a group in memory.  The runs are stored
-    first; groups with too many of them get their median by rank selection over range
-    partitions, all other statistics combine map-side anyway.
+    first; groups with too many of them get their median by radix selection, all other
+    statistics combine map-side anyway.
     """
-    runs = stored(runs, "runs")
+    runs, held = stored_counted(runs, "runs")
 
     def weighted(part: DataFrame) -> DataFrame:
         median = F.percentile(F.col(spec.value), 0.5, F.col(count))
@@ -100,12 +100,14 @@ def run_stats(
             *_run_totals(spec, count, round_to(median, digits).alias("p50"), digits)
         )
 
+    if held <= heavy_rows:  # no group can have more
+        return weighted(runs)
     heavy = ranking.heavy_groups(runs, by, heavy_rows)
     if heavy.isEmpty():
         return weighted(runs)
     heavy = stored(heavy, "heavy")
     light, hot = ranking.split_heavy(runs, by, heavy)
-    medians = ranking.heavy_median(hot, by, spec.value, count, "_p50", heavy_rows)
+    medians = ranking.heavy_median(hot, by, spec.value, count, "_p50")
     totals = hot.groupBy(*by).agg(*_run_totals(spec, count, F.lit(None).alias("p50"), digits))
     hot_stats = ranking.join_groups(totals, medians, by, "left").select(
         *by, "sum", "avg", "min", "max", "count", round_to(F.col("_p50"), digits).alias("p50")

@@ -146,28 +146,67 @@ def value_runs(df: DataFrame, by: Sequence[str], value: str, count: str = "n") -
     return df.groupBy(*by, value).agg(F.count(F.lit(1)).alias(count))
 
 
+# Bits that one round of radix selection settles; a histogram has 2 ** DIGIT bins at most.
+DIGIT = 16
+_LARGEST = (1 << 63) - 1
+
+
+def order_image(value: Column) -> Column:
+    """A 64-bit integer per double that sorts like the double, NaN last and both zeros equal."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0))
+    bits = bits.cast("bigint")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit(_LARGEST))).otherwise(bits)
+
+
+def image_value(image: Column) -> Column:
+    """The double of an :func:`order_image`."""
+    bits = F.when(image < 0, image.bitwiseXOR(F.lit(_LARGEST))).otherwise(image)
+    text = F.java_method(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), bits)
+    return text.cast("double")
+
+
 def heavy_median(
-    runs: DataFrame,
-    by: Sequence[str],
-    value: str,
-    count: str,
-    out: str,
-    heavy_rows: int = HEAVY_ROWS,
+    runs: DataFrame, by: Sequence[str], value: str, count: str, out: str
 ) -> DataFrame:
-    """Exact median per heavy group by rank selection over its value runs.
+    """Exact median per heavy group by radix selection over its value runs.
 
-    Runs are distinct per (group, value), so neither many copies of one value nor
-    many distinct values ever meet in one task.
+    Values become integers that sort alike.  Each of four rounds counts the next 16 bits of
+    those that still may be the median, which combines map-side into at most 65,536 bins per group
+    whatever the group's size, and keeps the bin that holds the rank.  Rows are neither
+    sorted nor dealt by range; only the bins of a group are put in order.
     """
-    present = runs.where(F.col(value).isNotNull())
-    ranked = running_total(present, by, [value], "_upto", F.col(count), heavy_rows)
-    sizes = present.groupBy(*by).agg(F.sum(count).alias("_size"))
-    placed = join_groups(ranked, sizes, by, "inner")
-
-    def at_rank(rank: Column) -> Column:
-        here = (F.col("_upto") - F.col(count) < rank) & (rank <= F.col("_upto"))
-        return F.max(F.when(here, F.col(value)))
-
-    lower = F.floor((F.col("_size") + 1) / 2)
-    upper = F.floor(F.col("_size") / 2) + 1
-    return placed.groupBy(*by).agg(((at_rank(lower) + at_rank(upper)) / 2).alias(out))
+    image = order_image(F.col(value).cast("double"))
+    present = stored(
+        runs.where(F.col(value).isNotNull()).select(*by, image.alias("_image"), count), "images"
+    )
+    size = F.sum(count)
+    # ranks of the two middle values among those with the prefix; null where one is elsewhere
+    targets = present.groupBy(*by).agg(
+        F.floor((size + 1) / 2).alias("_low"), (F.floor(size / 2) + 1).alias("_high")
+    ).withColumn("_prefix", F.lit(0).cast("bigint"))
+    upto = Window.partitionBy(*by, "_prefix").orderBy("_bin")
+    upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        above = shift + DIGIT
+        prefix = F.shiftright("_image", above) if above < 64 else F.lit(0).cast("bigint")
+        bins = (
+            join_groups(present.withColumn("_prefix", prefix), targets, [*by, "_prefix"], "inner")
+            .groupBy(*by, "_prefix", "_low", "_high", F.shiftright("_image", shift).alias("_bin"))
+            .agg(F.sum(count).alias("_held"))
+            .withColumn("_upto", F.sum("_held").over(upto))
+        )
+        before = F.col("_upto") - F.col("_held")
+
+        def inside(rank: str, before: Column = before) -> Column:
+            here = (F.col(rank) > before) & (F.col(rank) <= F.col("_upto"))
+            return F.when(here, F.col(rank) - before).alias(rank)
+
+        targets = bins.select(
+            *by, F.col("_bin").alias("_prefix"), inside("_low"), inside("_high")
+        ).where("_low is not null or _high is not null")
+
+    def at(rank: str) -> Column:
+        return F.max(F.when(F.col(rank).isNotNull(), F.col("_prefix"))).alias(rank)
+
+    middle = (image_value(F.col("_low")) + image_value(F.col("_high"))) / 2
+    return targets.groupBy(*by).agg(at("_low"), at("_high")).select(*by, middle.alias(out))

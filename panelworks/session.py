@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
 from contextvars import ContextVar
 from functools import wraps
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 # Settings the engine runs well with; none of them changes a result.
@@ -98,6 +102,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """:func:`stored`, and the rows that were written."""
+    seen = Observation()
+    kept = stored(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return kept, seen.get["n"]
+
+
 def tidy(operator: Callable) -> Callable:
     """Decorates an operator that returns a DataFrame, or a tuple of them: folders it stored
     on the way are removed when it returns, except for those that its results read.
@@ -126,6 +137,20 @@ def tidy(operator: Callable) -> Callable:
     return run
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_panelworks_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="panelworks-"), "panelworks_code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    sc.addPyFile(archive)
+    sc._panelworks_shipped = True
+
+
 def remove(spark: SparkSession, path: str, only_empty: bool = False) -> None:
     """Delete a folder that this engine wrote, on whatever file system it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -134,6 +159,18 @@ def remove(spark: SparkSession, path: str, only_empty: bool = False) -> None:
         system.delete(folder, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    beside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.part")
+    out = system.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if system.exists(target) or not system.rename(beside, target):
+        raise FileExistsError(path)
+
+
 def publish(spark: SparkSession, source: str, target: str, replace: bool) -> None:
     """Make the files of the folder ``source`` those of ``target``, or add them to it."""
     origin, goal = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (source, target))

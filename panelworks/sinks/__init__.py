@@ -15,7 +15,13 @@ from panelworks.sinks.files import (
     write_parquet,
     write_rejected,
 )
-from panelworks.sinks.messages import SinkSpec, broker_sink_options, to_messages, write_to
+from panelworks.sinks.messages import (
+    SinkSpec,
+    broker_sink_options,
+    message_columns,
+    to_messages,
+    write_to,
+)
 
 __all__ = [
     "CommitLog",
@@ -30,6 +36,7 @@ __all__ = [
     "commit_path",
     "committed",
     "committed_aggregates",
+    "message_columns",
     "to_messages",
     "write_by_indicator",
     "write_parquet",

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelworks.session import write_text
+
 
 @dataclass(frozen=True)
 class Record:
@@ -60,13 +62,10 @@ class CommitLog:
         last = self.latest()
         number = batch_id if folder is None else folder
         record = Record(0 if last is None else last.seq + 1, batch_id, number, outputs, state)
-        target = self._paths(self._name(record.seq))
-        beside = self._paths(f"{self.path}/.{record.seq:012d}.part")
-        out = self._files.create(beside, True)
-        out.write(bytearray(json.dumps(asdict(record)).encode()))
-        out.close()
-        if self._files.exists(target) or not self._files.rename(beside, target):
-            raise RuntimeError(f"{target} was written by another stream")
+        try:
+            write_text(self.spark, self._name(record.seq), json.dumps(asdict(record)))
+        except FileExistsError:
+            raise RuntimeError(f"{self.path} is written by another stream too") from None
         return record
 
     def records(self) -> DataFrame:

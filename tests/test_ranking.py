@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import random
 import statistics
+import struct
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelworks.operators import ranking
 from panelworks.operators.aggregate import group_stats, median_stats, run_stats
@@ -87,6 +90,57 @@ def test_statistics_from_value_runs(skewed_df, heavy_rows):
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
 
 
+def test_order_images(spark):
+    rng = random.Random(3)
+    inf = float("inf")
+    values = [0.0, -0.0, 5e-324, -5e-324, 1.0, -1.0, inf, -inf, 1e308, 0.1, -0.1, 2.0**53]
+    values += [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(300)]
+    values = [v for v in values if not math.isnan(v)] + [float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    image = ranking.order_image(F.col("v"))
+    got = df.select("v", image.alias("i"), ranking.image_value(image).alias("back")).collect()
+    for r in got:
+        assert r.back == r.v or (math.isnan(r.back) and math.isnan(r.v))
+    images = dict(zip(map(repr, values), [r.i for r in got], strict=True))
+    assert images["0.0"] == images["-0.0"]
+    ordered = sorted({r.i: r.v for r in got}.items())
+    assert [v for _, v in ordered[:-1]] == sorted(v for _, v in ordered[:-1])
+    assert math.isnan(ordered[-1][1])
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 50, 51])
+def test_radix_selected_medians(spark, count):
+    """Even and odd counts, signs, infinities, NaN, equal values and a null group."""
+    rng = random.Random(count)
+    inf, nan = float("inf"), float("nan")
+    pool = [0.0, -0.0, inf, -inf, 1e300, -1e-300, 1.5, 1.5, -2.25, 7.0, 3.0, -8.0]
+    groups = {
+        "plain": [rng.uniform(-9, 9) for _ in range(count)],
+        None: [float(rng.choice(pool)) for _ in range(count)],
+        "nan": [rng.choice([nan, 1.0]) for _ in range(count)],
+        "same": [4.5] * count,
+    }
+    rows = [(k, v, rng.randrange(1, 3)) for k, own in groups.items() for v in own]
+    df = spark.createDataFrame([*rows, ("plain", None, 1)], "k string, v double, n bigint")
+    got = {r.k: r.m for r in ranking.heavy_median(df, ["k"], "v", "n", "m").collect()}
+    for k in groups:
+        own = [v for key, v, n in rows if key == k for _ in range(n)]
+        own.sort(key=lambda v: (math.isnan(v), v))
+        want = (own[(len(own) - 1) // 2] + own[len(own) // 2]) / 2
+        assert got[k] == want or (math.isnan(got[k]) and math.isnan(want)), k
+    assert len(got) == len(groups)
+
+
+def test_rows_of_a_hot_group_are_not_sorted(skewed_df):
+    runs = ranking.value_runs(skewed_df, ["k"], "v")
+    plan = ranking.heavy_median(runs, ["k"], "v", "n", "m")._jdf.queryExecution()
+    text = plan.optimizedPlan().toString()
+    assert "rangepartitioning" not in text.lower() and "RepartitionByExpression" not in text
+    ordered = [line for line in text.splitlines() if "Window [" in line]
+    assert len(ordered) == 4 and all("_bin" in line for line in ordered)
+    assert not any("Sort [" in line for line in text.splitlines())
+
+
 def test_many_copies_of_one_value(spark):
     rows = [("hot", 5.0)] * 900 + [("hot", float(i)) for i in range(101)]
     df = spark.createDataFrame(rows, "k string, v double")
