@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -1091,11 +1091,45 @@ def stream_ingest(spark, d):
     CAST(count_if(seq % 97 = 0) AS BIGINT) AS errors FROM ev""",
 )
 def ingest_metrics(spark, d):
+    """What the listener noted while the messages were read; the output is not counted."""
     path, checkpoint = _folders(spark, "metrics")
     parsed = sources.parse_messages(_message_stream(spark, d), EVENT_SCHEMA, keep_bad=True)
-    query = streaming.to_parquet(streaming.observed(parsed), path, checkpoint)
-    _finish(query)
-    return spark.read.parquet(path).agg(*streaming.counters(parsed))
+    monitor = streaming.FlowMonitor(spark, scratch(spark, "metrics-table"))
+    spark.streams.addListener(monitor)
+    try:
+        query = streaming.to_parquet(streaming.observed(parsed), path, checkpoint)
+        _finish(query)
+        monitor.await_end(query)
+    finally:
+        spark.streams.removeListener(monitor)
+    return monitor.totals().drop("write_errors")
+
+
+@register(
+    "stream_log",
+    f"""{WITH_EV} SELECT region, indicator, value, {EVENT_TIME_SQL} AS collected_at, seq,
+    row_number() OVER (PARTITION BY region ORDER BY ev.collected_at, seq) AS place FROM ev""",
+)
+def stream_log(spark, d):
+    """Events through the keyed log in two writes, by a limited reader that stops in between."""
+    path, checkpoint = _folders(spark, "log")
+    log = scratch(spark, "keyed-log")
+    columns = ["region", "indicator", "value", "collected_at", "seq"]
+    rows = events(spark, d)
+    half = F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (F.col("collected_at") < half, F.col("collected_at") >= half):
+        named = sinks.message_columns(rows, SPEC, columns)
+        messages = rows.where(part).select(
+            *[c.alias(n) for n, c in named.items()], F.col("collected_at").alias("at"), "seq"
+        )
+        sources.write_log(messages, log, ["at", "seq"])
+        stream = sources.log_stream(spark, log, limit=20_000, reader="query")
+        query = streaming.to_parquet(stream, path, checkpoint, every="0 seconds")
+        query.processAllAvailable()
+        query.stop()
+    stored = sources.parse_messages(spark.read.parquet(path), EVENT_SCHEMA)
+    place = F.row_number().over(Window.partitionBy("key").orderBy("partition", "offset"))
+    return stored.withColumn("place", place.cast("bigint")).select(*columns, "place")
 
 
 def _closed(df: DataFrame) -> DataFrame:
@@ -1178,6 +1212,25 @@ def stream_tee(spark, d):
     return tee.windows(spark, rows.schema)
 
 
+@register(
+    "stream_eviction",
+    f"""{WITH_EV}, e AS (
+      SELECT time_bucket(INTERVAL '10 minutes', collected_at) + INTERVAL '10 minutes' AS tick,
+        1 AS arrived, 0 AS evicted FROM ev
+      UNION ALL SELECT time_bucket(INTERVAL '10 minutes', collected_at + INTERVAL '1 hour')
+        + INTERVAL '10 minutes', 0, 1 FROM ev)
+    SELECT tick, CAST(sum(arrived) AS BIGINT) AS arrived, CAST(sum(evicted) AS BIGINT) AS evicted
+    FROM e GROUP BY tick""",
+)
+def stream_eviction(spark, d):
+    """Rows that a trailing hour takes in and evicts, per tick of ten minutes."""
+    path, checkpoint = _folders(spark, "eviction")
+    rows = adapters.ev_stream(spark, d, closing=F.lit(True))
+    ticks = streaming.eviction_stream(rows, "1 hour", "10 minutes", "1 day", SPEC)
+    _finish(streaming.to_parquet(ticks, path, checkpoint))
+    return spark.read.parquet(path).withColumn("tick", utc_naive(F.col("tick")))
+
+
 @register("window_side_output", HYBRID_SQL)
 def window_side_output(spark, d):
     """Window aggregates as NDJSON next to the raw output."""

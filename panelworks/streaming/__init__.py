@@ -1,12 +1,15 @@
 from panelworks.streaming.flows import (
     WINDOW,
     Tee,
+    await_tee,
     closing_record,
     counters,
     emergency_path,
+    eviction_stream,
     finish_tee,
     flush_batch,
     flush_stream,
+    for_each_batch,
     observed,
     sliding_stream,
     tee_stream,
@@ -16,16 +19,21 @@ from panelworks.streaming.flows import (
     tumbling_stream,
     with_event_time,
 )
+from panelworks.streaming.monitor import FlowMonitor
 
 __all__ = [
     "WINDOW",
+    "FlowMonitor",
     "Tee",
+    "await_tee",
     "closing_record",
     "counters",
     "emergency_path",
+    "eviction_stream",
     "finish_tee",
     "flush_batch",
     "flush_stream",
+    "for_each_batch",
     "observed",
     "sliding_stream",
     "tee_stream",

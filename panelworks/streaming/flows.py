@@ -9,15 +9,22 @@ output instead of adding to it.
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from panelworks.functions import common_pane, interval_micros, micros_of, utc_instant
+from panelworks.functions import (
+    common_pane,
+    interval_micros,
+    micros_of,
+    seconds_of,
+    utc_instant,
+)
 from panelworks.operators.aggregate import run_stats
 from panelworks.operators.ranking import HEAVY_ROWS
 from panelworks.operators.windows import (
@@ -37,20 +44,23 @@ from panelworks.sinks.commits import (
     committed,
 )
 from panelworks.sinks.files import TIMES, aggregated_path, write_counted
+from panelworks.streaming.monitor import FlowMonitor
 
 log = logging.getLogger(__name__)
 
 
+def _zoned(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Streaming refuses time stamps without zone; they are read as UTC."""
+    if isinstance(df.schema[spec.at].dataType, T.TimestampNTZType):
+        return df.withColumn(spec.at, utc_instant(F.col(spec.at)))
+    return df
+
+
 def with_event_time(
     df: DataFrame, delay: str = "0 seconds", spec: PanelSpec = PanelSpec()
 ) -> DataFrame:
-    """Zoned event time with a watermark.
-
-    Streaming refuses time stamps without zone; they are read as UTC.
-    """
-    if isinstance(df.schema[spec.at].dataType, T.TimestampNTZType):
-        df = df.withColumn(spec.at, utc_instant(F.col(spec.at)))
-    return df.withWatermark(spec.at, delay)
+    """Zoned event time with a watermark."""
+    return _zoned(df, spec).withWatermark(spec.at, delay)
 
 
 WINDOW = ["window_start", "window_end"]
@@ -162,6 +172,7 @@ def flush_batch(
     path: str,
     max_rows: int | None = None,
     write: Callable[[DataFrame, str], None] | None = None,
+    on_failure: Callable[[], None] | None = None,
 ) -> str | None:
     """Write one micro-batch as zstd Parquet, at most ``max_rows`` per file.
 
@@ -182,6 +193,8 @@ def flush_batch(
         n = write_counted(batch, lambda rows: (write or parquet)(rows, target))
     except Exception:  # whatever the cause, the rows must not be lost
         log.exception("parquet flush of batch %s failed; writing %s", batch_id, other)
+        if on_failure is not None:
+            on_failure()
         target, other = other, target
         n = write_counted(batch, lambda rows: rows.write.mode("overwrite").json(target))
     remove(spark, other)
@@ -198,6 +211,7 @@ def flush_stream(
     checkpoint: str,
     max_rows: int | None = None,
     every: str | None = None,
+    monitor: FlowMonitor | None = None,
 ) -> StreamingQuery:
     """Flush each micro-batch to Parquet.
 
@@ -207,7 +221,8 @@ def flush_stream(
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        flush_batch(batch, batch_id, path, max_rows)
+        failed = monitor.write_failed if monitor else None
+        flush_batch(batch, batch_id, path, max_rows, on_failure=failed)
 
     return for_each_batch(df, body, checkpoint, every)
 
@@ -291,6 +306,8 @@ class Tee:
     shard: Sequence[str] = ()
     spec: PanelSpec = PanelSpec()
     delay: str = "1 minute"
+    # a run and its end may be called from two threads
+    lock: threading.RLock = field(default_factory=threading.RLock, compare=False, repr=False)
 
     @property
     def log_path(self) -> str:
@@ -344,14 +361,21 @@ class Tee:
             left = [x for x in open_ if x[1] >= high]
             return {"raw": count, "windows": done}, {"open": left, "upto": high, "at": latest}
 
-        commit_batch(log, batch_id, write)
+        with self.lock:
+            commit_batch(log, batch_id, write)
 
-    def finish(self, spark: SparkSession, schema: T.StructType) -> None:
+    def finish(self, spark: SparkSession) -> None:
         """Window the ticks that are open; rows of these ticks that come later are late."""
+        with self.lock:
+            self._finish(spark)
+
+    def _finish(self, spark: SparkSession) -> None:
         log = CommitLog(spark, self.log_path)
         last = log.latest()
         if last is None or not last.state["open"]:
             return
+        batch, tick = last.state["open"][0]
+        schema = spark.read.parquet(f"{batch_folder(self.raw_path, batch)}/tick={tick}").schema
         folder = -1 - last.seq  # of its own, which no batch replaces
         done = self._close(spark, folder, schema, last.state["open"])
         after = interval_micros(self.duration) + max(t for _, t in last.state["open"])
@@ -412,12 +436,58 @@ def finish_tee(
     A later run goes on after them: rows that still belong to these ticks count as late.
     """
     side = aggregate_path or aggregated_path(raw_path)
-    last = CommitLog(spark, commit_path(raw_path)).latest()
-    if last is None or not last.state["open"]:
-        return
-    batch, tick = last.state["open"][0]
-    schema = spark.read.parquet(f"{batch_folder(raw_path, batch)}/tick={tick}").schema
-    Tee(raw_path, side, duration, size, tuple(shard), spec).finish(spark, schema)
+    Tee(raw_path, side, duration, size, tuple(shard), spec).finish(spark)
+
+
+def await_tee(
+    query: StreamingQuery,
+    tee: Tee,
+    spark: SparkSession,
+    monitor: FlowMonitor | None = None,
+    idle: float | None = None,
+    poll: float = 1.0,
+) -> None:
+    """Wait for the end of a tee and window what is open then, also when it was cancelled.
+
+    With a monitor and ``idle`` seconds without input, open ticks are windowed while the query
+    goes on.  A query that failed is left as it is: its next run takes up the open ticks.
+    """
+    while not query.awaitTermination(poll):
+        if monitor is not None and idle is not None and monitor.idle_seconds(query) >= idle:
+            tee.finish(spark)
+    tee.finish(spark)
+
+
+def eviction_stream(
+    df: DataFrame,
+    duration: str = "5 minutes",
+    step: str = "30 seconds",
+    delay: str = "1 minute",
+    spec: PanelSpec = PanelSpec(),
+) -> DataFrame:
+    """Per tick, how many rows a trailing window takes in and how many it evicts.
+
+    A row is evicted by the first tick at which it is older than ``duration``; at the edge it
+    stays.  So a row counts once at its own time and once ``duration`` later, and the state is
+    two counters per open tick, however many rows the window holds.  Ticks without
+    either are not listed.
+    """
+    rows = _zoned(df, spec).select(F.col(spec.at).alias("at"))
+    later = F.col("at") + F.expr(f"INTERVAL {duration}")
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    entries = F.array(
+        F.struct(F.col("at").alias("x"), one.alias("arrived"), none.alias("evicted")),
+        F.struct(later.alias("x"), none.alias("arrived"), one.alias("evicted")),
+    )
+    wait = f"{seconds_of(delay) + seconds_of(duration)} seconds"
+    return (
+        rows.select(F.explode(entries).alias("e"))
+        .select("e.x", "e.arrived", "e.evicted")
+        .withWatermark("x", wait)
+        .groupBy(F.window("x", step).alias("w"))
+        .agg(F.sum("arrived").alias("arrived"), F.sum("evicted").alias("evicted"))
+        .select(F.col("w.end").alias("tick"), "arrived", "evicted")
+    )
 
 
 def counters(parsed: DataFrame) -> list:

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
 import os
+import random
+import threading
+import time
+from collections import deque
 from datetime import datetime, timedelta
 
 import pytest
@@ -279,7 +283,7 @@ def test_a_crash_between_outputs_shows_no_row_and_a_replay_each_once(spark, sour
     assert rows_of(tee.windows(spark, schema), "region", "count") == before
     for _ in range(2):  # the second run finds the commit
         tee.run_batch(second, 1)
-    tee.finish(spark, schema)
+    tee.finish(spark)
     assert sorted(r.seq for r in tee.raw(spark, schema).collect()) == list(range(200))
     columns = ["tick", "chunk", "region", "indicator", "count", "p50"]
     batch = windows.hybrid_windows(spark.createDataFrame(rows, SCHEMA), "1 minute", 7)
@@ -298,7 +302,7 @@ def test_ticks_do_not_depend_on_the_session_zone(spark, source, zone):
         for part in (0, 6):
             tee.run_batch(spark.createDataFrame(rows[part : part + 6], SCHEMA), part // 6)
         schema = spark.createDataFrame([], SCHEMA).schema
-        tee.finish(spark, schema)
+        tee.finish(spark)
         got = tee.windows(spark, schema).selectExpr("cast(tick as string) t", "count").collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
@@ -327,3 +331,102 @@ def test_replayed_aggregates_are_there_once(spark, tmp_path):
     got = sinks.committed_aggregates(spark, raw, found.schema)
     columns = ["tick", "chunk", "region", "indicator", "count", "p50"]
     assert rows_of(got, *columns) == sorted(rows_of(found, *columns) * 2)
+
+
+def test_evictions_equal_the_replay_of_a_queue(spark, source):
+    """Rows strictly older than the window go; one at its edge stays until the next tick."""
+    t0 = datetime(2024, 1, 1)
+    rng = random.Random(4)
+    seconds = sorted([0, 10, 10, 20, 60, 70, *(rng.randrange(600) for _ in range(80))])
+    rows = [("A", "x", 1.0, t0 + timedelta(seconds=s), k) for k, s in enumerate(seconds)]
+    for part in range(4):
+        source.feed(rows[part * 22 : part * 22 + 22])
+    streaming.closing_record(spark.createDataFrame(rows, SCHEMA)).write.mode("append").parquet(
+        source.path
+    )
+    ticks = streaming.eviction_stream(source.stream(), "1 minute", "10 seconds", "1 hour")
+    streaming.to_parquet(ticks, source.folder("out"), source.folder("cp")).awaitTermination()
+    got = {
+        int((r.tick - t0).total_seconds()): (r.arrived, r.evicted)
+        for r in spark.read.parquet(source.folder("out")).collect()
+    }
+    queue, waiting = deque(), deque(seconds)
+    for tick in range(10, 800, 10):
+        arrived = evicted = 0
+        while waiting and waiting[0] < tick:
+            queue.append(waiting.popleft())
+            arrived += 1
+        while queue and queue[0] < tick - 60:
+            queue.popleft()
+            evicted += 1
+        assert got.get(tick, (0, 0)) == (arrived, evicted), tick
+    assert not queue and not waiting
+
+
+def test_monitor_notes_counters_and_failed_writes(spark, tmp_path):
+    path = tmp_path / "texts"
+    path.mkdir()
+    monitor = streaming.FlowMonitor(spark, str(tmp_path / "metrics"))
+    spark.streams.addListener(monitor)
+    try:
+        for k in range(3):
+            (path / f"{k}.txt").write_text('{"region":"A","value":1.0}\n{cut\n{"region":"B"}\n')
+        parsed = sources.parse_messages(
+            sources.text_stream(spark, str(path), max_files=1), keep_bad=True
+        )
+        monitor.write_failed()
+        query = streaming.to_parquet(
+            streaming.observed(parsed), str(tmp_path / "out"), str(tmp_path / "cp")
+        )
+        query.awaitTermination()
+        assert monitor.await_end(query)
+    finally:
+        spark.streams.removeListener(monitor)
+    assert tuple(monitor.totals().first()) == (9, 6, 3, 1)
+    rows = monitor.table().where("input_rows > 0").collect()
+    assert len(rows) == 3 and {r.records for r in rows} == {2}
+
+
+def test_queue_depth_of_a_limited_log(spark, tmp_path):
+    log = str(tmp_path / "log")
+    texts = spark.range(100).selectExpr("cast(id % 7 as string) key", "'{}' value", "id")
+    sources.write_log(texts, log, ["id"])
+    stream = streaming.monitor._total
+    assert [stream(x) for x in ('{"0": 3, "1": 4}', '{"a": "b"}', "7", None, "x")] == [
+        7, None, None, None, None,
+    ]
+    assert sources.read_log(spark, log).count() == 100
+
+
+@pytest.mark.parametrize("how", ["cancel", "idle"])
+def test_open_ticks_are_windowed_at_a_cancel_and_when_idle(spark, source, how):
+    rows = events(120)
+    source.feed(rows)
+    raw, side = source.folder("raw"), source.folder("side")
+    tee = streaming.Tee(raw, side, "1 hour", 70)
+    monitor = streaming.FlowMonitor(spark, source.folder("metrics"))
+    spark.streams.addListener(monitor)
+    columns = ["tick", "chunk", "region", "indicator", "count"]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    want = rows_of(windows.hybrid_windows(frame, "1 hour", 70), *columns)
+    try:
+        query = streaming.for_each_batch(
+            source.stream(), tee.run_batch, source.folder("cp"), "1 second"
+        )
+        waiter = threading.Thread(
+            target=streaming.await_tee, args=(query, tee, spark, monitor, 2.0 if how == "idle" else None, 0.2)
+        )
+        waiter.start()
+        query.processAllAvailable()
+        if how == "idle":
+            end = time.monotonic() + 60
+            while time.monotonic() < end:
+                if rows_of(tee.windows(spark, frame.schema), *columns) == want:
+                    break
+                time.sleep(0.5)
+            assert query.isActive
+        query.stop()
+        waiter.join(60)
+    finally:
+        spark.streams.removeListener(monitor)
+    assert rows_of(tee.windows(spark, frame.schema), *columns) == want
