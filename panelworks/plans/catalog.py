@@ -137,6 +137,15 @@ def fetch_filtered(spark, d):
     return reports.fetch(panel(spark, d), FILTER, SPEC)
 
 
+@register("fetch_pushed", ORACLES["fetch_filtered"])
+def fetch_pushed(spark, d):
+    """The same rows from files by indicator, by a source that takes the filter."""
+    path = scratch(spark, "by-indicator")
+    rows = panel(spark, d)
+    sinks.write_by_indicator(rows, path)
+    return reports.fetch(sources.fetch_from(spark, path, rows.schema, FILTER, SPEC), FilterSpec(), SPEC)
+
+
 @register(
     "fetch_all",
     f"""{WITH_OBS} SELECT region, federal_district, year, indicator, value, collected_at

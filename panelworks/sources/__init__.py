@@ -1,4 +1,5 @@
 from panelworks.sources.datasets import empty_panel, latest_dataset, load_latest, read_panel
+from panelworks.sources.fetch import fetch_from
 from panelworks.sources.keyed_log import log_stream, partition_of, read_log, write_log
 from panelworks.sources.messages import broker_options, broker_stream, parse_messages, text_stream
 from panelworks.sources.ndjson import (
@@ -14,6 +15,7 @@ __all__ = [
     "broker_options",
     "broker_stream",
     "empty_panel",
+    "fetch_from",
     "first_records",
     "latest_dataset",
     "lenient_records",
