@@ -12,6 +12,7 @@ from panelworks.llm import (
     chat,
     exact,
     language,
+    oracles,
     packing,
     partenum,
     passages,
@@ -229,7 +230,7 @@ def op9_line_frequency(spark, folder):
     )
 
 
-@register("op11_suffix_dedup")
+@register("op11_suffix_dedup", oracles.REPEATED_BYTES)
 def op11_suffix_dedup(spark, folder):
     done = passages.remove_repeated_bytes(table(spark, folder, "documents"), keep=["doc_id"])
     return done.select(
@@ -249,7 +250,7 @@ def _typos(doc_id: Column, word: Column) -> Column:
     return F.when(h % 199 == 0, shorter).otherwise(word)
 
 
-@register("op12_spelling_variants")
+@register("op12_spelling_variants", oracles.VARIANTS)
 def op12_spelling_variants(spark, folder):
     counts = variants.count_words(table(spark, folder, "documents"), _typos)
     return variants.spelling_variants(counts)
@@ -274,7 +275,7 @@ def _damaged(turns: DataFrame) -> DataFrame:
     ).drop("copy")
 
 
-@register("op13_structure_repair")
+@register("op13_structure_repair", oracles.REPAIR)
 def op13_structure_repair(spark, folder):
     turns = table(spark, folder, "conversations")
     rows, conversations = repair.repair(_damaged(turns))
