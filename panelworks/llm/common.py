@@ -15,6 +15,7 @@ from panelworks.session import ship
 from panelworks.session import stored as stage
 
 __all__ = [
+    "ARRAY_BYTES",
     "BYTES",
     "FACTOR",
     "SLICE_BYTES",
@@ -39,6 +40,8 @@ WORDS = r"[^\x20\x09-\x0D]+"
 
 # Bytes of text a worker turns into arrays at once; a longer document is a slice of its own.
 SLICE_BYTES = 1 << 20
+# The same where there are several 64-bit numbers per byte.
+ARRAY_BYTES = 1 << 18
 
 
 def map_batches(df: DataFrame, function, schema: str | StructType) -> DataFrame:

@@ -34,7 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelworks.llm.common import batch, map_batches, mix, ship, slices, stage, text_key
+from panelworks.llm.common import (
+    ARRAY_BYTES,
+    batch,
+    map_batches,
+    mix,
+    ship,
+    slices,
+    stage,
+    text_key,
+)
 from panelworks.llm.components import connected
 from panelworks.llm.shingles import WIDTH, distinct_shingles, set_keys
 from panelworks.session import tidy
@@ -248,7 +257,7 @@ def set_classes(
     """doc_id, key of the text, size of the shingle set, its 128-bit key, and its :func:`slack`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in slices(batches):
+        for x in slices(batches, limit=ARRAY_BYTES):
             items, starts = distinct_shingles(x.column("text"), width)
             k1, k2 = set_keys(items, starts)
             yield batch(
@@ -292,7 +301,7 @@ def signature_rows(docs: DataFrame, width: int, similarity: tuple[int, int]) ->
     """(sig, k1) per signature; rows that a slice repeats are sent once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in slices(batches):
+        for x in slices(batches, limit=ARRAY_BYTES):
             items, starts = distinct_shingles(x.column("text"), width)
             k1, k2 = set_keys(items, starts)
             sizes = np.diff(starts)
@@ -350,7 +359,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for x in slices(batches):
+        for x in slices(batches, limit=ARRAY_BYTES):
             items, starts = distinct_shingles(x.column("text"), width)
             k1, k2 = set_keys(items, starts)
             ids = x.column("rep").to_pylist()

@@ -40,7 +40,7 @@ GRAM = 64
 # Different segments of one gram that a task sorts.
 HOT = 50_000
 # Bytes that are turned into arrays at once; a longer text is looked at in overlapping pieces.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 
@@ -282,7 +282,7 @@ def _counted_strings(members: DataFrame, length: int) -> DataFrame:
     schema = pa.schema([*list(_RANGE)[:3], ("h1", pa.int64()), ("h2", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in slices(batches, "body", PIECE >> 3):
+        for x in slices(batches, "body", PIECE >> 1):
             digests, rows, starts = [], [], []
             for row, (low, high, body) in enumerate(
                 zip(*(x.column(c).to_pylist() for c in ("low", "high", "body")), strict=True)

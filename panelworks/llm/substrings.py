@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelworks.llm.common import (
+    ARRAY_BYTES,
     FACTOR,
     batch,
     map_batches,
@@ -113,7 +114,7 @@ def windows(docs: DataFrame, run_words: int = RUN_WORDS, sentences: bool = True)
     """(doc_id, key, start, end, h1, h2) per window; ``docs`` has doc_id, key and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in slices(batches):
+        for x in slices(batches, limit=ARRAY_BYTES):
             text, start, end, h1, h2 = text_windows(utf8(x.column("text")), run_words, sentences)
             rows = pa.array(text)
             yield batch(

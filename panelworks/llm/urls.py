@@ -166,8 +166,8 @@ def _assembled(rows: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, bound: int = LABELLED) -> UrlModel:
     """A model from (url, label) rows, label 1.0 for blocked urls.
 
-    Suffix statistics count every labelled url.  If there are more than ``bound``, the trees
-    see those whose url hashes low, about ``bound`` of them.
+    Suffix statistics count every labelled url.  If a label has more than half of ``bound``, the
+    trees see those of its urls that hash low, about that many, and rare labels in full.
     """
     shared_root(labelled.sparkSession)
     rows = stage(
@@ -184,11 +184,15 @@ def train(labelled: DataFrame, bound: int = LABELLED) -> UrlModel:
     if n == 0 or blocked in (0, n):
         return UrlModel(None, suffixes, 1.0 if n and blocked == n else 0.0)
     model = UrlModel(None, suffixes)
-    share = min(1.0, bound / n)
-    low = F.pmod(F.xxhash64("url"), F.lit(1 << 32)) < int(share * (1 << 32))
-    learn = rows if share == 1.0 else rows.where(low)
+    shares = [min(1.0, bound / (2 * size)) for size in (n - blocked, blocked)]
+    is_blocked = F.col("label") == 1
+    share = F.when(is_blocked, shares[1]).otherwise(shares[0])
+    low = F.pmod(F.xxhash64("url"), F.lit(1 << 32)) < share * F.lit(1 << 32)
+    learn = rows if shares == [1.0, 1.0] else rows.where(low)
     # classes weigh the same
-    weight = F.when(F.col("label") == 1, n / (2 * blocked)).otherwise(n / (2 * (n - blocked)))
+    weight = F.when(is_blocked, n / (2 * blocked * shares[1])).otherwise(
+        n / (2 * (n - blocked) * shares[0])
+    )
     frame = stage(model.features(learn).withColumn("weight", weight), "features")
     trees = GBTClassifier(
         maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=0, weightCol="weight", maxBins=32
