@@ -29,8 +29,8 @@ def test_medians(spark, values, p50):
 
 def test_three_groups_and_none(spark):
     rows = [
-        ("Москва", "birth", 10.0),
-        ("Москва", "death", 13.0),
+        ("Birch Vale", "birth", 10.0),
+        ("Birch Vale", "death", 13.0),
         ("СПб", "birth", 9.0),
         ("СПб", "birth", 9.5),
     ]
@@ -66,7 +66,7 @@ def test_decimal_sums_are_exact(spark):
 
 def test_kpis(panel_small):
     total = aggregate.kpi_total(panel_small, "population").first()
-    assert total.year == 2023 and total.total_in_units == pytest.approx(27.5, abs=1e-5)
+    assert total.year == 2023 and total.total_in_units == pytest.approx(17.3, abs=1e-5)
     mean = aggregate.kpi_mean(panel_small, "life_expectancy").first()
     assert mean.avg == pytest.approx((78 + 76.5 + 75 + 73) / 4 + 0.1)
     assert aggregate.kpi_negative(panel_small, "natural_growth").first().n == 4
@@ -74,7 +74,7 @@ def test_kpis(panel_small):
 
 def test_kpi_labels(panel_small):
     kpi = aggregate.kpi_total(panel_small, "population")
-    assert reports.total_label(kpi).first().label == "27.5 млн (за 2023)"
+    assert reports.total_label(kpi).first().label == "17.3 млн (за 2023)"
     kpi = aggregate.kpi_mean(panel_small, "life_expectancy")
     assert reports.mean_label(kpi).first().label == "75.7 лет (за 2023)"
     kpi = aggregate.kpi_negative(panel_small, "natural_growth")
@@ -92,8 +92,8 @@ def test_kpi_labels_without_the_indicator(panel_small):
 
 def test_top_means(panel_small):
     top = aggregate.top_means(panel_small, "birth_rate").collect()
-    assert [r.region for r in top] == ["Татарстан", "Краснодарский край", "Москва",
-                                       "Санкт-Петербург"]
+    assert [r.region for r in top] == ["Dune Plain", "Aspen Ridge", "Birch Vale",
+                                       "Cedar Coast"]
     assert [r.n for r in top] == [2, 2, 2, 2]
     assert aggregate.top_means(panel_small, "nothing").count() == 0
 
@@ -189,7 +189,7 @@ def test_arrow_footprint(panel_small):
 def test_panel_filter_drops_null_groups(spark, panel_small):
     nulls = panel_small.selectExpr("* except (federal_district)", "null as federal_district")
     both = panel_small.unionByName(nulls)
-    assert reports.panel_filter(both, (2022, 2022), ["ЦФО", "ЮФО"]).count() == 12
+    assert reports.panel_filter(both, (2022, 2022), ["Inland", "Upland"]).count() == 12
 
 
 def test_slices(panel_small):
@@ -198,7 +198,7 @@ def test_slices(panel_small):
     assert reports.year_slice(panel_small, "population", 1999).count() == 0
     assert reports.year_slice(panel_small, "nothing", 2023).count() == 0
     top = reports.top_slice(panel_small, "life_expectancy", 2023, 2).collect()
-    assert [tuple(r) for r in top] == [("Москва", 78.1), ("Санкт-Петербург", 76.6)]
+    assert [tuple(r) for r in top] == [("Birch Vale", 79.1), ("Cedar Coast", 77.6)]
 
 
 def test_score(spark):
@@ -216,7 +216,7 @@ def test_score(spark):
 
 def test_top_stats(panel_small):
     got = reports.top_stats(panel_small, "birth_rate", 2023, 3).first()
-    assert (got.median, got.min, got.max) == (11.1, 10.1, 12.1)
+    assert (got.median, got.min, got.max) == (10.1, 9.1, 11.1)
 
 
 def test_labels(panel_small):

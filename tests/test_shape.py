@@ -60,16 +60,16 @@ def test_grid_size():
 
 def test_gaps_list_each_missing_cell(spark, panel_small):
     part = panel_small.where(
-        "not (region = 'Москва' and year = 2022 and indicator = 'birth_rate')"
-    ).where("not (region = 'Татарстан' and year = 2023)")
+        "not (region = 'Birch Vale' and year = 2022 and indicator = 'birth_rate')"
+    ).where("not (region = 'Dune Plain' and year = 2023)")
     got = rows_of(shape.gaps(part, (2022, 2023), DEMOGRAPHIC_INDICATORS),
                   "region", "year", "indicator")
-    expected = [("Москва", 2022, "birth_rate")] + [
-        ("Татарстан", 2023, code) for code in DEMOGRAPHIC_INDICATORS
+    expected = [("Birch Vale", 2022, "birth_rate")] + [
+        ("Dune Plain", 2023, code) for code in DEMOGRAPHIC_INDICATORS
     ]
     assert got == sorted(expected)
     covered = shape.coverage(part, (2022, 2023), DEMOGRAPHIC_INDICATORS)
-    assert dict(rows_of(covered, "region", "missing"))["Татарстан"] == 6
+    assert dict(rows_of(covered, "region", "missing"))["Dune Plain"] == 6
 
 
 def test_whole_grid_of_absent_years(spark, panel_small):
@@ -133,11 +133,11 @@ def test_clamp_round(spark, indicator, value, expected):
 
 
 def test_entities_without_a_row(spark, panel_small):
-    entities = spark.createDataFrame([("Москва",), ("Nowhere",), ("Nowhere",)], "region string")
+    entities = spark.createDataFrame([("Birch Vale",), ("Nowhere",), ("Nowhere",)], "region string")
     years = (2022, 2023)
     rows = shape.coverage(panel_small, years, DEMOGRAPHIC_INDICATORS, entities=entities)
     got = {r.region: (r.present, r.missing) for r in rows.collect()}
-    assert got["Nowhere"] == (0, 12) and got["Москва"] == (12, 0) and len(got) == 5
+    assert got["Nowhere"] == (0, 12) and got["Birch Vale"] == (12, 0) and len(got) == 5
     missing = shape.gaps(panel_small, years, DEMOGRAPHIC_INDICATORS, entities=entities)
     assert {r.region for r in missing.collect()} == {"Nowhere"} and missing.count() == 12
 
