@@ -16,9 +16,6 @@ from panelworks.llm import bpe, chat, language, quality, substrings, urls
 from panelworks.llm.queries import RULES
 from tests.llm.common import empty, frame, prose, words_of
 
-tokenizers = pytest.importorskip("public_tokenizers")
-tiktoken = pytest.importorskip("tiktoken")
-PATH = tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = [
     "'", "s", "t", "re", "ve", "'ll", "'re", "'s", "d", " ", "  ", "\n", "\t", "a", "Z", "9", "½",
     "é", "!", "?", "'r", "😀", "\x1c", "\x85", "中", "٣", "'v", "l", "<|endoftext|>", "\u2028",
@@ -26,8 +23,15 @@ PIECES = [
 
 
 @pytest.fixture(scope="module")
-def encoding():
-    with open(PATH, "rb") as lines:
+def ranks_file():
+    return pytest.importorskip("public_tokenizers").path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def encoding(ranks_file):
+    tiktoken = pytest.importorskip("tiktoken")
+    tokenizers = pytest.importorskip("public_tokenizers")
+    with open(ranks_file, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding(
         "own", pat_str=tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
@@ -40,9 +44,9 @@ def samples():
     return [*texts, "", "ab" * 5000 + " " * 300 + "x" * 9000, " ", "\n", "'s"]
 
 
-def test_bpe_equals_the_library(encoding):
+def test_bpe_equals_the_library(encoding, ranks_file):
     texts = samples()
-    vocabulary = bpe.load(PATH)
+    vocabulary = bpe.load(ranks_file)
     ids, offsets, counts = vocabulary.encode([t.encode() for t in texts])
     ends = np.cumsum(counts)
     for text, a, b in zip(texts, ends - counts, ends, strict=True):
@@ -64,18 +68,18 @@ def test_scan_equals_the_loop():
         assert (bpe.scan(x, compose) == slow).all()
 
 
-def test_bpe_frames(spark, encoding):
+def test_bpe_frames(spark, encoding, ranks_file):
     texts = [None, "", "a b", *samples()[:50]]
     docs = frame(spark, texts)
-    tokens = bpe.encode(docs, PATH)
+    tokens = bpe.encode(docs, ranks_file)
     got = {r["doc_id"]: r["token_ids"] for r in tokens.collect()}
     assert got == {i: encoding.encode_ordinary(t or "") for i, t in enumerate(texts)}
-    back = {r["doc_id"]: bytes(r["decoded"]) for r in bpe.decode(tokens, PATH).collect()}
+    back = {r["doc_id"]: bytes(r["decoded"]) for r in bpe.decode(tokens, ranks_file).collect()}
     assert back == {i: (t or "").encode() for i, t in enumerate(texts)}
-    for row in bpe.round_trip(docs, PATH).collect():
+    for row in bpe.round_trip(docs, ranks_file).collect():
         assert row["ids"] == " ".join(map(str, got[row["doc_id"]]))
         assert bytes(row["decoded"]) == back[row["doc_id"]]
-    assert bpe.round_trip(empty(spark), PATH).count() == 0
+    assert bpe.round_trip(empty(spark), ranks_file).count() == 0
 
 
 # --- language ------------------------------------------------------------------------
