@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from panelworks import sinks, sources, streaming
 from panelworks.functions import is_finite, utc_naive
-from panelworks.operators import aggregate, clean, reports, shape, validate, windows
+from panelworks.operators import aggregate, clean, increment, reports, shape, validate, windows
 from panelworks.operators.validate_json import validate_json
 from panelworks.plans import adapters, analyze
 from panelworks.plans.adapters import (
@@ -216,6 +216,16 @@ def dedup_first(spark, d):
     return clean.keep_first(panel(spark, d), SPEC)
 
 
+@register("dedup_batches", ORACLES["dedup_first"])
+def dedup_batches(spark, d):
+    """Keep-first over three batches, which follow each other in input order."""
+    rows = panel(spark, d)
+    at, kind = F.col("collected_at"), rows.schema["collected_at"].dataType
+    low, high = (F.lit(x).cast(kind) for x in ("1994-06-01", "1996-06-01"))
+    parts = [at < low, (at >= low) & (at < high), (at >= high) | at.isNull()]
+    return increment.keep_first_batches([rows.where(p) for p in parts], SPEC)
+
+
 @register("clean", f"{CLEAN_CTE} SELECT * FROM cleaned")
 def clean_rows(spark, d):
     return clean.clean(adapters.dirty(spark, d), SPEC)
