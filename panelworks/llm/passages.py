@@ -355,6 +355,7 @@ def repeated_ranges(
 _OUT = "n_bytes bigint, n_removed bigint, spans array<struct<start:int,end:int>>, kept binary"
 
 
+@tidy
 def remove_repeated_bytes(
     docs: DataFrame,
     length: int = LENGTH,

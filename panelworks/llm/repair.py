@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from panelworks.llm.common import map_batches, stage
 from panelworks.llm.grammar import Automaton
 from panelworks.operators.ranking import join_groups, number_rows
+from panelworks.session import tidy
 
 # Rows parsed in one piece.
 CHUNK = 256
@@ -321,6 +322,7 @@ def repaired_rows(marked: DataFrame, choices: DataFrame, chunk: int) -> DataFram
     return map_batches(ordered, run, _REPAIRED)
 
 
+@tidy
 def repair(
     turns: DataFrame, costs: Costs | None = None, chunk: int = CHUNK
 ) -> tuple[DataFrame, DataFrame]:

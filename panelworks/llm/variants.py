@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelworks.llm.common import stage
+from panelworks.session import tidy
 
 # Letters of words: A-Z, a-z and the Latin-1 letters (with the two signs between them).
 LETTERS = r"[A-Za-zÀ-ÿ]"
@@ -233,6 +234,7 @@ def near_words(words: DataFrame, longest: int = LONGEST) -> DataFrame:
     return right.union(right.select("near", "word")).distinct()
 
 
+@tidy
 def spelling_variants(
     counts: DataFrame, ratio: int = RATIO, longest: int = LONGEST
 ) -> DataFrame:
