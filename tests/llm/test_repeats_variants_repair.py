@@ -77,7 +77,7 @@ def repeat_texts(seed):
     return [*texts, texts[9], texts[10], texts[10]]
 
 
-@pytest.mark.parametrize("seed,hot", [(1, 50), (2, 50), (3, 1)])
+@pytest.mark.parametrize("seed,hot", [(1, 50), (3, 1)])
 def test_repeated_bytes(spark, seed, hot):
     check_bytes(spark, repeat_texts(seed), 30, gram=10, hot=hot)
 
@@ -132,7 +132,7 @@ def plain_variants(words, ratio=5):
     return out
 
 
-@pytest.mark.parametrize("longest", [64, 7])
+@pytest.mark.parametrize("longest", [7])
 def test_spelling_variants(spark, longest):
     rng = random.Random(longest)
     words = {"".join(rng.choices("abé", k=rng.randrange(1, 10))) for _ in range(400)}
@@ -301,7 +301,7 @@ def grouped(rows):
 SCHEMA = "conv_id bigint, turn bigint, role string, text string"
 
 
-@pytest.mark.parametrize("chunk", [1, 3, 256])
+@pytest.mark.parametrize("chunk", [3])
 def test_repair(spark, chunk):
     turns = spark.createDataFrame(turn_rows(chunk), SCHEMA).selectExpr("*", "'own' as pos", "1 as fault")
     rows, conversations = repair.repair(turns, chunk=chunk)
